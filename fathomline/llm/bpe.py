@@ -139,34 +139,32 @@ def load(path: str) -> Bpe:
     return Bpe(path)
 
 
-def bpe(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = True) -> DataFrame:
-    """Encodes every whole text and decodes it again: (id, n_tokens, ids, decoded).
+def bpe(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True, with_text: bool = True) -> DataFrame:
+    """Encodes every whole text and decodes it again: (id, n_tokens, ids_sha256, decoded_sha256[, ids][, decoded]).
 
-    A null text counts as empty: no token, an empty decoded text.  Repeated rows give repeated rows, an
-    empty table an empty one; columns other than the two named aren't read.  A row depends on its own text only,
-    so there is no shuffle, and a lost task repeats by itself.  With keep_ids=False, the two digests of the
-    benchmark query (ids_sha256, decoded_sha256) stand in place of ids and decoded.
+    The digests are of the decimal ids joined by commas, and of the decoded text in UTF-8.  A null text counts as
+    empty: no token, an empty decoded text.  Repeated rows give repeated rows, an empty table an empty one; columns
+    other than the two named aren't read.  A row depends on its own text only: no shuffle.
     """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load(path)
-        names = {i: str(i) for i in model.bytes_of}.__getitem__
         for batch in batches:
-            n, first, second = [], [], []
+            n, first, second, all_ids, texts = [], [], [], [], []
             for text in batch.column(1):
                 ids = model.encode(text.as_py() or "")
                 decoded = model.decode(ids)
                 n.append(len(ids))
-                if keep_ids:
-                    first.append(ids)
-                    second.append(decoded)
-                else:
-                    first.append(hashlib.sha256(",".join(map(names, ids)).encode()).hexdigest())
-                    second.append(hashlib.sha256(decoded.encode()).hexdigest())
-            kind = pa.list_(pa.int32()) if keep_ids else pa.string()
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(first, kind), pa.array(second, pa.string())], names=[id_col, "n_tokens", *two])
-
-    two = ("ids", "decoded") if keep_ids else ("ids_sha256", "decoded_sha256")
+                first.append(hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
+                second.append(hashlib.sha256(decoded.encode()).hexdigest())
+                if with_ids:
+                    all_ids.append(ids)
+                if with_text:
+                    texts.append(decoded)
+            arrays = [batch.column(0), pa.array(n, pa.int64()), pa.array(first, pa.string()), pa.array(second, pa.string())]
+            arrays += [pa.array(all_ids, pa.list_(pa.int32()))] * with_ids + [pa.array(texts, pa.string())] * with_text
+            yield pa.RecordBatch.from_arrays(arrays, names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * with_ids, *["decoded"] * with_text])
+
     df = small_batches(docs).select(id_col, text_col)
-    kinds = ("array<int>", "string") if keep_ids else ("string", "string")
-    return df.mapInArrow(rows, f"`{id_col}` {df.schema[0].dataType.simpleString()}, n_tokens bigint, {two[0]} {kinds[0]}, {two[1]} {kinds[1]}")
+    kind = df.schema[0].dataType.simpleString()
+    return df.mapInArrow(rows, f"`{id_col}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids + ", decoded string" * with_text)

@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from collections.abc import Callable, Iterator
+from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 #: What `[^\x20\x09-\x0D]+` leaves out; bytes.split() uses exactly these six.
@@ -50,11 +54,42 @@ def dropped(*tables: DataFrame) -> None:
                 path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+_shipped: set[str] = set()
+
+
+def shipped(spark: SparkSession) -> None:
+    """Sends this package to the workers, once a session, so that they find it wherever the driver was started."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parents[1]
+    target = f"{tempfile.mkdtemp(prefix='fathomline-code-')}/{package.name}.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for source in sorted(package.rglob("*.py")):
+            z.write(source, source.relative_to(package.parent))
+    sc.addPyFile(target)
+    _shipped.add(sc.applicationId)
+
+
 def small_batches(df: DataFrame) -> DataFrame:
-    """Keeps Arrow batches of texts small for the session of df."""
+    """df, ready for Python workers: the package is there, and Arrow batches of texts are small."""
+    shipped(df.sparkSession)
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return df
 
 
+def filtered(docs: DataFrame, text_col: str, made: Callable[[], Callable[[str | None], bool]]) -> DataFrame:
+    """The rows of docs, all columns as they are, whose text passes; made() gives a worker its test.  No shuffle."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        test = None
+        for batch in batches:
+            test = test or made()
+            yield batch.filter(pa.array([test(t.as_py()) for t in batch.column(at)], pa.bool_()))
+
+    at = docs.columns.index(text_col)
+    return small_batches(docs).mapInArrow(rows, docs.schema)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -220,3 +220,22 @@ def pii(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", with
     df = small_batches(docs).select(id_col, text_col)
     kind = df.schema[0].dataType.simpleString()
     return df.mapInArrow(rows, f"`{id_col}` {kind}, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string, n_disguised bigint" + ", text string" * with_text)
+
+
+def masked_documents(docs: DataFrame, *, text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
+    """The documents with all spans of their texts masked; chars_col, where there is one, counts the new text."""
+    at = docs.columns.index(text_col)
+    chars = docs.columns.index(chars_col) if chars_col in docs.columns else None
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            old = batch.column(at).to_pylist()
+            new = [None if t is None else masked(t, find(t)[1]) for t in old]
+            columns = [*batch.columns]
+            columns[at] = pa.array(new, batch.schema[at].type)
+            if chars is not None:
+                sizes = [was if a == b else len(b) for was, a, b in zip(columns[chars].to_pylist(), old, new)]
+                columns[chars] = pa.array(sizes, batch.schema[chars].type)
+            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+
+    return small_batches(docs).mapInArrow(rows, docs.schema)

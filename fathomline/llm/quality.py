@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fathomline.llm.common import BLANKS, small_batches
+from fathomline.llm.common import BLANKS, filtered, small_batches
 
 CONTENT, BOILERPLATE = 0, 1
 SYMBOLS = "#*$%&|<>"
@@ -201,6 +201,25 @@ def counts(text: str) -> tuple[int, int, int, int, int]:
     return len(words), len(text) - blanks, sum(map(text.count, SYMBOLS)), len(lines) - len(set(lines)), repeated_words(words)
 
 
+def judged(text: str | None, crf: Crf, content_share: float, min_words: int, repeat_percent: int) -> tuple:
+    """The counts of a text, base_failed, kept and content_share."""
+    text = text or ""
+    n_words, word_chars, symbols, dup_lines, repeats = counts(text)
+    lines = word_lines(text)
+    share = 0.0
+    if lines:
+        size = np.fromiter(map(len, lines), np.int64, len(lines))
+        share = float(size[crf.viterbi(line_features(lines)) == CONTENT].sum() / size.sum())
+    failed = n_words < min_words or 100 * repeats > repeat_percent * n_words
+    return n_words, word_chars, symbols, dup_lines, repeats, failed, not failed and share >= content_share, share
+
+
+def kept_documents(docs: DataFrame, labels: DataFrame, *, fit: Fit = Fit(), content_share: float = 0.5, min_words: int = 50, repeat_percent: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents that quality() keeps, all columns as they are."""
+    crf = fit_crf(docs, labels, fit, id_col=id_col, text_col=text_col)
+    return filtered(docs, text_col, lambda: lambda text: judged(text, crf, content_share, min_words, repeat_percent)[6])
+
+
 def quality(docs: DataFrame, labels: DataFrame, *, fit: Fit = Fit(), content_share: float = 0.5, min_words: int = 50, repeat_percent: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each document: counts, base_failed, content_share and kept.
 
@@ -214,17 +233,7 @@ def quality(docs: DataFrame, labels: DataFrame, *, fit: Fit = Fit(), content_sha
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for text in batch.column(1):
-                text = text.as_py() or ""
-                n_words, word_chars, symbols, dup_lines, repeats = counts(text)
-                lines = word_lines(text)
-                share = 0.0
-                if lines:
-                    size = np.fromiter(map(len, lines), np.int64, len(lines))
-                    share = float(size[crf.viterbi(line_features(lines)) == CONTENT].sum() / size.sum())
-                failed = n_words < min_words or 100 * repeats > repeat_percent * n_words
-                out.append((n_words, word_chars, symbols, dup_lines, repeats, failed, not failed and share >= content_share, share))
+            out = [judged(t.as_py(), crf, content_share, min_words, repeat_percent) for t in batch.column(1)]
             columns = [*zip(*out)] or [()] * 8
             kinds = [pa.int64()] * 5 + [pa.bool_()] * 2 + [pa.float64()]
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds))], names=[id_col, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "content_share"])

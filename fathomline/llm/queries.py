@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fathomline.llm import bpe, language, pii, quality
+from fathomline.llm import bpe, decontaminate, language, licenses, neardup, pii, quality, shards, warc
 from fathomline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,16 +24,36 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.bpe(table(spark, sf_dir, "documents"), vocabulary(), keep_ids=False)
+    return bpe.bpe(table(spark, sf_dir, "documents"), vocabulary(), with_ids=False, with_text=False)
+
+
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.licenses(table(spark, sf_dir, "documents"))
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.warc(table(spark, sf_dir, "pages"))
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_pii, op2_bpe, op4_quality, op7_language)}
-ORACLE: dict[str, str] = {}
+def op8_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.shards(table(spark, sf_dir, "documents"), n_shards=40)
+
+
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op10_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_pii, op2_bpe, op3_licenses, op4_quality, op6_warc, op7_language, op8_shards, op9_decontaminate, op10_neardup)}
+ORACLE: dict[str, str] = {"op3_licenses": licenses.oracle_sql()}
