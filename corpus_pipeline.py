@@ -1,10 +1,68 @@
-"""The corpus pipeline: quality rules, near-duplicates, decontamination, personal data, token ids."""
+"""The corpus pipeline: quality rules, near-duplicates, decontamination, personal data, BPE.
+
+Each stage takes (spark, docs, sf_dir) and gets all that its predecessor kept.  Null and empty texts fail the quality
+rules and go in the first stage; rows that repeat an id are one document to the second; empty tables stay empty.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from fathomline.llm import bpe, decontaminate, neardup, pii, quality
+from fathomline.llm.common import dropped, scratch, table, written
+from fathomline.llm.queries import vocabulary
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
+    return quality.kept_documents(docs, table(spark, sf_dir, "labels"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group, that with the smallest id.
+
+    What goes is the smaller side, so the join is against the ids that go; a row without an id stays.
+    """
+    found = neardup.near_duplicates(docs)
+    gone = written(found.filter(~F.col("kept")).select("doc_id").distinct(), "near-gone")
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontaminate.clean_documents(docs, table(spark, sf_dir, "benchmark"))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data masked."""
+    return pii.masked_documents(docs)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of all documents, and digests of the ids and of the decoded text."""
+    return bpe.bpe(docs, vocabulary(), with_text=False)
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("personal_data", personal_data),
+    ("bpe", tokens),
+]
+
+#: SQL can't express the stages; tests/llm compares each with a brute-force version.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages in order, each one's result written to the shared folder and read again for the next."""
+    docs, last = table(spark, sf_dir, "documents"), None
+    for name, stage in STAGES[:-1]:
+        path = scratch(spark, f"pipeline-{name}")
+        stage(spark, docs, sf_dir).write.parquet(path)
+        if last is not None:
+            dropped(last)
+        docs = last = spark.read.parquet(path)
+    return STAGES[-1][1](spark, docs, sf_dir)
