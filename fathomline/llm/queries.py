@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fathomline.llm import bpe, decontaminate, language, licenses, neardup, pii, quality, shards, warc
+from fathomline.llm import bpe, decontaminate, language, licenses, neardup, pii, quality, repeats, shards, warc
 from fathomline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,10 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.deduplicate(table(spark, sf_dir, "documents"))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.warc(table(spark, sf_dir, "pages"))
 
@@ -55,5 +59,5 @@ def op10_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_pii, op2_bpe, op3_licenses, op4_quality, op6_warc, op7_language, op8_shards, op9_decontaminate, op10_neardup)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_pii, op2_bpe, op3_licenses, op4_quality, op5_repeats, op6_warc, op7_language, op8_shards, op9_decontaminate, op10_neardup)}
 ORACLE: dict[str, str] = {"op3_licenses": licenses.oracle_sql()}
