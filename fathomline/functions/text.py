@@ -78,7 +78,7 @@ def hard_split(text: Column, n: int) -> Column:
 
 def sentences(text: Column) -> Column:
     """Cut after . ! ? (also full-width) and blanks; no list of abbreviations."""
-    return F.filter(F.transform(F.split(text, r"(?<=[.!?。！？])\s+"), F.trim), lambda s: s != "")
+    return F.filter(F.transform(F.split(text, r"(?<=[.!?。！？])\s+"), lambda x: F.trim(x)), lambda s: s != "")
 
 
 def paragraphs(text: Column) -> Column:
@@ -122,7 +122,7 @@ def normalised_paragraph(text: Column) -> Column:
     stop = lambda x: F.when(x.rlike(r"[.!?:»›]$") | (x == ""), x).otherwise(F.concat(x, F.lit(".")))
     t = F.trim(text)
     codes = F.concat(F.regexp_replace(t, r"\s+", ". "), F.lit("."))
-    items = F.filter(F.transform(F.split(t, ";"), F.trim), lambda x: x != "")
+    items = F.filter(F.transform(F.split(t, ";"), lambda x: F.trim(x)), lambda x: x != "")
     listed = F.array_join(F.transform(items, stop), " ")
     many = (F.length(t) - F.length(F.replace(t, F.lit(";"), F.lit("")))) >= 2
     return F.when(t.rlike(r"^(\d{2,3}-\d{2}\s+){2,}\d{2,3}-\d{2}$"), codes).when(many & ~t.rlike(r"[.!?:»›]$"), listed).otherwise(stop(t))

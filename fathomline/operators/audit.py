@@ -11,7 +11,7 @@ def batch_summary(results: DataFrame) -> DataFrame:
     chunks count only where status is ok, and rows without a topic count only in the total."""
     agg = [F.count("*").alias("files"), F.sum((F.col("status") == "ok").cast("int")).alias("ok"), F.sum((F.col("status") != "ok").cast("int")).alias("errors"), F.sum(F.when(F.col("status") == "ok", F.col("num_guardados")).otherwise(0)).alias("chunks")]
     out = results.rollup("fenomeno").agg(F.grouping("fenomeno").alias("_total"), *agg)
-    return out.filter((F.col("_total") == 1) | F.col("fenomeno").isNotNull()).select(F.when(F.col("_total") == 1, "total").otherwise("fenomeno").alias("scope"), "fenomeno", "files", "ok", "errors", "chunks")
+    return out.filter((F.col("_total") == 1) | F.col("fenomeno").isNotNull()).select(F.when(F.col("_total") == 1, "total").otherwise(F.col("fenomeno").cast("string")).alias("scope"), "fenomeno", "files", "ok", "errors", "chunks")
 
 
 def rejections_by_rule(validated: DataFrame) -> DataFrame:

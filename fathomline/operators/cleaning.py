@@ -50,6 +50,7 @@ STOP_WORDS = {
 def language_guess(t: Column, default: str = "es", least_chars: int = 50) -> Column:
     """The language with most stop words (alphabetical order breaks ties); default for short texts and no hits."""
     low = text.words(F.lower(t))
-    hits = [F.struct(F.size(F.filter(low, lambda w, ws=ws: w.isin(*ws))).alias("n"), F.lit(-i).alias("o"), F.lit(lang).alias("lang")) for i, (lang, ws) in enumerate(sorted(STOP_WORDS.items()))]
+    among = lambda ws: lambda w: w.isin(*ws)
+    hits = [F.struct(F.size(F.filter(low, among(ws))).alias("n"), F.lit(-i).alias("o"), F.lit(lang).alias("lang")) for i, (lang, ws) in enumerate(sorted(STOP_WORDS.items()))]
     best = F.greatest(*hits)
     return F.when((F.length(t) < least_chars) | (best["n"] == 0), F.lit(default)).otherwise(best["lang"])
