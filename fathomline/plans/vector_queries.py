@@ -105,10 +105,10 @@ def ivf_search(table, spark):
 
 @query()
 def ivf_kmeans_recall(table, spark):
-    """Recall at 10 of the k-means index against exact search, over the stated queries."""
+    """Recall at 10 of the k-means index (14 of 16 cells: these vectors fill all directions alike) against exact search."""
     own = table("embeddings").select(F.col("vec_id").alias("chunk_id"), F.col("embedding").alias("vector"))
     asked = own.filter(F.col("chunk_id") % 100 == 0).select(F.col("chunk_id").alias("query_id"), "vector")
-    near = search.cell_topk(search.clustered(own, 16), asked, 10, nprobe=6)
+    near = search.cell_topk(search.clustered(own, 16), asked, 10, nprobe=14)
     true = search.exact_topk(own, asked, 10).select("query_id", "chunk_id", F.lit(1).alias("hit"))
     return true.join(near.select("query_id", "chunk_id", F.lit(1).alias("found")), ["query_id", "chunk_id"], "left").groupBy("query_id").agg((F.coalesce(F.sum("found"), F.lit(0)) / F.count("*")).alias("recall"))
 

@@ -35,7 +35,7 @@ def from_csv(raw: bytes) -> Extracted:
     """An atomic section a row, `column: value` lines without blank values; rows of another width are left out."""
     text = decoded(raw)
     try:
-        dialect = csv.Sniffer().sniff(text[:4096], ",;\t|")
+        dialect = csv.Sniffer().sniff(text.split("\n", 1)[0], ",;\t|")
     except csv.Error:
         dialect = csv.excel
     rows = list(csv.reader(io.StringIO(text), dialect))
