@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fathomline.session import shipped
 
@@ -74,5 +75,39 @@ def filtered(docs: DataFrame, text_col: str, made: Callable[[], Callable[[str |
     return small_batches(docs).mapInArrow(rows, docs.schema)
 
 
+def bitmap(ids: DataFrame, column: str, most_bits: int = 28) -> DataFrame:
+    """(line, map): a one-hash bitmap of the ids, 16 bits an id up to 2 ** most_bits bits, in lines of 4 KB.
+
+    With the default it has at most 32 MB, so broadcasting it is safe at any size of ids; beyond 2 ** 24 ids it only
+    sorts out fewer rows.
+    """
+    n = ids.count()
+    bits = min(most_bits, max(15, (16 * n).bit_length()))
+    slot = F.xxhash64(column).bitwiseAND(F.lit((1 << bits) - 1))
+    lines = ids.select(F.shiftright(slot, 15).alias("line"), slot.bitwiseAND(F.lit(32_767)).alias("bit"))
+    return lines.groupBy("line").agg(F.expr("bitmap_construct_agg(bit)").alias("map"), F.lit(bits).alias("bits"))
+
+
+def perhaps(df: DataFrame, column: str, lines: DataFrame) -> DataFrame:
+    """df with `_perhaps`: false only where the column's value is surely not among the bitmap's ids.  No shuffle."""
+    first = lines.select("bits").first()
+    if first is None:
+        return df.withColumn("_perhaps", F.lit(False))
+    slot = F.xxhash64(column).bitwiseAND(F.lit((1 << first[0]) - 1))
+    own = lines.select(F.col("line").alias("_line"), F.col("map").alias("_map"))
+    bit = slot.bitwiseAND(F.lit(32_767)).cast("int")
+    byte = F.conv(F.hex(F.substring(F.col("_map"), F.shiftright(bit, 3) + 1, F.lit(1))), 16, 10).cast("int")
+    hit = F.call_function("getbit", byte, bit.bitwiseAND(F.lit(7))) == 1
+    joined = df.withColumn("_line", F.shiftright(slot, 15)).join(F.broadcast(own), "_line", "left")
+    return joined.withColumn("_perhaps", F.coalesce(hit, F.lit(False))).drop("_line", "_map")
+
+
+def without(df: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """Rows of df whose column isn't among ids(column).  Only rows that perhaps are go through a shuffle."""
+    marked = perhaps(df, column, written(bitmap(ids, column), "bitmap"))
+    sure = marked.filter(~F.col("_perhaps")).select(df.columns)
+    return sure.unionByName(marked.filter("_perhaps").join(ids.select(column), column, "left_anti").select(df.columns))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

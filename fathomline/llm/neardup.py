@@ -7,7 +7,8 @@
 3. A candidate's signatures are compared batch by batch.  As soon as the posterior probability that its similarity
    reaches the threshold falls below `miss`, it is pruned.  Survivors are confirmed on full shingle sets.
 4. Components of the links so far.  Only buckets whose members are still in different components are compared
-   further, pair by pair across components, in blocks of bounded size inside tasks; survivors are confirmed likewise.
+   further, across components, in blocks of bounded size: pruned by batches and confirmed on full sets within the task,
+   each pair in the first band that it shares, so only links leave a task, never a group's pairs.
    After that every candidate pair is linked, refuted, or within one component already, so components are whole.
 """
 
@@ -24,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fathomline.llm.common import dropped, small_batches, written
+from fathomline.llm.common import bitmap, dropped, perhaps, small_batches, written
 
 _P = np.uint64(0x9E3779B97F4A7C15)
 _WORDS = 400_000
@@ -33,7 +34,8 @@ _WORDS = 400_000
 @dataclass(frozen=True)
 class Params:
     """words a shingle; links have 100 * intersection >= percent * union; bands x rows hashes; a pair is pruned when its
-    posterior falls below miss, looked at after each batch of hashes; block bounds what a task compares at once."""
+    posterior falls below miss, looked at after each batch of hashes; block and block_shingles bound the classes, and the
+    shingles of their sets, that a task holds of either side."""
 
     words: int = 5
     percent: int = 85
@@ -42,6 +44,7 @@ class Params:
     batch: int = 24
     miss: float = 1e-7
     block: int = 512
+    block_shingles: int = 2_000_000
 
     @property
     def hashes(self) -> int:
@@ -144,10 +147,10 @@ def signatures(docs: DataFrame, p: Params, *, id_col: str, text_col: str) -> Dat
 
 
 def banded(classes: DataFrame, p: Params) -> DataFrame:
-    """(rep, bucket): each class in one bucket a band.  Bucket hashes include the band's number."""
+    """(rep, n_shingles, band, bucket): each class in one bucket a band.  Bucket hashes include the band's number."""
     width = 4 * p.rows
     buckets = F.transform(F.sequence(F.lit(0), F.lit(p.bands - 1)), lambda i: F.xxhash64(F.substring("signature", i * width + 1, F.lit(width)), i))
-    return classes.select("rep", F.explode(buckets).alias("bucket"))
+    return classes.select("rep", "n_shingles", F.posexplode(buckets).alias("band", "bucket"))
 
 
 def _pruned(pairs: DataFrame, classes: DataFrame, p: Params) -> DataFrame:
@@ -166,29 +169,38 @@ def _pruned(pairs: DataFrame, classes: DataFrame, p: Params) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(rows, "a bigint, b bigint")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, p: Params, *, id_col: str, text_col: str) -> DataFrame:
-    """Pairs whose full shingle sets reach the threshold.  Sets are made anew, only for texts in a pair."""
+def linked(x: np.ndarray, y: np.ndarray, p: Params) -> bool:
+    """Whether two sorted sets reach the threshold."""
+    if 100 * min(len(x), len(y)) < p.percent * max(len(x), len(y)):
+        return False
+    both = np.sort(np.concatenate([x, y]))
+    common = int(np.count_nonzero(both[1:] == both[:-1]))
+    return 100 * common >= p.percent * (len(both) - common)
+
+
+def _sets(ids: DataFrame, docs: DataFrame, p: Params, *, id_col: str, text_col: str) -> DataFrame:
+    """(id, sets) of the documents in ids, made anew from their texts, and of few others that a bitmap lets pass.
+    Texts aren't shuffled; sets are, where rows repeat an id."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingles(t.as_py() or "", p.words).tobytes() for t in batch.column(1)], pa.binary())], names=["id", "sets"])
 
+    texts = small_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    marked = perhaps(texts, "id", written(bitmap(ids, "id"), "bitmap")).filter("_perhaps").select("id", "text")
+    return written(marked.mapInArrow(sets, "id bigint, sets binary"), "near-sets")
+
+
+def _confirmed(pairs: DataFrame, docs: DataFrame, p: Params, *, id_col: str, text_col: str) -> DataFrame:
+    """Pairs whose full shingle sets reach the threshold."""
+
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for i, (x, y) in enumerate(zip(batch.column(2), batch.column(3))):
-                x, y = (np.frombuffer(s.as_buffer(), np.uint64) for s in (x, y))
-                if 100 * min(len(x), len(y)) < p.percent * max(len(x), len(y)):
-                    continue
-                both = len(x) + len(y) - len(np.unique(np.concatenate([x, y])))
-                if 100 * both >= p.percent * (len(x) + len(y) - both):
-                    keep.append(i)
-            index = pa.array(keep, pa.int64())
+            sides = [[np.frombuffer(s.as_buffer(), np.uint64) for s in batch.column(i)] for i in (2, 3)]
+            index = pa.array([i for i, (x, y) in enumerate(zip(*sides)) if linked(x, y, p)], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0).take(index), batch.column(1).take(index)], names=["a", "b"])
 
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = small_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(needed, "id", "left_semi")
-    own = written(texts.mapInArrow(sets, "id bigint, sets binary").dropDuplicates(["id"]), "near-sets")
+    own = _sets(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), docs, p, id_col=id_col, text_col=text_col)
     left, right = own.select(F.col("id").alias("a"), F.col("sets").alias("sa")), own.select(F.col("id").alias("b"), F.col("sets").alias("sb"))
     out = written(pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(check, "a bigint, b bigint"), "near-links")
     dropped(own)
@@ -222,32 +234,36 @@ def components(links: DataFrame, most: int = 60) -> DataFrame:
 
 
 def _across(members: DataFrame, p: Params) -> DataFrame:
-    """Surviving pairs of classes of different components in one bucket.
+    """Links (a, b) between classes of different components in one bucket.
 
-    A bucket of more than p.block members is dealt into blocks; each two blocks meet in a task of their own.
+    A bucket of more than p.block members, or p.block_shingles shingles, is dealt into blocks; each two blocks meet
+    in a task of their own.
     """
 
     def rows(keys: tuple, table: pa.Table) -> pa.Table:
-        ids = table.column("rep").to_numpy()
-        comp = table.column("component").to_numpy()
-        block = table.column("block").to_numpy()
+        ids, comp, block = (table.column(c).to_numpy() for c in ("rep", "component", "block"))
         signs = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint32).reshape(-1, p.hashes)
-        low, high = keys[1].as_py(), keys[2].as_py()
-        one = np.flatnonzero(block == low)
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("sets")]
+        sizes = np.array([len(x) for x in sets])
+        low, high, band = keys[1].as_py(), keys[2].as_py(), table.column("band")[0].as_py()
         two = np.flatnonzero(block == high)
         a, b = [], []
-        for i in one:
-            other = two[(comp[two] != comp[i]) & ((ids[two] > ids[i]) if low == high else True)]
+        for i in np.flatnonzero(block == low):
+            other = two[(comp[two] != comp[i]) & (100 * np.minimum(sizes[two], sizes[i]) >= p.percent * np.maximum(sizes[two], sizes[i]))]
+            if low == high:
+                other = other[ids[other] > ids[i]]
             if len(other):
-                found = other[alive(np.broadcast_to(signs[i], (len(other), p.hashes)), signs[other], p)]
+                other = other[alive(np.broadcast_to(signs[i], (len(other), p.hashes)), signs[other], p)]
+                before = (signs[other, : band * p.rows] == signs[i, : band * p.rows]).reshape(len(other), band, p.rows).all(axis=2).any(axis=1)
+                found = [j for j in other[~before] if linked(sets[i], sets[j], p)]
                 a += [int(ids[i])] * len(found)
                 b += ids[found].tolist()
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    blocks = F.ceil(F.col("n") / p.block).cast("int")
+    blocks = F.greatest(F.ceil(F.col("n") / p.block), F.ceil(F.col("total") / p.block_shingles)).cast("int")
     own = members.withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int"))
     dealt = own.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    dealt = dealt.select("bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "rep", "component", "block", "signature")
+    dealt = dealt.select("bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "rep", "component", "block", "band", "signature", "sets")
     return dealt.groupBy("bucket", "low", "high").applyInArrow(rows, "a bigint, b bigint")
 
 
@@ -260,37 +276,29 @@ def near_duplicates(docs: DataFrame, p: Params = Params(), *, id_col: str = "doc
     document when linked and each get a row.  An empty table gives an empty result; other columns aren't read.
     """
     signed = written(signatures(docs.withColumn("_id", F.col(id_col).cast("long")), p, id_col="_id", text_col=text_col), "near-signatures")
-    grouped = signed.filter("set_key is not null").groupBy("set_key").agg(F.min(F.struct("id", "signature")).alias("m"))
-    classes = written(grouped.select("set_key", F.col("m.id").alias("rep"), F.col("m.signature").alias("signature")), "near-classes")
+    grouped = signed.filter("set_key is not null").groupBy("set_key").agg(F.min(F.struct("id", "n_shingles", "signature")).alias("m"))
+    classes = written(grouped.select("set_key", F.col("m.id").alias("rep"), F.col("m.n_shingles").alias("n_shingles"), F.col("m.signature").alias("signature")), "near-classes")
     members = written(signed.select("id", "n_shingles", "set_key"), "near-members")
     dropped(signed)
 
     placed = banded(classes, p)
-    full = written(placed.groupBy("bucket").agg(F.min("rep").alias("centre"), F.count("*").alias("n")).filter("n > 1"), "near-buckets")
-    shared = written(placed.join(full, "bucket"), "near-shared")
+    full = written(placed.groupBy("bucket").agg(F.min("rep").alias("centre"), F.count("*").alias("n"), F.sum("n_shingles").alias("total")).filter("n > 1"), "near-buckets")
+    shared = written(placed.drop("n_shingles").join(full, "bucket"), "near-shared")
     star = written(shared.filter("rep <> centre").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct(), "near-star")
-    links = _confirmed(_survivors(star, classes, p), docs, p, id_col=id_col, text_col=text_col)
+    pairs = written(_pruned(star, classes, p), "near-pairs")
+    links = _confirmed(pairs, docs, p, id_col=id_col, text_col=text_col)
     first = written(components(links), "near-components")
 
-    own = shared.join(first.withColumnRenamed("id", "rep"), "rep", "left").select("bucket", "rep", "n", F.coalesce("component", "rep").alias("component"))
+    own = shared.join(first.withColumnRenamed("id", "rep"), "rep", "left").select("bucket", "band", "rep", "n", "total", F.coalesce("component", "rep").alias("component"))
     mixed = own.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("bucket")
-    rest = own.join(mixed, "bucket", "left_semi").join(classes.select("rep", "signature"), "rep")
-    more = _survivors_of(_across(rest, p).distinct(), star)
-    late = _confirmed(more, docs, p, id_col=id_col, text_col=text_col)
+    rest = written(own.join(mixed, "bucket", "left_semi"), "near-rest")
+    sets = _sets(rest.select(F.col("rep").alias("id")).distinct(), docs, p, id_col=id_col, text_col=text_col)
+    dealt = rest.join(classes.select("rep", "signature"), "rep").join(sets.withColumnRenamed("id", "rep"), "rep")
+    late = written(_across(dealt, p), "near-links")
 
     joined = first.select(F.col("id").alias("a"), F.col("component").alias("b")).unionAll(late)
     whole = written(components(joined), "near-components")
     by_set = written(classes.select("set_key", "rep").join(whole.withColumnRenamed("id", "rep"), "rep", "left").select("set_key", F.coalesce("component", "rep").alias("component_id")), "near-sets")
-    dropped(full, shared, star, links, first, late, whole, classes)
+    dropped(full, shared, star, pairs, links, first, rest, sets, late, whole, classes)
     out = members.join(by_set, "set_key", "left").select(F.col("id").alias(id_col), "n_shingles", F.coalesce("component_id", "id").alias("component_id"))
     return out.withColumn("kept", F.col(id_col).eqNullSafe(F.col("component_id")))
-
-
-def _survivors(star: DataFrame, classes: DataFrame, p: Params) -> DataFrame:
-    return written(_pruned(star, classes, p), "near-pairs")
-
-
-def _survivors_of(pairs: DataFrame, star: DataFrame) -> DataFrame:
-    """Pairs that the star has not settled yet."""
-    ordered = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    return written(ordered.distinct().join(star, ["a", "b"], "left_anti"), "near-pairs")
