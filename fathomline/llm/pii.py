@@ -153,7 +153,7 @@ def at_and_dot(m: Mapped) -> Mapped:
 
 
 def disguised(text: str, plain: list[Span]) -> list[Span]:
-    """What shows only after the transducers; source spans that touch a plain span of the same kind are left out."""
+    """What shows only after the transducers; source spans that lie within a plain span of the same kind are left out."""
     odd = not text.isascii() and _ODD.search(text)
     if not odd and not _HINTS.search(text):
         return []
@@ -164,7 +164,7 @@ def disguised(text: str, plain: list[Span]) -> list[Span]:
     found = []
     for kind, a, b in detect(m.text):
         start, end = int(m.start[a]), int(m.end[b - 1])
-        if not any(k == kind and s < end and start < e for k, s, e in plain):
+        if not any(k == kind and s <= start and end <= e for k, s, e in plain):
             found.append((kind, start, end))
     return found
 
