@@ -27,7 +27,7 @@ class Fit:
 
     docs: int = 3000
     grams: int = 4000
-    order: tuple[int, ...] = (2, 3)
+    order: tuple[int, ...] = (3,)
     kept: int = 30_000
 
 
@@ -57,10 +57,14 @@ class Model:
     _cache: dict[str, int] = field(default_factory=dict, repr=False)
     _rows: np.ndarray | None = field(default=None, repr=False)
 
+    def __post_init__(self):
+        #: script -> the languages that it rules out, for scripts that rule out some but not all
+        self._excluded = {s: ~allowed for s, allowed in self.scripts.items() if allowed.any() and not allowed.all()}
+
     def scores(self, words: list[str]) -> np.ndarray:
         """For each word and language: the mean log-probability of its grams times the square root of its length;
         languages that the word's script rules out lose 60.  log_p's last row is for unseen grams."""
-        get, unseen = self.row_of.get, len(self.log_p) - 1
+        get, unseen, excluded = self.row_of.get, len(self.log_p) - 1, self._excluded
         index, at, size, ruled = [], [], [], []
         for i, word in enumerate(words):
             low = word.lower()
@@ -69,9 +73,9 @@ class Model:
             for n in self.order:
                 index += [get(w[j : j + n], unseen) for j in range(len(w) - n + 1)]
             size.append(len(low) ** 0.5 / (len(index) - at[-1]))
-            allowed = self.scripts.get("LATIN" if low.isascii() else script(low[0]))
-            if allowed is not None and allowed.any() and not allowed.all():
-                ruled.append((i, ~allowed))
+            no = excluded.get("LATIN" if low[0] < "ɐ" else script(low[0]))
+            if no is not None:
+                ruled.append((i, no))
         out = np.add.reduceat(self.log_p[index], at, axis=0) * np.array(size)[:, None]
         for i, no in ruled:
             out[i, no] -= 60
