@@ -110,3 +110,31 @@ def symbolic_relations(table, spark):
     keyed = s.withColumn("key", F.concat_ws("#", "chunk_id", "n"))
     m = entities.mentions(keyed, tuple((w, "OTRO", w) for w in WORDS), proper_nouns=False, id_col="key").join(keyed.select("key", "chunk_id", "n"), "key").select("chunk_id", "n", F.col("id").alias("entity"))
     return graph.symbolic_triples(s, m)
+
+
+@query(f"WITH {EDGES}, {STARTS}, one AS (SELECT start, b AS x FROM st JOIN e ON a = start UNION SELECT start, start FROM st), h AS (SELECT s AS x, chunk_id FROM t UNION ALL SELECT o, chunk_id FROM t) SELECT DISTINCT start, chunk_id FROM one JOIN h USING (x)")
+def neighbourhood_chunks(table, spark):
+    """Chunks of an entity and of its direct neighbours."""
+    t = triples_of(table)
+    starts = spark.createDataFrame([("p1",), ("p7",), ("s2",)], "start string")
+    near = graph.neighbours(t, starts, 1).select("start", "entity").unionAll(starts.select("start", F.col("start").alias("entity")))
+    return near.join(graph.touches(t).select("entity", "chunk_id"), "entity").select("start", "chunk_id").distinct()
+
+
+@query("SELECT 'o' || o_custkey AS id, arg_min(o_totalprice, o_orderkey)::DOUBLE AS nombre, count(DISTINCT o_totalprice) AS variantes FROM orders GROUP BY o_custkey")
+def entity_merge(table, spark):
+    """Mentions of one id: the first one's name, and how many names there are."""
+    m = table("orders").select(F.concat(F.lit("o"), "o_custkey").alias("id"), F.col("o_totalprice").cast("string").alias("nombre"), F.lit("OTRO").alias("tipo"), F.col("o_orderkey").alias("position"))
+    return graph.merged_entities(m).select("id", F.col("nombre").cast("double").alias("nombre"), F.size("variantes").cast("long").alias("variantes"))
+
+
+@query()
+def triplet_parser(table, spark):
+    """Generated triplet strings of order lines, parsed and mapped to relation types."""
+    from pyspark.sql.functions import pandas_udf
+
+    from fathomline.operators.relations import PHRASES
+
+    made = F.concat(F.lit("<s><triplet> p"), "l_partkey", F.lit(" <subj> s"), "l_suppkey", F.lit(" <obj> part of</s>"))
+    parse = pandas_udf(lambda t: t.map(lambda x: [{"h": a, "r": PHRASES.get(r, "RELACIONADO_CON"), "t": b} for a, r, b in entities.parse_triplets(x)]), "array<struct<h:string,r:string,t:string>>")
+    return table("lineitem").select("l_orderkey", F.explode(parse(made)).alias("x")).select("l_orderkey", "x.*")

@@ -229,3 +229,32 @@ def encode_documents(table, spark):
 
     out = encoded(table("documents").select("doc_id", F.col("text").alias("texto")), ENCODERS.create("hashed-128"))
     return out.select("doc_id", F.size("vector").alias("dim"), F.round(dot(F.col("vector"), F.col("vector")), 4).alias("norm"))
+
+
+@query(r"SELECT doc_id, sha256(CASE WHEN len(w) <= 20 THEN text ELSE array_to_string(w[1:20], ' ') END) AS sha FROM (SELECT doc_id, text, list_filter(regexp_split_to_array(text, '\s+'), lambda w: w <> '') AS w FROM documents)")
+def truncate_words(table, spark):
+    """A truncating operator: the first 20 words."""
+    return table("documents").select("doc_id", text.text_hash(text.truncated(F.col("text"), 20)).alias("sha"))
+
+
+@query()
+def encoder_catalogue(table, spark):
+    from fathomline.operators.encoding import catalogue
+
+    return catalogue(spark)
+
+
+@query()
+def retrieve_end_to_end(table, spark):
+    """Documents chunked, encoded and searched with the benchmark items as queries: the best documents of each."""
+    from fathomline.config import ChunkingConfig
+    from fathomline.operators import chunking
+    from fathomline.operators.encoding import encode_pending
+    from fathomline.plans.chunk_queries import _documents
+    from fathomline.plans.retrieval import retrieve
+
+    docs = _documents(table)
+    chunks = chunking.enrich(chunking.chunk(docs, ChunkingConfig(strategy="hybrid")), docs)
+    emb = encode_pending(chunks, spark.createDataFrame([], "chunk_id string, encoder_name string, hash_texto string"), ["hashed-128"])
+    asked = table("benchmark").select(F.format_string("q%03d", "item_id").alias("query_id"), F.col("text").alias("query_text"))
+    return retrieve(asked, emb, chunks, k_search=20)[0]

@@ -191,3 +191,28 @@ def f1_at_3(table, spark):
     truth = table("embeddings").filter(F.col("vec_id") % 100 == 0).select(F.col("vec_id").alias("query_id"), F.col("label").alias("doc_id"))
     fused = fusion.rrf(hits_of(table), limit=10).withColumnRenamed("rank", "place").withColumnRenamed("rrf_score", "score")
     return evaluation.f1_at_3(fragments.pooled(fused, "max"), truth).select("query_id", F.round("precision", 6).alias("precision"), "recall", F.round("f1", 6).alias("f1"))
+
+
+@query(f"""WITH {V}{RRF}, k AS (SELECT 'q' || lpad((query_id // 100)::VARCHAR, 3, '0') AS query_id, chunk_id, doc_id::BIGINT AS doc_id, rrf_score, rank FROM ranked WHERE rank <= 10),
+p AS (SELECT query_id, doc_id, round(max(rrf_score), 12) AS score FROM k GROUP BY query_id, doc_id), d AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM p),
+dd AS (SELECT query_id, list({{'rank': rank, 'doc_id': doc_id}} ORDER BY rank) AS documents FROM d WHERE rank <= 2 GROUP BY query_id),
+ff AS (SELECT query_id, list({{'rank': rank, 'chunk_id': chunk_id, 'doc_id': doc_id, 'text': 'chunk ' || chunk_id}} ORDER BY rank) AS fragments FROM k GROUP BY query_id)
+SELECT query_id, CASE WHEN len(documents) = 2 THEN to_json({{'query_id': query_id, 'documents': documents, 'fragments': fragments}})::VARCHAR END AS result, CASE WHEN len(documents) < 2 THEN 'documents' END AS problem FROM dd JOIN ff USING (query_id)""")
+def result_objects(table, spark):
+    """Results of two documents and ten fragments a query, as JSON."""
+    from fathomline.plans.retrieval import results
+
+    fused = fusion.rrf(hits_of(table), limit=10).select(F.format_string("q%03d", F.expr("query_id div 100")).alias("query_id"), "chunk_id", F.col("doc_id").cast("long").alias("doc_id"), F.col("rrf_score").alias("score"), F.col("rank").alias("place"), F.concat(F.lit("chunk "), "chunk_id").alias("texto"))
+    return results(fragments.pooled(fused, "max", 2), fused, n_docs=2, n_fragments=10)
+
+
+@query("SELECT ('0x' || substr(sha1('v' || vec_id), 1, 15))::BIGINT AS stable_id, vec_id, CASE WHEN vec_id % 3 = 0 THEN label + 1 ELSE label END::INT AS label FROM embeddings WHERE vec_id % 2 = 0 OR vec_id % 3 = 0")
+def incremental_index(table, spark):
+    """Vectors of even ids are in the index; every third is new or newer and replaces what is there by stable id."""
+    own = table("embeddings").select(stable_id(F.concat(F.lit("v"), F.col("vec_id").cast("string"))).alias("stable_id"), "vec_id", F.col("label").cast("int").alias("label"))
+    return store.upsert(own.filter("vec_id % 2 = 0"), own.filter("vec_id % 3 = 0").withColumn("label", F.col("label") + 1), ["stable_id"])
+
+
+@query(f"WITH {V}{NORM} SELECT query_id, channel, chunk_id, round(norm, 6) AS norm FROM nm")
+def min_max_scores(table, spark):
+    return fusion.min_max(hits_of(table)).select("query_id", "channel", "chunk_id", F.round("norm", 6).alias("norm"))

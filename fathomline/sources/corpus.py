@@ -72,3 +72,13 @@ def documents(spark: SparkSession, root: str, topics: dict[str, int], default_to
     found = extract(scan(spark, root))
     doc_id = F.regexp_replace("path", "^.*?" + root.rstrip("/").replace("\\", "/").replace(".", "[.]") + "/", "")
     return found.select(doc_id.alias("doc_id"), file_name(F.col("path")).alias("fuente"), F.lower(F.element_at(F.split("path", r"\."), -1)).alias("formato"), topic(doc_id, topics, default_topic).alias("fenomeno"), "secciones", "idioma", "titulo", "fecha", "error")
+
+
+#: Extensions whose files are plain text.
+PLAIN = ("md", "markdown", "txt", "html", "htm", "json", "csv")
+
+
+def plain_texts(spark: SparkSession, root: str, limit: int = 500) -> DataFrame:
+    """(path, text) of the first plain-text files by path: what corpus statistics are taken from."""
+    found = scan(spark, root, list(PLAIN)).orderBy("path").limit(limit)
+    return found.select("path", F.coalesce(F.try_validate_utf8(F.col("content").cast("string")), F.decode("content", "ISO-8859-1")).alias("text"))

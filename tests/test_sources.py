@@ -66,6 +66,7 @@ def test_corpus(spark, tmp_path):
     assert got["agua/inundacion.md"].fenomeno == 2 and got["otros/sismo_2.txt"].fenomeno == 1 and got["otros/raro.xyz"].fenomeno == 3
     assert len(got["otros/sismo_2.txt"].secciones) == 2 and "OCR" in got["otros/img.png"].error and "unknown" in got["otros/raro.xyz"].error
     assert corpus.scan(spark, str(tmp_path), [".MD"]).count() == 1
+    assert [r.text for r in corpus.plain_texts(spark, str(tmp_path), 2).collect()] == ["# T\n\ntexto", "a\n\nb"]
 
 
 def test_queries(spark, tmp_path):
