@@ -14,7 +14,7 @@ from fathomline.llm.common import BLANKS, filtered, small_batches
 
 CONTENT, BOILERPLATE = 0, 1
 SYMBOLS = "#*$%&|<>"
-FEATURES = ("bias", "symbols>2%", "symbols>8%", "upper>30%", "upper>70%", "bangs>3%", "digits>20%", "few letters", "under 4 words", "over 12 words", "ends as a sentence", "repeated line", "pipe or tab")
+FEATURES = ("bias", "symbols>2%", "symbols>8%", "upper>30%", "upper>70%", "bangs>3%", "digits>20%", "few letters", "under 4 words", "over 12 words", "repeated line", "pipe or tab")
 _COUNTED = [(c, ord(c)) for c in SYMBOLS]
 
 
@@ -28,7 +28,7 @@ class Fit:
 
     fit_docs: int = 1500
     fit_lines: int = 200
-    rounds: int = 60
+    rounds: int = 120
     l2: float = 1.0
 
 
@@ -53,9 +53,8 @@ def line_features(lines: list[str]) -> np.ndarray:
         row[5], row[6] = line.count("!") > 0.03 * n, digits > 0.2 * n
         row[7] = letters < 0.5 * n
         row[8], row[9] = words < 4, words > 12
-        row[10] = line.rstrip(BLANKS)[-1:] in (".", "?", "!", ":", '"')
-        row[11] = line in seen
-        row[12] = "|" in line or "\t" in line
+        row[10] = line in seen
+        row[11] = "|" in line or "\t" in line
         seen.add(line)
     return out
 
@@ -88,7 +87,7 @@ class Crf:
 
 
 #: What holds where no labelled document exists: symbols, shouting, tables and repeats speak for boilerplate.
-UNFITTED = Crf(np.array([[1, 0, 0, 0, 0, 0, 0, 0, 0, 0.5, 0.5, 0, 0], [0, 1, 1, 0, 1, 1, 0.5, 0.5, 0.2, 0, 0, 0.6, 0.6]], np.float64).T, np.array([[0.5, 0.0], [0.0, 0.5]]))
+UNFITTED = Crf(np.array([[1, 0, 0, 0, 0, 0, 0, 0, 0, 0.5, 0, 0], [0, 1, 1, 0, 1, 1, 0.5, 0.5, 0.2, 0, 0.6, 0.6]], np.float64).T, np.array([[0.5, 0.0], [0.0, 0.5]]))
 
 
 def fitted(samples: list[tuple[np.ndarray, int]], rounds: int, l2: float) -> Crf:
@@ -106,8 +105,7 @@ def fitted(samples: list[tuple[np.ndarray, int]], rounds: int, l2: float) -> Crf
     for i, (f, _) in enumerate(samples):
         x[i, : len(f)] = f
     on = np.arange(longest)[None, :] < length[:, None]
-    weight = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum())) * n  # both labels count alike
-    weight /= np.sqrt(length)  # a long document has more to say, but not in proportion
+    weight = 1 / np.sqrt(length)  # a long document has more to say, but not in proportion
     truth_emit = np.zeros((k, 2))
     truth_move = np.zeros((2, 2))
     for label in (0, 1):
