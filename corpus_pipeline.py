@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fathomline.llm import bpe, decontaminate, neardup, pii, quality
-from fathomline.llm.common import dropped, scratch, table, written
+from fathomline.llm.common import dropped, scratch, table, without, written
 from fathomline.llm.queries import vocabulary
 
 
@@ -22,11 +22,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group, that with the smallest id.
 
-    What goes is the smaller side, so the join is against the ids that go; a row without an id stays.
+    A bitmap of the ids that go lets most other documents pass without a shuffle; a row without an id stays.
     """
     found = neardup.near_duplicates(docs)
     gone = written(found.filter(~F.col("kept")).select("doc_id").distinct(), "near-gone")
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    return without(docs, "doc_id", gone)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
