@@ -9,7 +9,7 @@ cover: `length` to 2 * length - 16 bytes.
 2. A second scan sends on the spans whose anchor may repeat; a span that the task has seen at an earlier place is a
    repeat already and goes no further.  So equal spans cost a row a task, however many there are.
 3. Spans of one anchor hash meet in one task.  Of equal spans all but the first are repeats.  Different spans with a
-   flank in common become a collection: the Burrows-Wheeler transform of all their suffixes is built column by column
+   core in common become a collection: the Burrows-Wheeler transform of all their suffixes is built column by column
    from the right, one symbol of each span inserted a round, with the common prefixes of neighbours kept up to date.
    Neighbours that share `length` symbols are equal strings; all but the first are repeats.
    Columns above ram_rows are files, read and written from front to back each round.
@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fathomline.llm.common import dropped, small_batches, written
+from fathomline.llm.common import bitmap, dropped, perhaps, small_batches, written
 
 GRAM = 16
 #: Texts are searched in pieces of so many bytes (plus the overlap), so memory does not grow with a text.
@@ -103,16 +103,19 @@ class Column:
             for at in range(0, self.n, self.STEP):
                 yield at, np.fromfile(f, self.kind, min(self.STEP, self.n - at))
 
-    def insert(self, where: np.ndarray, values: np.ndarray) -> None:
-        """where: final row numbers of the values, ascending."""
+    def insert(self, where: np.ndarray, values: np.ndarray, keep: np.ndarray | None = None) -> np.ndarray | None:
+        """where: final row numbers of the values, ascending.  Gives the numbers of the old rows, for another column
+        of the same length; none if the column is a file."""
         n = self.n + len(where)
         if n <= self.ram_rows:
-            keep = np.ones(n, bool)
-            keep[where] = False
+            if keep is None:
+                keep = np.ones(n, bool)
+                keep[where] = False
+                keep = np.flatnonzero(keep)
             out = np.empty(n, self.kind)
             out[keep], out[where] = self.rows, values
             self.rows, self.n = out, n
-            return
+            return keep
         if not self.folder:
             self.folder.append(tempfile.TemporaryDirectory(prefix="columns-"))
         self._turn ^= 1
@@ -130,6 +133,7 @@ class Column:
                 out.tofile(f)
                 done = upto
         self.rows, self.path, self.n = None, target, n
+        return None
 
     def take(self, at: np.ndarray) -> np.ndarray:
         """Rows by ascending number."""
@@ -148,6 +152,8 @@ class Column:
             np.memmap(self.path, self.kind, "r+", shape=(self.n,))[at] = values
 
 
+#: In the column of suffixes: the bit that says "shares length symbols with the one before", and the place in the text.
+_SHARED, _PLACE = np.uint32(1 << 31), np.uint32((1 << 31) - 1)
 _BLOCK = 7  # ranks are counted by blocks of 128 rows
 
 
@@ -176,8 +182,30 @@ def _ranks(bwt: Column, at: np.ndarray, symbols: np.ndarray, size: int, lines: n
     return out, total
 
 
-def collection(spans: list[bytes], length: int, ram_rows: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Groups of equal strings of length bytes within the spans: (span numbers, offsets) of each group of two or more.
+def _window_hashes(text: np.ndarray, length: int) -> np.ndarray:
+    """A hash of the length symbols from each place (0 where fewer follow): unequal ones need no comparison."""
+    out = np.zeros(len(text), np.uint64)
+    power, width, h = _TABLE[text], 1, None
+    done = 0
+    n = len(text) - length + 1
+    while True:
+        if length & width:
+            part = power[done : done + n]
+            h = part.copy() if h is None else h * _ODD + part
+            h ^= h >> np.uint64(29)
+            done += width
+        if width * 2 > length:
+            break
+        power = power[:-width] * (_ODD + np.uint64(2 * width)) + power[width:]
+        power ^= power >> np.uint64(31)
+        width *= 2
+    out[:n] = h
+    return out
+
+
+def collection(spans: list[bytes], length: int, ram_rows: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Groups of two or more equal strings of length bytes within the spans, many at once: where each group begins,
+    and the span number and offset of each string.
 
     Round r inserts, for every span of more than r bytes, its suffix of r + 1 bytes.  The suffix starts with the
     symbol that the transform holds for the suffix of r bytes; among suffixes with that first symbol it stands where
@@ -203,10 +231,11 @@ def collection(spans: list[bytes], length: int, ram_rows: int) -> Iterator[tuple
         k = active[r]
         columns[r, :k] = text[starts[:k] + sizes[:k] - 1 - r]
     folder: list = []
-    bwt, suffix, shared = Column(np.uint8, ram_rows, folder), Column(np.uint32, ram_rows, folder), Column(np.uint8, ram_rows, folder)
+    bwt, suffix = Column(np.uint8, ram_rows, folder), Column(np.uint32, ram_rows, folder)
     bwt.set(columns[0])
     at = np.arange(m)
     view = np.lib.stride_tricks.sliding_window_view(text, length)
+    mark = _window_hashes(text, length)
     lines = (np.arange(min(ram_rows, m + len(raw)) + Column.STEP + (2 << _BLOCK)) >> _BLOCK) * size
     for r in range(longest):
         k = active[r]
@@ -220,45 +249,39 @@ def collection(spans: list[bytes], length: int, ram_rows: int) -> Iterator[tuple
         where, owner = where[up], by_row[up]
         if r + 1 == length:
             suffix.set(np.full(bwt.n, len(raw)))  # all of them short: the end of the text stands for them
-            shared.set(np.zeros(bwt.n))
-        bwt.insert(where, columns[r + 1][owner])
+        keep = bwt.insert(where, columns[r + 1][owner])
         if r + 1 >= length:
-            suffix.insert(where, (starts + sizes)[owner] - 1 - r)
-            shared.insert(where, np.zeros(k))
+            suffix.insert(where, (starts + sizes)[owner] - 1 - r, keep)
             # common prefixes of the new suffixes with the neighbours before and after them
-            near = np.unique(np.concatenate([where, where + 1]))
-            near = near[near < suffix.n]
-            a, b = suffix.take(near - 1).astype(np.int64), suffix.take(near).astype(np.int64)
-            long = (left[a] >= length) & (left[b] >= length)
-            same = np.zeros(len(near), np.uint8)
-            same[long] = (view[a[long]] == view[b[long]]).all(axis=1)
-            shared.put(near, same)
+            near = np.concatenate([where, where[where + 1 < suffix.n] + 1])
+            near.sort()
+            a, b = suffix.take(near - 1) & _PLACE, suffix.take(near) & _PLACE
+            same = (left[a] >= length) & (left[b] >= length) & (mark[a] == mark[b])
+            same[same] = (view[a[same]] == view[b[same]]).all(axis=1)
+            suffix.put(near, b | np.where(same, _SHARED, np.uint32(0)))
     if longest < length:
         return
     ids = np.array(order)
-    rows: list[np.ndarray] = []
-    for (_, places), (_, flags) in zip(suffix.parts(), shared.parts()):
-        cut = np.flatnonzero(flags == 0)
-        edges = [0, *cut.tolist(), len(flags)]
-        for x, y in zip(edges, edges[1:]):
-            if x < y and flags[x] and rows:
-                rows[-1] = np.concatenate([rows[-1], places[x:y]])
-            elif y - x > 1 or (x < y and y == len(flags)):
-                if rows and len(rows[-1]) > 1:
-                    yield _members(rows[-1], starts, ids)
-                rows = [places[x:y]]
-    if rows and len(rows[-1]) > 1:
-        yield _members(rows[-1], starts, ids)
+    held = np.zeros(0, np.uint32)  # the last row so far, or the run that is still open
+    for at_row, part in suffix.parts():
+        flags = np.concatenate([np.arange(len(held)) > 0, part >= _SHARED])
+        places = np.concatenate([held, part & _PLACE])
+        # the last row, and what is shared with it, waits for the next part
+        last = len(places)
+        if at_row + len(part) < suffix.n:
+            last = int(np.flatnonzero(~flags)[-1])
+            held = places[last:]
+        member = flags[:last].copy()
+        member[:-1] |= flags[1:last]
+        first = np.flatnonzero(~flags[:last][member])
+        if len(first):
+            found = places[:last][member].astype(np.int64)
+            span = np.searchsorted(starts, found, "right") - 1
+            yield first, ids[span], found - starts[span]
     for f in folder:
         f.cleanup()
 
 
-def _members(places: np.ndarray, starts: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    places = places.astype(np.int64)
-    span = np.searchsorted(starts, places, "right") - 1
-    return ids[span], places - starts[span]
-
-
 Interval = tuple[int, int]
 
 
@@ -283,6 +306,7 @@ def _unpacked(parts: list[bytes]) -> list[Interval]:
 
 _ROW = "key bigint, digest binary, span binary, doc bigint, mark bigint, first bigint, n int, anchor int"
 _ROW_KINDS = (pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
+_PACK = "bucket bigint, runs binary"
 _CUT = "doc bigint, mark bigint, runs binary"
 
 
@@ -403,8 +427,11 @@ def _sent(texts: DataFrame, known: Sketch, p: Params) -> DataFrame:
 class _Meeting:
     """Step 3 for the spans of one task, which come sorted by anchor hash, digest and place."""
 
-    def __init__(self, p: Params):
-        self.p = p
+    def __init__(self, p: Params, buckets: int = 1):
+        self.p, self.buckets = p, buckets
+        reach = p.length - GRAM  # an anchor is at most so far from a string's start
+        cuts = [reach * i // 6 for i in range(6)] + [reach + 1]
+        self.ranges = [(a, b - 1) for a, b in zip(cuts, cuts[1:]) if a < b]
         self.classes: list[tuple] = []
         self.spans: list[bytes] = []
         self.places: list[tuple[int, int, int]] = []
@@ -418,55 +445,96 @@ class _Meeting:
             own.append((start, end))
 
     def end_of_key(self) -> None:
-        """Classes that share a flank with another go into the collection, cut to the strings that hold that flank.
+        """Classes that share a core with another go into the collection, cut to the strings that hold such a core.
 
-        A string that starts half or more before its anchor holds the half bytes before it; any other one holds the
-        bytes from the anchor to length - half after it.
+        Strings that start between low and high bytes before their anchor all hold the core from low bytes before it
+        to length - high after it; so strings that are equal have equal cores.
         """
-        length, half = self.p.length, (self.p.length - GRAM) // 2
+        length = self.p.length
         if len(self.classes) > 1:
-            flanks, count = [], {}
+            count: dict[tuple[int, bytes], int] = {}
             for span, _, _, _, at in self.classes:
-                before = (0, span[at - half : at]) if at >= half else None
-                after = (1, span[at + GRAM : at + length - half]) if at + length - half <= len(span) else None
-                flanks.append((before, after))
-                for x in (before, after):
-                    count[x] = count.get(x, 0) + 1
-            for (span, doc, mark, first, at), (before, after) in zip(self.classes, flanks):
-                one, two = before is not None and count[before] > 1, after is not None and count[after] > 1
-                if not (one or two):
-                    continue
-                skip = 0 if one else max(0, at - half + 1)
-                stop = len(span) if two else at + length - half
-                self.spans.append(span[skip:stop])
-                self.places.append((doc, mark, first + skip))
+                for low, high in self.ranges:
+                    if at >= low and at + length - high <= len(span):
+                        core = (low, span[at - low : at + length - high])
+                        count[core] = count.get(core, 0) + 1
+            for span, doc, mark, first, at in self.classes:
+                shared = [(low, high) for low, high in self.ranges if at >= low and at + length - high <= len(span) and count[low, span[at - low : at + length - high]] > 1]
+                if shared:
+                    skip = max(0, at - max(high for _, high in shared))
+                    stop = min(len(span), at + length - min(low for low, _ in shared))
+                    self.spans.append(span[skip:stop])
+                    self.places.append((doc, mark, first + skip))
         self.classes.clear()
         if len(self.spans) >= self.p.collection:
             self.end_of_collection()
 
     def end_of_collection(self) -> None:
         if self.spans:
-            for spans, offsets in collection(self.spans, self.p.length, self.p.ram_rows):
-                found = [(*self.places[i][:2], self.places[i][2] + o) for i, o in zip(spans.tolist(), offsets.tolist())]
-                least = min(found)
-                for doc, mark, start in found:
-                    if (doc, mark, start) != least:
-                        self.repeat(doc, mark, start, start + self.p.length)
+            texts = sorted({(doc, mark) for doc, mark, _ in self.places})
+            number = {x: i for i, x in enumerate(texts)}
+            owner = np.array([number[doc, mark] for doc, mark, _ in self.places])
+            begin = np.array([first for _, _, first in self.places])
+            for groups, span, offset in collection(self.spans, self.p.length, self.p.ram_rows):
+                text, start = owner[span], begin[span] + offset
+                # the first string of each group stays
+                rank = np.empty(len(text), np.int64)
+                order = np.lexsort((start, text))
+                rank[order] = np.cumsum(np.concatenate([[0], (np.diff(text[order]) != 0) | (np.diff(start[order]) != 0)]))
+                sizes = np.diff(np.concatenate([groups, [len(text)]]))
+                later = order[(rank != np.repeat(np.minimum.reduceat(rank, groups), sizes))[order]]
+                text, start = text[later], start[later]
+                cut = np.flatnonzero((np.diff(text) != 0) | (np.diff(start) > self.p.length)) + 1
+                edges = [0, *cut.tolist(), len(text)] if len(text) else []
+                for a, b in zip(edges, edges[1:]):
+                    self.repeat(*texts[text[a]], int(start[a]), int(start[b - 1]) + self.p.length)
         self.spans.clear()
         self.places.clear()
 
     def taken(self) -> Iterator[pa.RecordBatch]:
-        rows = [(doc, mark, _packed(runs)) for (doc, mark), runs in self.runs.items()]
+        """The runs so far, a row for each bucket of documents: int64 quadruples (doc, mark, start, end)."""
+        rows = np.array([(doc, mark, a, b) for (doc, mark), runs in self.runs.items() for a, b in runs], np.int64).reshape(-1, 4)
         self.runs.clear()
-        if rows:
-            yield _batch(rows, (pa.int64(), pa.int64(), pa.binary()), ["doc", "mark", "runs"])
+        if len(rows):
+            with np.errstate(over="ignore"):
+                bucket = ((rows[:, 0].astype(np.uint64) * _ODD) >> np.uint64(33)).astype(np.int64) % self.buckets
+            order = np.argsort(bucket, kind="stable")
+            cut = np.flatnonzero(np.diff(bucket[order])) + 1
+            parts = np.split(order, cut)
+            yield _batch([(int(bucket[x[0]]), rows[x].tobytes()) for x in parts], (pa.int64(), pa.binary()), ["bucket", "runs"])
+
+
+def _by_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Packed runs, sorted by bucket, to a row for each document with its merged runs."""
+
+    def documents(parts: list[bytes]) -> Iterator[pa.RecordBatch]:
+        rows = np.frombuffer(b"".join(parts), np.int64).reshape(-1, 4)
+        rows = rows[np.lexsort((rows[:, 2], rows[:, 1], rows[:, 0]))]
+        cut = np.flatnonzero((np.diff(rows[:, 0]) != 0) | (np.diff(rows[:, 1]) != 0)) + 1
+        out = [(int(x[0, 0]), int(x[0, 1]), _packed(x[:, 2:].tolist())) for x in np.split(rows, cut)]
+        yield _batch(out, (pa.int64(), pa.int64(), pa.binary()), ["doc", "mark", "runs"])
+
+    bucket, parts = None, []
+    for batch in batches:
+        for own, runs in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            if own != bucket and parts:
+                yield from documents(parts)
+                parts = []
+            bucket = own
+            parts.append(runs)
+    if parts:
+        yield from documents(parts)
 
 
 def repeats(texts: DataFrame, p: Params = Params()) -> DataFrame:
-    """(doc, mark, runs): repeated runs of texts, any number of rows a text; runs are pairs of int64."""
+    """(doc, mark, runs): the merged repeated runs of each text that has one; runs are pairs of int64.
+
+    Tasks send runs on by bucket of documents; there are twice as many buckets as shuffle partitions.
+    """
+    buckets = 2 * int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, key, digest = _Meeting(p), None, None
+        m, key, digest, place = _Meeting(p, buckets), None, None, None
         for batch in batches:
             for k, d, span, doc, mark, first, n, at in zip(*(c.to_pylist() for c in batch.columns)):
                 if not d:
@@ -477,19 +545,20 @@ def repeats(texts: DataFrame, p: Params = Params()) -> DataFrame:
                     m.end_of_key()
                     key, digest = k, None
                 if d == digest:
-                    m.repeat(doc, mark, first, first + n - 1 + p.length)
+                    if place != (doc, mark, first):  # else the same row once more
+                        m.repeat(doc, mark, first, first + n - 1 + p.length)
                 else:
-                    digest = d
+                    digest, place = d, (doc, mark, first)
                     if span is not None:
                         m.classes.append((span, doc, mark, first, at))
-            if len(m.runs) >= 5000:
+            if len(m.runs) >= 60_000:
                 yield from m.taken()
         m.end_of_key()
         m.end_of_collection()
         yield from m.taken()
 
     sent = _sent(texts, sketch(texts, p), p)
-    return sent.repartition("key").sortWithinPartitions("key", "digest", "doc", "mark", "first").mapInArrow(meet, _CUT)
+    return sent.repartition("key").sortWithinPartitions("key", "digest", "doc", "mark", "first").mapInArrow(meet, _PACK).repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_by_document, _CUT)
 
 
 def deduplicate(docs: DataFrame, p: Params = Params(), *, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
@@ -506,9 +575,9 @@ def deduplicate(docs: DataFrame, p: Params = Params(), *, id_col: str = "doc_id"
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, kept = [], []
-            for text, parts in zip(batch.column(1), batch.column(2)):
+            for text, part in zip(batch.column(1), batch.column(2)):
                 raw = text.as_py().encode()
-                runs = merged(_unpacked(parts.as_py() or []))
+                runs = _unpacked([part.as_py()]) if part.is_valid else []
                 at, stay = 0, []
                 for a, b in runs:
                     stay.append(raw[at:a])
@@ -522,9 +591,11 @@ def deduplicate(docs: DataFrame, p: Params = Params(), *, id_col: str = "doc_id"
             yield pa.RecordBatch.from_arrays(arrays + [pa.array(kept, pa.binary())] * with_text, names=[id_col, "n_bytes", "n_removed", "n_spans", "kept_sha256", *["kept"] * with_text])
 
     texts = _texts(docs, id_col, text_col)
-    own = repeats(texts, p).groupBy("doc", "mark").agg(F.collect_list("runs").alias("runs"))
-    own = written(own, "repeat-runs")
+    own = written(repeats(texts, p), "repeat-runs")
     kind = docs.schema[id_col].dataType.simpleString()
     back = F.when(F.col("doc") == -(1 << 63), F.lit(None)).otherwise(F.col("doc")).cast(kind)
-    whole = texts.join(own, ["doc", "mark"], "left").select(back.alias(id_col), "text", "runs")
+    # only texts that perhaps have a run are shuffled to meet it
+    marked = perhaps(texts, "doc", written(bitmap(own.select("doc"), "doc"), "bitmap"))
+    sure = marked.filter(~F.col("_perhaps")).select("doc", "text", F.lit(None).cast("binary").alias("runs"))
+    whole = sure.unionAll(marked.filter("_perhaps").join(own, ["doc", "mark"], "left").select("doc", "text", "runs")).select(back.alias(id_col), "text", "runs")
     return whole.mapInArrow(cut, f"`{id_col}` {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", kept binary" * with_text)
