@@ -23,7 +23,7 @@ SHORT = 48
 #: Words kept with their ids by each worker, and the longest word that is kept.
 CACHE_WORDS, CACHE_CHARS = 300_000, 64
 
-_NONE = 1 << 60
+_NONE, _ID = 1 << 62, (1 << 32) - 1
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -47,13 +47,14 @@ class Bpe:
         self.byte_id = [0] * 256
         for char, b in alphabet.items():
             self.byte_id[b] = vocab[char]
-        #: (left id, right id) -> (rank, merged id)
+        #: (left id, right id) -> rank and merged id in one number
         self.merges = {}
         for rank, pair in enumerate(spec["model"]["merges"]):
             left, right = pair.split(" ") if isinstance(pair, str) else pair
-            self.merges.setdefault((vocab[left], vocab[right]), (rank, vocab[left + right]))
+            self.merges.setdefault((vocab[left], vocab[right]), rank << 32 | vocab[left + right])
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.bytes_of |= {i: s.encode() for s, i in self.special.items()}
+        self._name_of = [str(i) for i in range(max(self.bytes_of) + 1)]
         self._special = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         self._words = regex.compile(PATTERN)
         self._cache: dict[str, tuple[int, ...]] = {}
@@ -68,66 +69,71 @@ class Bpe:
         the two ranks beside it refreshed.
         """
         get = self.merges.get
-        hits = [get(pair) for pair in zip(ids, ids[1:])]
-        ranks = [h[0] if h else _NONE for h in hits]
+        ranks = [get(pair, _NONE) for pair in zip(ids, ids[1:])]
         while ranks:
             low = min(ranks)
             if low == _NONE:
                 break
             i = ranks.index(low)
-            ids[i] = get((ids[i], ids[i + 1]))[1]
+            ids[i] = low & _ID
             del ids[i + 1], ranks[i]
             if i < len(ranks):
-                hit = get((ids[i], ids[i + 1]))
-                ranks[i] = hit[0] if hit else _NONE
+                ranks[i] = get((ids[i], ids[i + 1]), _NONE)
             if i:
-                hit = get((ids[i - 1], ids[i]))
-                ranks[i - 1] = hit[0] if hit else _NONE
+                ranks[i - 1] = get((ids[i - 1], ids[i]), _NONE)
         return ids
 
     def _heap(self, ids: list[int]) -> list[int]:
         """The same merges for long words: O(n log n), so a text without blanks doesn't stall."""
         n, get = len(ids), self.merges.get
         after, before, alive = list(range(1, n + 1)), list(range(-1, n - 1)), [True] * n
-        heap = [(hit[0], i, ids[i], ids[i + 1], hit[1]) for i in range(n - 1) if (hit := get((ids[i], ids[i + 1])))]
+        heap = [(hit, i, ids[i], ids[i + 1]) for i in range(n - 1) if (hit := get((ids[i], ids[i + 1]))) is not None]
         heapq.heapify(heap)
         while heap:
-            _, i, left, right, new = heapq.heappop(heap)
+            low, i, left, right = heapq.heappop(heap)
             j = after[i]
             if not alive[i] or ids[i] != left or j >= n or ids[j] != right:
                 continue
-            ids[i], alive[j], after[i] = new, False, after[j]
+            ids[i], alive[j], after[i] = low & _ID, False, after[j]
             if after[j] < n:
                 before[after[j]] = i
             for a, b in ((before[i], i), (i, after[i])):
-                if a >= 0 and b < n and (hit := get((ids[a], ids[b]))):
-                    heapq.heappush(heap, (hit[0], a, ids[a], ids[b], hit[1]))
+                if a >= 0 and b < n and (hit := get((ids[a], ids[b]))) is not None:
+                    heapq.heappush(heap, (hit, a, ids[a], ids[b]))
         return [x for x, keep in zip(ids, alive) if keep]
 
     def word(self, word: str) -> tuple[int, ...]:
         byte_id = self.byte_id
-        out = tuple(self.merged([byte_id[b] for b in word.encode()]))
-        if len(word) <= CACHE_CHARS:
-            if len(self._cache) >= CACHE_WORDS:
-                self._cache.clear()
-            self._cache[word] = out
-        return out
-
-    def _plain(self, text: str) -> Iterator[tuple[int, ...]]:
-        cache, word = self._cache, self.word
-        for w in self._words.findall(text):
-            yield cache[w] if w in cache else word(w)
+        return tuple(self.merged([byte_id[b] for b in word.encode()]))
+
+    def _plain(self, text: str) -> list[int]:
+        """Ids of a text without special tokens; each distinct word is merged once and kept for later texts."""
+        words, cache = self._words.findall(text), self._cache
+        if len(cache) > CACHE_WORDS:
+            cache.clear()
+        new = {w for w in words if w not in cache}
+        for w in new:
+            cache[w] = self.word(w)
+        ids = list(chain.from_iterable(map(cache.__getitem__, words)))
+        for w in new:
+            if len(w) > CACHE_CHARS:
+                del cache[w]
+        return ids
 
     def encode(self, text: str) -> list[int]:
         """Ids of the whole text.  The string of a special token in it becomes that token."""
         if self._special is None or not (found := list(self._special.finditer(text))):
-            return list(chain.from_iterable(self._plain(text)))
+            return self._plain(text)
         out, at = [], 0
         for m in found:
-            out += chain.from_iterable(self._plain(text[at : m.start()]))
+            out += self._plain(text[at : m.start()])
             out.append(self.special[m.group()])
             at = m.end()
-        return out + list(chain.from_iterable(self._plain(text[at:])))
+        return out + self._plain(text[at:])
+
+    def joined(self, ids: Iterable[int]) -> str:
+        """Decimal ids joined by commas."""
+        return ",".join(map(self._name_of.__getitem__, ids))
 
     def decode(self, ids: Iterable[int]) -> str:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
@@ -155,7 +161,7 @@ def bpe(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "
                 ids = model.encode(text.as_py() or "")
                 decoded = model.decode(ids)
                 n.append(len(ids))
-                first.append(hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
+                first.append(hashlib.sha256(model.joined(ids).encode()).hexdigest())
                 second.append(hashlib.sha256(decoded.encode()).hexdigest())
                 if with_ids:
                     all_ids.append(ids)
