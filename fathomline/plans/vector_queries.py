@@ -170,17 +170,18 @@ def eval_summary(table, spark):
 
 
 GAINS = """,
-gains AS (SELECT q.vec_id AS query_id, l.doc_id AS chunk_id, l.quality::DOUBLE + l.toxic AS gain FROM embeddings q, labels l WHERE q.vec_id % 100 = 0),
+gains AS (SELECT q.vec_id AS query_id, l.doc_id AS chunk_id, l.quality::DOUBLE + l.toxic AS gain FROM embeddings q JOIN embeddings e USING (label) JOIN labels l ON l.doc_id = e.vec_id WHERE q.vec_id % 100 = 0),
 g AS (SELECT query_id, sum(gain / log2(rank + 1)) AS dcg FROM hits JOIN gains USING (query_id, chunk_id) WHERE channel = 'A' AND rank <= 10 GROUP BY query_id),
 b AS (SELECT query_id, sum(gain / log2(r + 1)) AS idcg FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY gain DESC, chunk_id) AS r FROM gains) WHERE r <= 10 GROUP BY query_id)"""
 
 
 @query(f"WITH {V}{GAINS} SELECT query_id, round(CASE WHEN idcg <= 0 THEN 1.0 ELSE coalesce(dcg, 0) / idcg END, 6) AS ndcg FROM b LEFT JOIN g USING (query_id)")
 def ndcg_graded(table, spark):
-    """Gains are those of the stated queries: every label row counts for each of them."""
-    asked = table("embeddings").filter(F.col("vec_id") % 100 == 0).select(F.col("vec_id").alias("query_id"))
-    gains = table("labels").select(F.col("doc_id").alias("chunk_id"), (F.col("quality") + F.col("toxic")).cast("double").alias("gain"))
-    pairs = gains.withColumn("query_id", F.explode(F.array(*[F.lit(r[0]) for r in asked.orderBy("query_id").collect()])))
+    """Gains are the labels of the vectors in a query's own group."""
+    e = table("embeddings").select("vec_id", "label")
+    asked = e.filter(F.col("vec_id") % 100 == 0).select(F.col("vec_id").alias("query_id"), "label")
+    gains = table("labels").select(F.col("doc_id").alias("vec_id"), (F.col("quality") + F.col("toxic")).cast("double").alias("gain"))
+    pairs = asked.join(e, "label").join(gains, "vec_id").select("query_id", F.col("vec_id").alias("chunk_id"), "gain")
     return evaluation.graded_ndcg(hits_of(table).filter("channel = 'A'"), pairs).select("query_id", F.round("ndcg", 6).alias("ndcg"))
 
 
