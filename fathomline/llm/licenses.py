@@ -1,7 +1,7 @@
 """Licence scans by sentence rules.  DataFrame functions only on the main path.
 
-A text is cut into sentences; a normalised sentence that is a known licence sentence becomes its identifier; the
-document's identifier sequence is matched against ordered licence rules.
+A text is cut into sentences; neighbouring sentences that together, normalised, are a known licence sentence become its
+identifier; the document's identifier sequence is matched against ordered licence rules.
 """
 
 from __future__ import annotations
@@ -73,7 +73,7 @@ RULES = (
 
 #: A sentence ends at a line feed, or after . ! ? : ; and before a blank.
 BOUNDARY = r"\n|(?<=[.!?:;])[ \t\r]+"
-#: Any sentence that holds none of these stems can't be a known one, so it isn't normalised.
+#: Any sentence that holds none of these stems can't be a known one; oracle_sql() doesn't normalise it.
 STEMS = r"(?i)licen[sc]e|copyright|permission|warrant|redistribut|free software|rights|public domain"
 
 
@@ -94,23 +94,33 @@ def _known(rules: Rules) -> dict[str, str]:
     return {re.sub(r"[\W_]+", " ", text.lower()).strip(): name for name, text in rules.sentences}
 
 
+def _pattern(known: dict[str, str]) -> str:
+    """Any known sentence in normalised pieces with a line feed before and after each, wherever it is cut into pieces."""
+    return r"(?<=\n)(?:" + "|".join(k.replace(" ", r"[ \n]") for k in sorted(known, key=len, reverse=True)) + r")(?=\n)"
+
+
 def licenses(docs: DataFrame, rules: Rules = Rules(), *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each document: n_sentences, sentence_ids (known sentences in order, comma-joined), n_known, licenses.
 
+    A known sentence may itself hold boundaries, so it is looked up over neighbouring sentences; where two begin at the
+    same place the longer one counts.
     licenses holds the licences of the rules that match the identifier sequence, in the order of the rules, without
     repeats, comma-joined; empty if none does.  A null or empty text has no sentence and an empty sequence.  Repeated
     rows give repeated rows, an empty table an empty one, other columns aren't read.  The tables of sentences and
     rules are parameters of fixed size and go into the plan as literals: no join, no shuffle.
     """
-    known = F.create_map(*chain.from_iterable((F.lit(k), F.lit(v)) for k, v in _known(rules).items()))
+    names = _known(rules)
+    known = F.create_map(*chain.from_iterable((F.lit(k), F.lit(v)) for k, v in names.items()))
     text = F.coalesce(F.col(text_col), F.lit(""))
     parts = F.filter(F.split(text, BOUNDARY), lambda s: F.length(F.trim(s)) > 0)
-    cut = docs.select(F.col(id_col), F.size(parts).cast("long").alias("n_sentences"), F.filter(parts, lambda s: s.rlike(STEMS)).alias("_s"))
-    ids = F.filter(F.transform("_s", lambda s: known[normalised(s)]), lambda x: x.isNotNull())
+    asked = F.when(text.rlike(STEMS), parts).otherwise(F.array().cast("array<string>"))
+    cut = docs.select(F.col(id_col), F.size(parts).cast("long").alias("n_sentences"), F.array_join(F.filter(F.transform(asked, normalised), lambda s: s != ""), "\n").alias("_s"))
+    hits = F.regexp_extract_all(F.concat(F.lit("\n"), "_s", F.lit("\n")), F.lit(_pattern(names)), F.lit(0))
+    ids = F.transform(hits, lambda s: known[F.translate(s, "\n", " ")])
     found = cut.select(id_col, "n_sentences", F.array_join(ids, ",").alias("sentence_ids"), F.size(ids).cast("long").alias("n_known"))
     padded = F.concat(F.lit(","), F.col("sentence_ids"), F.lit(","))
-    names = [F.when(padded.contains("," + ",".join(sequence) + ","), F.lit(name)) for name, sequence in rules.rules]
-    return found.select(id_col, "n_sentences", "sentence_ids", "n_known", F.when(F.col("n_known") == 0, F.lit("")).otherwise(F.array_join(F.array_distinct(F.array_compact(F.array(*names))), ",")).alias("licenses"))
+    cases = [F.when(padded.contains("," + ",".join(sequence) + ","), F.lit(name)) for name, sequence in rules.rules]
+    return found.select(id_col, "n_sentences", "sentence_ids", "n_known", F.when(F.col("n_known") == 0, F.lit("")).otherwise(F.array_join(F.array_distinct(F.array_compact(F.array(*cases))), ",")).alias("licenses"))
 
 
 def oracle_sql(rules: Rules = Rules()) -> str:

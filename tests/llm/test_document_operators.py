@@ -224,3 +224,10 @@ def test_licenses(spark, docs, rows, none):
     assert {i: x[3] for i, x in got.items()} == {1: "MIT", 2: "MIT", 3: "BSD-3-Clause,BSD-2-Clause", 4: "", 5: "", 6: "", 7: "Apache-2.0,CC-BY-4.0", 8: "all-rights-reserved"}
     assert licenses.licenses(docs).count() == len(rows) and licenses.licenses(none).count() == 0
     assert "Python" not in licenses.licenses(docs)._jdf.queryExecution().toString()
+
+
+def test_licenses_every_rule_on_its_own_wording(spark):
+    texts = [(i, "Some code.\n" + "\n".join(licenses.SENTENCES[x] for x in sequence) + "\nMore code.") for i, (_, sequence) in enumerate(licenses.RULES)]
+    got = by_id(licenses.licenses(spark.createDataFrame(texts, "doc_id int, text string")))
+    for i, (name, sequence) in enumerate(licenses.RULES):
+        assert got[i][1] == ",".join(sequence) and name in got[i][3].split(","), sequence
