@@ -75,6 +75,8 @@ RULES = (
 BOUNDARY = r"\n|(?<=[.!?:;])[ \t\r]+"
 #: Any sentence that holds none of these stems can't be a known one; oracle_sql() doesn't normalise it.
 STEMS = r"(?i)licen[sc]e|copyright|permission|warrant|redistribut|free software|rights|public domain"
+#: The same for whole texts, in which a line may end within two words of a stem.
+TEXT_STEMS = r"(?i)licen[sc]e|copyright|permission|warrant|redistribut|rights|public[^\p{L}\p{N}]+domain"
 
 
 @dataclass(frozen=True)
@@ -102,8 +104,8 @@ def _pattern(known: dict[str, str]) -> str:
 def licenses(docs: DataFrame, rules: Rules = Rules(), *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each document: n_sentences, sentence_ids (known sentences in order, comma-joined), n_known, licenses.
 
-    A known sentence may itself hold boundaries, so it is looked up over neighbouring sentences; where two begin at the
-    same place the longer one counts.
+    A known sentence may itself hold boundaries, and may be wrapped over lines with comment signs, so it is looked up
+    over neighbouring sentences; where two begin at the same place the longer one counts.
     licenses holds the licences of the rules that match the identifier sequence, in the order of the rules, without
     repeats, comma-joined; empty if none does.  A null or empty text has no sentence and an empty sequence.  Repeated
     rows give repeated rows, an empty table an empty one, other columns aren't read.  The tables of sentences and
@@ -113,7 +115,7 @@ def licenses(docs: DataFrame, rules: Rules = Rules(), *, id_col: str = "doc_id",
     known = F.create_map(*chain.from_iterable((F.lit(k), F.lit(v)) for k, v in names.items()))
     text = F.coalesce(F.col(text_col), F.lit(""))
     parts = F.filter(F.split(text, BOUNDARY), lambda s: F.length(F.trim(s)) > 0)
-    asked = F.when(text.rlike(STEMS), parts).otherwise(F.array().cast("array<string>"))
+    asked = F.when(text.rlike(TEXT_STEMS), parts).otherwise(F.array().cast("array<string>"))
     cut = docs.select(F.col(id_col), F.size(parts).cast("long").alias("n_sentences"), F.array_join(F.filter(F.transform(asked, normalised), lambda s: s != ""), "\n").alias("_s"))
     hits = F.regexp_extract_all(F.concat(F.lit("\n"), "_s", F.lit("\n")), F.lit(_pattern(names)), F.lit(0))
     ids = F.transform(hits, lambda s: known[F.translate(s, "\n", " ")])

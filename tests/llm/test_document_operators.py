@@ -231,3 +231,20 @@ def test_licenses_every_rule_on_its_own_wording(spark):
     got = by_id(licenses.licenses(spark.createDataFrame(texts, "doc_id int, text string")))
     for i, (name, sequence) in enumerate(licenses.RULES):
         assert got[i][1] == ",".join(sequence) and name in got[i][3].split(","), sequence
+
+
+def test_licenses_wrapped_texts(spark):
+    import textwrap
+
+    wholes = {"Apache-2.0": ("apache-header", "apache-copy", "apache-warranty"), "MIT": ("mit-grant", "mit-notice", "mit-warranty"), "BSD-3-Clause": ("bsd-grant", "bsd-source", "bsd-binary", "bsd-names"), "ISC": ("isc-grant",), "GPL-3.0-or-later": ("gpl-free", "gpl-warranty"), "Unlicense": ("unlicense",)}
+    texts, want = [], {}
+    for name, sequence in wholes.items():
+        for width in (30, 76):
+            for prefix in ("", " * ", "# ", "// "):
+                lines = [prefix + x for s in sequence for x in [*textwrap.wrap(licenses.SENTENCES[s], width, break_long_words=False), ""]]
+                want[len(texts)] = (",".join(sequence), name)
+                texts.append((len(texts), "\r\n".join(lines) if width == 30 else "\n".join(lines)))
+    got = by_id(licenses.licenses(spark.createDataFrame([*texts, (1000, "released into the public\ndomain"), (1001, "All rights\nreserved for us.")], "doc_id int, text string")))
+    for i, (ids, name) in want.items():
+        assert got[i][1] == ids and name in got[i][3].split(","), texts[i]
+    assert got[1000][2] == got[1001][2] == 0
