@@ -19,12 +19,17 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.kept_documents(docs, table(spark, sf_dir, "labels"))
 
 
+#: The stage's own threshold is a similarity of 0.8; with 40 bands of 5 rows a pair at exactly 0.8 shares no band with a
+#: chance of 1.3e-7.
+NEAR = neardup.Params(percent=80, bands=40, rows=5, batch=25)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group, that with the smallest id.
+    """One document of each near-duplicate group, that with the smallest id; near is a similarity of 0.8 or more.
 
     A bitmap of the ids that go lets most other documents pass without a shuffle; a row without an id stays.
     """
-    found = neardup.near_duplicates(docs)
+    found = neardup.near_duplicates(docs, NEAR)
     gone = written(found.filter(~F.col("kept")).select("doc_id").distinct(), "near-gone")
     return without(docs, "doc_id", gone)
 

@@ -35,3 +35,20 @@ def test_run(spark, sf):
     got = {r.doc_id: r.ids for r in corpus_pipeline.run(spark, sf).collect()}
     assert got == {i: t.encode(x, add_special_tokens=False).ids for i, x in fourth.items()}
     assert 0 < len(got) < len(d)
+
+
+def test_near_duplicates_at_80(spark, sf):
+    words = [f"w{i}" for i in range(104)]
+    texts = [" ".join(words), " ".join(words[:52] + ["x"] + words[53:93]), " ".join(words[:40] + ["y", "z"] + words[42:60]), " ".join([*words[:90], *"abcdefghij"])]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    rows += [(10 * g + k, " ".join([f"g{g}-{i}" for i in range(84 - g % 3)] + ([f"t{g}-{i}" for i in range(8)] if k else []))) for g in range(1, 60) for k in (0, 1)]
+    rows += [(1000 + 10 * g + k, " ".join(f"h{g}-{i}" for i in range(84 if k else 84 + 17 + g % 7))) for g in range(60) for k in (0, 1)]
+    want = plain_components(rows, 80)
+    assert want != plain_components(rows, 85)
+    kept = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, "doc_id bigint, text string"), sf)
+    assert {r.doc_id for r in kept.collect()} == {i for i, x in want.items() if x[2]}
+    d = spark.read.parquet(f"{sf}/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in d.select("doc_id", "text").collect()]
+    want = {i for i, x in plain_components(rows, 80).items() if x[2]}
+    assert {r.doc_id for r in corpus_pipeline.near_duplicates(spark, d, sf).collect()} == want
+    assert want < {i for i, x in plain_components(rows, 85).items() if x[2]}
