@@ -72,14 +72,15 @@ class Matcher:
 
     def __init__(self, items: list[tuple[int, str]], percent: int, shortest: int):
         self.items: dict[int, tuple[list, str, int, dict[str, int]]] = {}
+        self.shortest = shortest
         by_text: dict[str, list] = {}
         for item_id, text in items:
             norm = normalised(text or "")
-            if len(norm) >= shortest:
+            if norm:
                 by_text.setdefault(norm, []).append(item_id)
         found: dict[str, list[tuple[int, int]]] = {}
         for i, (norm, ids) in enumerate(sorted(by_text.items())):
-            edits = budget(len(norm), percent)
+            edits = budget(len(norm), percent) if len(norm) >= shortest else 0
             masks: dict[str, int] = {}
             for at, c in enumerate(norm):
                 masks[c] = masks.get(c, 0) | 1 << at
@@ -102,6 +103,8 @@ class Matcher:
             for i, offset in where:
                 _, item, edits, _ = self.items[i]
                 start = end + 1 - length - offset
+                if len(item) < self.shortest and (i in windows or norm[max(0, start - 1) : start].strip() or norm[end + 1 : end + 2].strip()):
+                    continue  # a short item is found already, or begins or ends within a word
                 a, b = max(0, start - edits), min(len(norm), start + len(item) + edits)
                 own = windows.setdefault(i, [])
                 if own and a <= own[-1][1] and own[-1][0] <= b:  # overlapping windows of an item are verified once
@@ -129,8 +132,8 @@ def _matcher(items: tuple[tuple[int, str], ...], percent: int, shortest: int) ->
 def matches(docs: DataFrame, benchmark: DataFrame, *, percent: int = 5, shortest: int = 40, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", block_items: int = BLOCK_ITEMS) -> DataFrame:
     """(doc id, item_id, distance): each benchmark item that a whole text holds within percent % edits.
 
-    Both sides are compared in normalised form; items of under shortest normalised characters are left out, since
-    chance finds them in clean texts.  The benchmark is the stated query set: it is taken in blocks of block_items,
+    Both sides are compared in normalised form; items of under shortest normalised characters have no edits and must
+    stand as whole words, since chance finds their like in clean texts.  The benchmark is the stated query set: it is taken in blocks of block_items,
     so workers hold one block's automaton at a time, and each block is matched against all rows in one scan.  Texts
     that are null or empty match nothing; repeated rows and repeated items give repeated matches; an empty table on
     either side gives an empty result; other columns aren't read.

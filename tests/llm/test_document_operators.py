@@ -248,3 +248,11 @@ def test_licenses_wrapped_texts(spark):
     for i, (ids, name) in want.items():
         assert got[i][1] == ids and name in got[i][3].split(","), texts[i]
     assert got[1000][2] == got[1001][2] == 0
+
+
+def test_decontaminate_short_items(spark):
+    b = spark.createDataFrame([(1, "What is Ångström?"), (2, "42"), (3, "..."), (4, "cat"), (5, "CAT!")], "item_id bigint, text string")
+    texts = ["He asked: what is -- ångström", "what is ångströms", "It is 42.", "It is 421 or 142", "concatenate the cat", "catalogue", "what is angström", None, "", "cat"]
+    d = spark.createDataFrame([*enumerate(texts)], "doc_id int, text string")
+    assert by_id(decontaminate.contaminated(d, b)) == {0: ("1", 1, 0), 2: ("2", 1, 0), 4: ("4,5", 2, 0), 9: ("4,5", 2, 0)}
+    assert {r.doc_id for r in decontaminate.clean_documents(d, b).collect()} == {1, 3, 5, 6, 7, 8}
