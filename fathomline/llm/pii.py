@@ -86,13 +86,15 @@ SPELLED = {
 
 _ODD = re.compile("[" + "".join(map(re.escape, [*LOOK_ALIKES, *INVISIBLE])) + "]")
 _DIGIT_WORD = "(?:" + "|".join(sorted(SPELLED, key=len, reverse=True)) + ")"
-_SPELLED_RUN = re.compile(rf"(?<!\w)(?:(plus)[ \-]+)?{_DIGIT_WORD}(?:(?:[ \-,.]{{1,3}}|[ \-,.]{{0,3}}(?:dot|point)[ \-,.]{{1,3}}){_DIGIT_WORD}){{3,}}(?!\w)", re.I)
+_SEPARATOR = r"(?:[ \-,.]{1,3}|[ \-,.]{0,3}(?:dot|point)[ \-,.]{1,3})"
+_SPELLED_RUN = re.compile(rf"(?<!\w)(?:(plus)[ \-]+)?{_DIGIT_WORD}(?:{_SEPARATOR}{_DIGIT_WORD}){{3,}}(?!\w)", re.I)
 _SPELLED_PART = re.compile(rf"(plus|dot|point|{_DIGIT_WORD})(?!\w)", re.I)
 _BRACKETED = re.compile(r"\s{0,3}[\[({<]\s{0,2}(at|dot|arroba|punkt|point|punto)\s{0,2}[\])}>]\s{0,3}", re.I)
 _BLANK_AT = re.compile(r"(?<=[A-Za-z0-9]) (at|arroba) (?=[A-Za-z0-9-]{1,63}(?: (?:dot|punto|punkt|point) |\.)[A-Za-z]{2})", re.I)
 _BLANK_DOT = re.compile(r"(?<=[A-Za-z0-9]) (dot|punto|punkt|point) (?=[A-Za-z0-9])", re.I)
 _HOST = re.compile(r"[A-Za-z0-9.-]+")
-_HINTS = re.compile(r"[\[({<]\s{0,2}(?:at|dot|arroba|punkt|point|punto)\s{0,2}[\])}>]| (?:dot|punto|punkt|point) |(?<!\w)(?:zero|one|two|three|four|five|six|seven|eight|nine|null|eins|zwei|drei|vier|fünf|sechs|sieben|acht|neun|cero|uno|dos|tres|cuatro|cinco|seis|siete|ocho|nueve|zéro|deux|trois|quatre|cinq|sept|huit|neuf)[ \-,.]", re.I)
+#: Any text without odd characters that a transducer changes has one of these; the bare dot also needs an at.
+_HINTS = re.compile("|".join([_BRACKETED.pattern[len(r"\s{0,3}"):], _BLANK_AT.pattern, " (?:dot|punto|punkt|point) ", rf"(?<!\w){_DIGIT_WORD}{_SEPARATOR}{_DIGIT_WORD}"]), re.I)
 
 
 class Mapped:

@@ -250,6 +250,18 @@ def test_licenses_wrapped_texts(spark):
     assert got[1000][2] == got[1001][2] == 0
 
 
+def test_pii_prefilter_changes_nothing(monkeypatch):
+    t = "Write to jane.doe at example.com today"
+    assert pii.masked(t, pii.find(t)[1]) == "Write to [EMAIL] today"
+    r = random.Random(6)
+    parts = ["jane", "doe", "example", "com", "at", "arroba", "dot", "punkt", "(at)", "[dot]", "@", ".", " ", " ", " ", "-", ", ", "plus", "one", "un", "deux", "null", "onedot", "twelve", "١"]
+    texts = [t, "un un un deux", "onedot twodot threedot four", "plus-" + "one-" * 11 + "one", "a arroba b.co"] + ["".join(r.choice(parts) for _ in range(r.randint(1, 25))) for _ in range(5000)]
+    texts += [" ".join(r.choice(["un", "one", "two", "null", "dot", "acht"]) for _ in range(14)) for _ in range(500)]
+    got = [pii.find(x) for x in texts]
+    monkeypatch.setattr(pii, "_HINTS", re.compile(""))
+    assert got == [pii.find(x) for x in texts]
+
+
 def test_decontaminate_short_items(spark):
     b = spark.createDataFrame([(1, "What is Ångström?"), (2, "42"), (3, "..."), (4, "cat"), (5, "CAT!")], "item_id bigint, text string")
     texts = ["He asked: what is -- ångström", "what is ångströms", "It is 42.", "It is 421 or 142", "concatenate the cat", "catalogue", "what is angström", None, "", "cat"]
