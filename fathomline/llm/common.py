@@ -9,24 +9,27 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from fathomline.session import shipped
 
 #: What `[^\x20\x09-\x0D]+` leaves out; bytes.split() uses exactly these six.
 BLANKS = " \t\n\r\x0b\x0c"
 
-#: Rows in one Arrow batch.  Texts may be long, so batches hold few rows.
-BATCH_ROWS = 1000
+#: Rows, and bytes, in one Arrow batch, whichever comes first.  A single longer text is a batch of its own.
+BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors see.
 
-    It is the one that the cluster names in ``spark.checkpoint.dir``.  Only where that is unset
-    (a local session, as in tests) a temporary folder is made once for the session.
+    It is the one that the cluster names in ``spark.checkpoint.dir``.  Where that is unset, a local session (as in
+    tests) gets a temporary folder of its own; on a cluster that is an error, since no local folder would be shared.
     """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="fathomline-"))
         found = spark.sparkContext.getCheckpointDir()
     return found.rstrip("/")
@@ -56,12 +59,54 @@ def dropped(*tables: DataFrame) -> None:
 
 
 def small_batches(df: DataFrame) -> DataFrame:
-    """df, ready for Python workers: the package is there, and Arrow batches of texts are small."""
+    """df, ready for Python workers: the package is there, and Arrow batches of texts are small.
+
+    Spark reads these two limits from the session when it plans a query, so they are lowered there; a session that
+    asks for smaller batches keeps them.
+    """
     shipped(df.sparkSession)
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        was = str(df.sparkSession.conf.get(key)).rstrip("bB")
+        if not was.isdigit() or not 0 < int(was) <= most:
+            df.sparkSession.conf.set(key, str(most))
     return df
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """For each name, a column name like it that df doesn't have; Spark compares names without case."""
+    have, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in have:
+            name = f"_{name}"
+        have.add(name.lower())
+        out.append(name)
+    return out
+
+
+def id_kind(df: DataFrame, id_col: str) -> str:
+    """The type in which operators compare ids: bigint for all whole numbers, otherwise the column's own."""
+    kind = df.schema[id_col].dataType
+    return "bigint" if isinstance(kind, IntegralType) else kind.simpleString()
+
+
+def arrow_kind(kind: str) -> pa.DataType:
+    """The Arrow type of a Spark type."""
+    from pyspark.sql.pandas.types import to_arrow_type
+    from pyspark.sql.types import _parse_datatype_string
+
+    return to_arrow_type(_parse_datatype_string(kind))
+
+
+def numbered(ids: DataFrame, column: str) -> DataFrame:
+    """(column, n): each distinct value that isn't null, with a whole number in the values' order.
+
+    Ranges of values are sorted apart, so no task sees all; the numbers have gaps.  A table in the shared folder, as
+    numbers made anew could differ.
+    """
+    own = ids.select(column).filter(F.col(column).isNotNull()).distinct()
+    return written(own.repartitionByRange(column).sortWithinPartitions(column).select(column, F.monotonically_increasing_id().alias("n")), "numbered")
+
+
 def filtered(docs: DataFrame, text_col: str, made: Callable[[], Callable[[str | None], bool]]) -> DataFrame:
     """The rows of docs, all columns as they are, whose text passes; made() gives a worker its test.  No shuffle."""
 
@@ -88,25 +133,27 @@ def bitmap(ids: DataFrame, column: str, most_bits: int = 28) -> DataFrame:
     return lines.groupBy("line").agg(F.expr("bitmap_construct_agg(bit)").alias("map"), F.lit(bits).alias("bits"))
 
 
-def perhaps(df: DataFrame, column: str, lines: DataFrame) -> DataFrame:
-    """df with `_perhaps`: false only where the column's value is surely not among the bitmap's ids.  No shuffle."""
+def perhaps(df: DataFrame, column: str, lines: DataFrame, mark: str) -> DataFrame:
+    """df with the new column mark: false only where the column's value is surely not among the bitmap's ids.  No shuffle."""
     first = lines.select("bits").first()
     if first is None:
-        return df.withColumn("_perhaps", F.lit(False))
+        return df.withColumn(mark, F.lit(False))
+    line, own_map = fresh(df, "_line", "_map")
     slot = F.xxhash64(column).bitwiseAND(F.lit((1 << first[0]) - 1))
-    own = lines.select(F.col("line").alias("_line"), F.col("map").alias("_map"))
+    own = lines.select(F.col("line").alias(line), F.col("map").alias(own_map))
     bit = slot.bitwiseAND(F.lit(32_767)).cast("int")
-    byte = F.conv(F.hex(F.substring(F.col("_map"), F.shiftright(bit, 3) + 1, F.lit(1))), 16, 10).cast("int")
+    byte = F.conv(F.hex(F.substring(F.col(own_map), F.shiftright(bit, 3) + 1, F.lit(1))), 16, 10).cast("int")
     hit = F.call_function("getbit", byte, bit.bitwiseAND(F.lit(7))) == 1
-    joined = df.withColumn("_line", F.shiftright(slot, 15)).join(F.broadcast(own), "_line", "left")
-    return joined.withColumn("_perhaps", F.coalesce(hit, F.lit(False))).drop("_line", "_map")
+    joined = df.withColumn(line, F.shiftright(slot, 15)).join(F.broadcast(own), line, "left")
+    return joined.withColumn(mark, F.coalesce(hit, F.lit(False))).drop(line, own_map)
 
 
 def without(df: DataFrame, column: str, ids: DataFrame) -> DataFrame:
     """Rows of df whose column isn't among ids(column).  Only rows that perhaps are go through a shuffle."""
-    marked = perhaps(df, column, written(bitmap(ids, column), "bitmap"))
-    sure = marked.filter(~F.col("_perhaps")).select(df.columns)
-    return sure.unionByName(marked.filter("_perhaps").join(ids.select(column), column, "left_anti").select(df.columns))
+    mark = fresh(df, "_perhaps")[0]
+    marked = perhaps(df, column, written(bitmap(ids, column), "bitmap"), mark)
+    sure = marked.filter(~F.col(mark)).select(df.columns)
+    return sure.unionByName(marked.filter(F.col(mark)).join(ids.select(column), column, "left_anti").select(df.columns))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

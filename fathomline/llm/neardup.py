@@ -5,10 +5,12 @@
 2. Each band of a signature puts a class into a bucket.  Members are first compared with the smallest class of their
    bucket (a star), which joins most groups at once; candidates grow with members, not with their square.
 3. A candidate's signatures are compared batch by batch.  As soon as the posterior probability that its similarity
-   reaches the threshold falls below `miss`, it is pruned.  Survivors are confirmed on full shingle sets.
-4. Components of the links so far.  Only buckets whose members are still in different components are compared
-   further, across components, in blocks of bounded size: pruned by batches and confirmed on full sets within the task,
-   each pair in the first band that it shares, so only links leave a task, never a group's pairs.
+   reaches the threshold falls below `miss`, it is pruned.  Survivors are confirmed on full shingle sets.  The centre
+   of a star meets its members in blocks of `salt`, each with its own copy of the centre, so no task gets a whole star.
+4. Components of the links so far.  While a bucket with members of different components has more than `block` of them,
+   further stars are drawn, each with another centre.  What is then still open is compared across components, in blocks
+   of bounded size: pruned by batches and confirmed on full sets within the task, each pair in the first band that it
+   shares, so only links leave a task, never a group's pairs.
    After that every candidate pair is linked, refuted, or within one component already, so components are whole.
 """
 
@@ -25,17 +27,19 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fathomline.llm.common import bitmap, dropped, perhaps, small_batches, written
+from fathomline.llm.common import arrow_kind, bitmap, dropped, fresh, id_kind, perhaps, small_batches, written
 
 _P = np.uint64(0x9E3779B97F4A7C15)
-_WORDS = 400_000
+#: Words whose hashes, and documents whose sets, a worker remembers.
+_WORDS, _SEEN = 400_000, 100_000
 
 
 @dataclass(frozen=True)
 class Params:
     """words a shingle; links have 100 * intersection >= percent * union; bands x rows hashes; a pair is pruned when its
-    posterior falls below miss, looked at after each batch of hashes; block and block_shingles bound the classes, and the
-    shingles of their sets, that a task holds of either side."""
+    posterior falls below miss, looked at after each batch of hashes; a star's members meet its centre in blocks of salt;
+    block and block_shingles bound the classes, and the shingles of their sets, that a task holds of either side of a
+    block; stars is how many stars are drawn at most before the blocks decide what is open."""
 
     words: int = 5
     percent: int = 85
@@ -43,6 +47,8 @@ class Params:
     rows: int = 6
     batch: int = 24
     miss: float = 1e-7
+    salt: int = 256
+    stars: int = 4
     block: int = 512
     block_shingles: int = 2_000_000
 
@@ -132,6 +138,7 @@ def alive(left: np.ndarray, right: np.ndarray, p: Params) -> np.ndarray:
 
 def signatures(docs: DataFrame, p: Params, *, id_col: str, text_col: str) -> DataFrame:
     """(id, n_shingles, set_key, signature); key and signature are null for empty sets."""
+    kind = id_kind(docs, id_col)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -143,7 +150,7 @@ def signatures(docs: DataFrame, p: Params, *, id_col: str, text_col: str) -> Dat
                 signs.append(signature(sets, p.hashes).tobytes() if len(sets) else None)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(signs, pa.binary())], names=["id", "n_shingles", "set_key", "signature"])
 
-    return small_batches(docs).select(id_col, text_col).mapInArrow(rows, "id bigint, n_shingles bigint, set_key binary, signature binary")
+    return small_batches(docs).select(F.col(id_col).cast(kind).alias("id"), text_col).mapInArrow(rows, f"id {kind}, n_shingles bigint, set_key binary, signature binary")
 
 
 def banded(classes: DataFrame, p: Params) -> DataFrame:
@@ -153,8 +160,21 @@ def banded(classes: DataFrame, p: Params) -> DataFrame:
     return classes.select("rep", "n_shingles", F.posexplode(buckets).alias("band", "bucket"))
 
 
+def _met(pairs: DataFrame, own: DataFrame, value: str) -> DataFrame:
+    """(a, b, x, y): pairs (a, b, blocks) with the value of either side.
+
+    own has one row an id.  b comes first: it stands in a pair a band at most.  a may be the centre of a third of all
+    pairs, so its value is sent once to each block of them, and joined there; only then do both values stand in a row.
+    """
+    salted = pairs.withColumn("salt", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int"))
+    right = salted.join(own.select(F.col("id").alias("b"), F.col(value).alias("y")), "b")
+    left = salted.select("a", "blocks", "salt").distinct().join(own.select(F.col("id").alias("a"), F.col(value).alias("x")), "a")
+    return right.join(left, ["a", "blocks", "salt"]).select("a", "b", "x", "y", "blocks")
+
+
 def _pruned(pairs: DataFrame, classes: DataFrame, p: Params) -> DataFrame:
-    """Pairs (a, b) that survive the comparison of signature batches."""
+    """Pairs (a, b, blocks) that survive the comparison of signature batches."""
+    kind = id_kind(pairs, "a")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -162,11 +182,10 @@ def _pruned(pairs: DataFrame, classes: DataFrame, p: Params) -> DataFrame:
                 continue
             left, right = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint32).reshape(-1, p.hashes) for i in (2, 3))
             keep = pa.array(alive(left, right, p))
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(keep), batch.column(1).take(keep)], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([batch.column(i).take(keep) for i in (0, 1, 4)], names=["a", "b", "blocks"])
 
-    left = classes.select(F.col("rep").alias("a"), F.col("signature").alias("sa"))
-    right = classes.select(F.col("rep").alias("b"), F.col("signature").alias("sb"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(rows, "a bigint, b bigint")
+    own = classes.select(F.col("rep").alias("id"), "signature")
+    return _met(pairs, own, "signature").mapInArrow(rows, f"a {kind}, b {kind}, blocks bigint")
 
 
 def linked(x: np.ndarray, y: np.ndarray, p: Params) -> bool:
@@ -180,19 +199,34 @@ def linked(x: np.ndarray, y: np.ndarray, p: Params) -> bool:
 
 def _sets(ids: DataFrame, docs: DataFrame, p: Params, *, id_col: str, text_col: str) -> DataFrame:
     """(id, sets) of the documents in ids, made anew from their texts, and of few others that a bitmap lets pass.
-    Texts aren't shuffled; sets are, where rows repeat an id."""
+    Texts aren't shuffled.  Of rows that repeat an id and its set, a task passes on one."""
+    kind = id_kind(docs, id_col)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple] = set()
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingles(t.as_py() or "", p.words).tobytes() for t in batch.column(1)], pa.binary())], names=["id", "sets"])
-
-    texts = small_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    marked = perhaps(texts, "id", written(bitmap(ids, "id"), "bitmap")).filter("_perhaps").select("id", "text")
-    return written(marked.mapInArrow(sets, "id bigint, sets binary"), "near-sets")
+            at, made = [], []
+            for i, (own, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1))):
+                x = shingles(text.as_py() or "", p.words).tobytes()
+                key = (own, xxhash.xxh3_128_digest(x))
+                if key not in seen:
+                    if len(seen) >= _SEEN:
+                        seen.clear()
+                    seen.add(key)
+                    at.append(i)
+                    made.append(x)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), pa.array(made, pa.binary())], names=["id", "sets"])
+
+    texts = small_batches(docs).select(F.col(id_col).cast(kind).alias("id"), F.col(text_col).alias("text"))
+    lines = written(bitmap(ids, "id"), "bitmap")
+    made = written(perhaps(texts, "id", lines, "perhaps").filter("perhaps").select("id", "text").mapInArrow(sets, f"id {kind}, sets binary"), "near-sets")
+    dropped(lines)
+    return made
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, p: Params, *, id_col: str, text_col: str) -> DataFrame:
     """Pairs whose full shingle sets reach the threshold."""
+    kind = id_kind(pairs, "a")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -201,21 +235,21 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, p: Params, *, id_col: str, tex
             yield pa.RecordBatch.from_arrays([batch.column(0).take(index), batch.column(1).take(index)], names=["a", "b"])
 
     own = _sets(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), docs, p, id_col=id_col, text_col=text_col)
-    left, right = own.select(F.col("id").alias("a"), F.col("sets").alias("sa")), own.select(F.col("id").alias("b"), F.col("sets").alias("sb"))
-    out = written(pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(check, "a bigint, b bigint"), "near-links")
+    out = written(_met(pairs, own, "sets").mapInArrow(check, f"a {kind}, b {kind}"), "near-links")
     dropped(own)
     return out
 
 
-def components(links: DataFrame, most: int = 60) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """(id, component): the smallest id that links reach, for each id in a link.
 
-    Large-star and small-star rounds in turn: each keeps components as they are and halves depths, so the rounds
-    grow with the logarithm of the longest path.  Each round is a table in the shared folder.
+    Large-star and small-star rounds in turn, until a round changes nothing: each keeps components as they are and
+    halves depths, so the rounds grow with the logarithm of the longest path.  Each round is a table in the shared
+    folder.
     """
     edges = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct()
     before, last = None, None
-    for _ in range(most):
+    while True:
         both = edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
         # large star: each larger neighbour points to the smallest of the neighbourhood
@@ -233,15 +267,33 @@ def components(links: DataFrame, most: int = 60) -> DataFrame:
     return edges.select(F.col("a").alias("id"), F.col("b").alias("component")).unionAll(edges.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
 
 
+def _open(shared: DataFrame, found: DataFrame) -> DataFrame:
+    """(bucket, band, rep, component, members, total) of the buckets whose classes are in different components."""
+    own = shared.join(found.withColumnRenamed("id", "rep"), "rep", "left").select("bucket", "band", "rep", "n_shingles", F.coalesce("component", "rep").alias("component"))
+    mixed = own.groupBy("bucket").agg(F.count("*").alias("members"), F.sum("n_shingles").alias("total"), F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
+    return written(own.join(mixed.select("bucket", "members", "total"), "bucket"), "near-open")
+
+
+def _stars(placed: DataFrame, turn: int, salt: int) -> DataFrame:
+    """(a, b, blocks): the members of each bucket with one of them, which another turn draws anew, if they are in
+    different components."""
+    centres = placed.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("rep", F.lit(turn)).alias("h"), "rep", "component")).alias("c"))
+    pairs = placed.join(centres, "bucket").filter("component <> c.component").select(F.col("c.rep").alias("a"), F.col("rep").alias("b"), F.ceil(F.col("members") / salt).alias("blocks"))
+    return pairs.groupBy("a", "b").agg(F.max("blocks").alias("blocks"))
+
+
 def _across(members: DataFrame, p: Params) -> DataFrame:
     """Links (a, b) between classes of different components in one bucket.
 
     A bucket of more than p.block members, or p.block_shingles shingles, is dealt into blocks; each two blocks meet
     in a task of their own.
     """
+    kind = id_kind(members, "rep")
+    arrow = arrow_kind(kind)
 
     def rows(keys: tuple, table: pa.Table) -> pa.Table:
-        ids, comp, block = (table.column(c).to_numpy() for c in ("rep", "component", "block"))
+        ids, comp = (np.array(table.column(c).to_pylist()) for c in ("rep", "component"))
+        block = table.column("block").to_numpy()
         signs = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint32).reshape(-1, p.hashes)
         sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("sets")]
         sizes = np.array([len(x) for x in sets])
@@ -256,15 +308,15 @@ def _across(members: DataFrame, p: Params) -> DataFrame:
                 other = other[alive(np.broadcast_to(signs[i], (len(other), p.hashes)), signs[other], p)]
                 before = (signs[other, : band * p.rows] == signs[i, : band * p.rows]).reshape(len(other), band, p.rows).all(axis=2).any(axis=1)
                 found = [j for j in other[~before] if linked(sets[i], sets[j], p)]
-                a += [int(ids[i])] * len(found)
+                a += [ids[i].item()] * len(found)
                 b += ids[found].tolist()
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+        return pa.table({"a": pa.array(a, arrow), "b": pa.array(b, arrow)})
 
-    blocks = F.greatest(F.ceil(F.col("n") / p.block), F.ceil(F.col("total") / p.block_shingles)).cast("int")
+    blocks = F.greatest(F.ceil(F.col("members") / p.block), F.ceil(F.col("total") / p.block_shingles)).cast("int")
     own = members.withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int"))
     dealt = own.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     dealt = dealt.select("bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "rep", "component", "block", "band", "signature", "sets")
-    return dealt.groupBy("bucket", "low", "high").applyInArrow(rows, "a bigint, b bigint")
+    return dealt.groupBy("bucket", "low", "high").applyInArrow(rows, f"a {kind}, b {kind}")
 
 
 def near_duplicates(docs: DataFrame, p: Params = Params(), *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -273,32 +325,49 @@ def near_duplicates(docs: DataFrame, p: Params = Params(), *, id_col: str = "doc
     Words are what ASCII blanks separate, A-Z lower-cased.  A text of fewer words than a shingle has its whole
     sequence as its one shingle.  A null text, and one without words, has an empty set and is linked with nothing:
     its component is its own id.  kept is true for the smallest id of a component.  Rows with one id count as one
-    document when linked and each get a row.  An empty table gives an empty result; other columns aren't read.
+    document when linked and each get a row.  Ids may be whole numbers or, say, strings.  A row without an id gets the
+    component of an equal text that has one, and otherwise none; it counts as kept if it has no component.  An empty
+    table gives an empty result; other columns aren't read.  The result reads two tables of some forty bytes a
+    document in the shared folder; all others are deleted before it is returned.
     """
-    signed = written(signatures(docs.withColumn("_id", F.col(id_col).cast("long")), p, id_col="_id", text_col=text_col), "near-signatures")
-    grouped = signed.filter("set_key is not null").groupBy("set_key").agg(F.min(F.struct("id", "n_shingles", "signature")).alias("m"))
-    classes = written(grouped.select("set_key", F.col("m.id").alias("rep"), F.col("m.n_shingles").alias("n_shingles"), F.col("m.signature").alias("signature")), "near-classes")
+    kind = id_kind(docs, id_col)
+    signed = written(signatures(docs, p, id_col=id_col, text_col=text_col), "near-signatures")
+    grouped = signed.filter("set_key is not null").groupBy("set_key").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "n_shingles", "signature")).alias("m"))
+    classes = written(grouped.select("set_key", F.col("m.id").alias("rep"), F.col("m.n_shingles").alias("n_shingles"), F.col("m.signature").alias("signature")).filter("rep is not null"), "near-classes")
     members = written(signed.select("id", "n_shingles", "set_key"), "near-members")
     dropped(signed)
 
     placed = banded(classes, p)
-    full = written(placed.groupBy("bucket").agg(F.min("rep").alias("centre"), F.count("*").alias("n"), F.sum("n_shingles").alias("total")).filter("n > 1"), "near-buckets")
-    shared = written(placed.drop("n_shingles").join(full, "bucket"), "near-shared")
-    star = written(shared.filter("rep <> centre").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct(), "near-star")
-    pairs = written(_pruned(star, classes, p), "near-pairs")
-    links = _confirmed(pairs, docs, p, id_col=id_col, text_col=text_col)
-    first = written(components(links), "near-components")
-
-    own = shared.join(first.withColumnRenamed("id", "rep"), "rep", "left").select("bucket", "band", "rep", "n", "total", F.coalesce("component", "rep").alias("component"))
-    mixed = own.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("bucket")
-    rest = written(own.join(mixed, "bucket", "left_semi"), "near-rest")
+    full = written(placed.groupBy("bucket").agg(F.min("rep").alias("centre"), F.count("*").alias("members")).filter("members > 1"), "near-buckets")
+    shared = written(placed.join(full, "bucket"), "near-shared")
+    star = shared.filter("rep <> centre").select(F.col("centre").alias("a"), F.col("rep").alias("b"), F.ceil(F.col("members") / p.salt).alias("blocks")).groupBy("a", "b").agg(F.max("blocks").alias("blocks"))
+    dropped_later, links, found = [full, shared], None, None
+    shared = shared.drop("centre", "members")
+    for turn in range(p.stars):
+        star = written(star, "near-star")
+        pairs = written(_pruned(star, classes, p), "near-pairs")
+        new = _confirmed(pairs, docs, p, id_col=id_col, text_col=text_col)
+        old = found
+        links = new if old is None else old.select(F.col("id").alias("a"), F.col("component").alias("b")).unionAll(new)
+        rounds = components(links)
+        found = written(rounds, "near-components")
+        dropped(star, pairs, new, rounds, *([old] if old is not None else []))
+        rest = _open(shared, found)
+        if (rest.agg(F.max("members")).first()[0] or 0) <= p.block or turn == p.stars - 1:
+            break
+        star = _stars(rest, turn, p.salt)
+        dropped_later.append(rest)
+
     sets = _sets(rest.select(F.col("rep").alias("id")).distinct(), docs, p, id_col=id_col, text_col=text_col)
     dealt = rest.join(classes.select("rep", "signature"), "rep").join(sets.withColumnRenamed("id", "rep"), "rep")
     late = written(_across(dealt, p), "near-links")
 
-    joined = first.select(F.col("id").alias("a"), F.col("component").alias("b")).unionAll(late)
-    whole = written(components(joined), "near-components")
+    joined = found.select(F.col("id").alias("a"), F.col("component").alias("b")).unionAll(late)
+    whole = components(joined)
     by_set = written(classes.select("set_key", "rep").join(whole.withColumnRenamed("id", "rep"), "rep", "left").select("set_key", F.coalesce("component", "rep").alias("component_id")), "near-sets")
-    dropped(full, shared, star, pairs, links, first, rest, sets, late, whole, classes)
-    out = members.join(by_set, "set_key", "left").select(F.col("id").alias(id_col), "n_shingles", F.coalesce("component_id", "id").alias("component_id"))
-    return out.withColumn("kept", F.col(id_col).eqNullSafe(F.col("component_id")))
+    dropped(*dropped_later, found, rest, sets, late, whole, classes)
+    # empty sets would all meet in one task of the join
+    empty = members.filter("set_key is null").select("id", "n_shingles", F.lit(None).cast(kind).alias("component_id"))
+    some = members.filter("set_key is not null").join(by_set, "set_key", "left").select("id", "n_shingles", "component_id")
+    out = some.unionAll(empty).select(F.col("id").cast(docs.schema[id_col].dataType).alias(id_col), "n_shingles", F.coalesce("component_id", "id").alias("component_id"))
+    return out.withColumn("kept", F.col(id_col).cast(kind).eqNullSafe(F.col("component_id")))

@@ -595,7 +595,7 @@ def deduplicate(docs: DataFrame, p: Params = Params(), *, id_col: str = "doc_id"
     kind = docs.schema[id_col].dataType.simpleString()
     back = F.when(F.col("doc") == -(1 << 63), F.lit(None)).otherwise(F.col("doc")).cast(kind)
     # only texts that perhaps have a run are shuffled to meet it
-    marked = perhaps(texts, "doc", written(bitmap(own.select("doc"), "doc"), "bitmap"))
+    marked = perhaps(texts, "doc", written(bitmap(own.select("doc"), "doc"), "bitmap"), "_perhaps")
     sure = marked.filter(~F.col("_perhaps")).select("doc", "text", F.lit(None).cast("binary").alias("runs"))
     whole = sure.unionAll(marked.filter("_perhaps").join(own, ["doc", "mark"], "left").select("doc", "text", "runs")).select(back.alias(id_col), "text", "runs")
     return whole.mapInArrow(cut, f"`{id_col}` {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", kept binary" * with_text)

@@ -171,3 +171,33 @@ def test_record_table(spark):
     df = spark.createDataFrame([(1, "u", "ab" * 50, ""), (2, "u", None, "")], PAGES)
     got = warc.record_table(df, chunk_bytes=30).orderBy("record_id", "chunk_no").collect()
     assert [r.chunk_no for r in got] == [0, 1, 2, 3, 0] and got[3].digest == hashlib.sha1(b"ab" * 50).hexdigest() and got[4].last
+
+
+def test_near_duplicates_of_a_cluster_of_thousands(spark):
+    """5,000 different members: their star is dealt into blocks, and no task gets more than a few of them."""
+    base = [f"b{i}" for i in range(120)]
+    rows = [(i, " ".join([*base, f"x{i}"])) for i in range(5000)]
+    out = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(8))
+    assert out.agg({"component_id": "max"}).first()[0] == 0 and out.filter("kept").count() == 1
+    pairs = spark.createDataFrame([(0, i, -(-5000 // 256)) for i in range(1, 5000)], "a bigint, b bigint, blocks bigint")
+    own = spark.createDataFrame([(i, b"x") for i in range(5000)], "id bigint, value binary")
+    met = neardup._met(pairs, own, "value")
+    assert met.count() == 4999
+    assert met.withColumn("salt", F.pmod(F.xxhash64("b"), "blocks")).groupBy("a", "salt").count().agg({"count": "max"}).first()[0] < 2 * 256
+
+
+@pytest.mark.parametrize("stars", [1, 3])
+def test_near_duplicates_behind_a_dull_centre(spark, stars):
+    """The smallest member of each bucket is like few others, so further stars and blocks have to find the rest."""
+    base = [f"b{i}" for i in range(60)]
+    rows = [(0, " ".join(base[:44] + [f"z{i}" for i in range(20)]))] + [(i, " ".join([*base, f"x{i}"])) for i in range(1, 60)]
+    rows += [(100 + i, " ".join(base[10:] + [f"y{j}" for j in range(10)] + [f"w{i}"])) for i in range(40)]
+    p = neardup.Params(stars=stars, block=8, salt=4)
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), p).collect()}
+    assert got == plain_components(rows)
+
+
+def test_near_duplicates_of_string_ids(spark, rows):
+    named = [(None if i is None else f"d{i:04d}", t) for i, t, *_ in rows]
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in neardup.near_duplicates(spark.createDataFrame(named, "doc_id string, text string")).collect()}
+    assert got == plain_components(named)
