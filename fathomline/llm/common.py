@@ -47,15 +47,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def deleted(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of the shared one, if it is there."""
+    own = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    own.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(own, True)
+
+
 def dropped(*tables: DataFrame) -> None:
     """Deletes tables that written() made and that nothing reads any more."""
     for df in tables:
-        spark = df.sparkSession
-        jvm = spark.sparkContext._jvm
         for root in {f.rpartition("/")[0] for f in df.inputFiles()}:
             if "/fathomline/" in root:
-                path = jvm.org.apache.hadoop.fs.Path(root)
-                path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+                deleted(df.sparkSession, root)
 
 
 def small_batches(df: DataFrame) -> DataFrame:
