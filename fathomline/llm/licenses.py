@@ -6,6 +6,7 @@ identifier; the document's identifier sequence is matched against ordered licenc
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from itertools import chain
 
@@ -60,7 +61,8 @@ SENTENCES = {
 }
 
 #: Ordered rules: (licence, sentences that must follow each other in this order).  Between two sentences of a rule
-#: any text may stand, but no other licence sentence.
+#: any text may stand, but no other licence sentence.  A sequence of sentences counts for the first rule that it matches
+#: only, so longer rules stand before those that they begin with.
 RULES = (
     ("Apache-2.0", ("apache-header", "apache-copy", "apache-warranty")), ("Apache-2.0", ("apache-header",)), ("Apache-2.0", ("apache-short",)), ("Apache-2.0", ("apache-title",)),
     ("MIT", ("mit-grant", "mit-notice", "mit-warranty")), ("MIT", ("mit-grant", "mit-notice")), ("MIT", ("mit-short",)), ("MIT", ("mit-short-2",)), ("MIT", ("mit-short-3",)), ("MIT", ("mit-short-4",)), ("MIT", ("mit-title",)), ("MIT", ("mit-title-2",)),
@@ -73,32 +75,43 @@ RULES = (
 
 #: A sentence ends at a line feed, or after . ! ? : ; and before a blank.
 BOUNDARY = r"\n|(?<=[.!?:;])[ \t\r]+"
-#: Any sentence that holds none of these stems can't be a known one; oracle_sql() doesn't normalise it.
-STEMS = r"(?i)licen[sc]e|copyright|permission|warrant|redistribut|free software|rights|public domain"
-#: The same for whole texts, in which a line may end within two words of a stem.
+#: A text without these stems, in which a line may end within two words of one, holds no known sentence.
 TEXT_STEMS = r"(?i)licen[sc]e|copyright|permission|warrant|redistribut|rights|public[^\p{L}\p{N}]+domain"
 
 
 @dataclass(frozen=True)
 class Rules:
+    """Sentences and rules; a rule that names an unknown sentence, or that an earlier one always beats, is an error."""
+
     sentences: tuple[tuple[str, str], ...] = tuple(SENTENCES.items())
     rules: tuple[tuple[str, tuple[str, ...]], ...] = RULES
 
+    def __post_init__(self):
+        names = {name for name, _ in self.sentences}
+        for i, (licence, sequence) in enumerate(self.rules):
+            if not sequence or (lacking := [x for x in sequence if x not in names]):
+                raise ValueError(f"the rule of {licence} names unknown sentences: {', '.join(lacking) if sequence else 'none'}")
+            if any(sequence[: len(before)] == before for _, before in self.rules[:i]):
+                raise ValueError(f"the rule of {licence} on {', '.join(sequence)} can never match")
+
 
 def normalised(sentence: Column) -> Column:
-    """ASCII lower case; runs of anything but letters, digits become one blank."""
+    """Lower case; runs of anything but letters, digits become one blank."""
     return F.trim(F.regexp_replace(F.lower(sentence), r"[^\p{L}\p{N}]+", " "))
 
 
 def _known(rules: Rules) -> dict[str, str]:
-    import re
-
     return {re.sub(r"[\W_]+", " ", text.lower()).strip(): name for name, text in rules.sentences}
 
 
 def _pattern(known: dict[str, str]) -> str:
-    """Any known sentence in normalised pieces with a line feed before and after each, wherever it is cut into pieces."""
-    return r"(?<=\n)(?:" + "|".join(k.replace(" ", r"[ \n]") for k in sorted(known, key=len, reverse=True)) + r")(?=\n)"
+    """Any known sentence in normalised pieces that have a line feed before and after each, wherever it is cut into pieces."""
+    return r"\n(?:" + "|".join(k.replace(" ", r"(?: |\n\n)") for k in sorted(known, key=len, reverse=True)) + r")\n"
+
+
+def _sequences(rules: Rules) -> dict[str, str]:
+    """Sequences of identifiers, each between commas of its own, to licences."""
+    return {"".join(f",{x}," for x in sequence): name for name, sequence in rules.rules}
 
 
 def licenses(docs: DataFrame, rules: Rules = Rules(), *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -106,39 +119,46 @@ def licenses(docs: DataFrame, rules: Rules = Rules(), *, id_col: str = "doc_id",
 
     A known sentence may itself hold boundaries, and may be wrapped over lines with comment signs, so it is looked up
     over neighbouring sentences; where two begin at the same place the longer one counts.
-    licenses holds the licences of the rules that match the identifier sequence, in the order of the rules, without
-    repeats, comma-joined; empty if none does.  A null or empty text has no sentence and an empty sequence.  Repeated
-    rows give repeated rows, an empty table an empty one, other columns aren't read.  The tables of sentences and
-    rules are parameters of fixed size and go into the plan as literals: no join, no shuffle.
+    The identifier sequence is read from its start; at each place the first rule that matches takes its identifiers, so
+    a sentence speaks for one licence.  licenses holds the licences found, in the order of the rules, without repeats,
+    comma-joined; empty if there are none.  A null or empty text has no sentence and an empty sequence.  Repeated rows
+    give repeated rows, an empty table an empty one, other columns aren't read.  The tables of sentences and rules are
+    parameters of fixed size and go into the plan as literals: no join, no shuffle.
     """
-    names = _known(rules)
-    known = F.create_map(*chain.from_iterable((F.lit(k), F.lit(v)) for k, v in names.items()))
+    names, sequences = _known(rules), _sequences(rules)
+    literal = lambda d: F.create_map(*chain.from_iterable((F.lit(k), F.lit(v)) for k, v in d.items()))
+    known, licence = literal(names), literal(sequences)
     text = F.coalesce(F.col(text_col), F.lit(""))
     parts = F.filter(F.split(text, BOUNDARY), lambda s: F.length(F.trim(s)) > 0)
-    asked = F.when(text.rlike(TEXT_STEMS), parts).otherwise(F.array().cast("array<string>"))
-    cut = docs.select(F.col(id_col), F.size(parts).cast("long").alias("n_sentences"), F.array_join(F.filter(F.transform(asked, normalised), lambda s: s != ""), "\n").alias("_s"))
+    # callers' own sentences may have no stem; then all texts are searched
+    stemmed = all(re.search(r"licen[sc]e|copyright|permission|warrant|redistribut|rights|public domain", k) for k in names)
+    asked = F.when(text.rlike(TEXT_STEMS), parts).otherwise(F.array().cast("array<string>")) if stemmed else parts
+    cut = docs.select(F.col(id_col), F.size(parts).cast("long").alias("n_sentences"), F.array_join(F.filter(F.transform(asked, normalised), lambda s: s != ""), "\n\n").alias("_s"))
     hits = F.regexp_extract_all(F.concat(F.lit("\n"), "_s", F.lit("\n")), F.lit(_pattern(names)), F.lit(0))
-    ids = F.transform(hits, lambda s: known[F.translate(s, "\n", " ")])
+    ids = F.transform(hits, lambda s: known[F.replace(F.trim(F.translate(s, "\n", " ")), F.lit("  "), F.lit(" "))])
     found = cut.select(id_col, "n_sentences", F.array_join(ids, ",").alias("sentence_ids"), F.size(ids).cast("long").alias("n_known"))
-    padded = F.concat(F.lit(","), F.col("sentence_ids"), F.lit(","))
-    cases = [F.when(padded.contains("," + ",".join(sequence) + ","), F.lit(name)) for name, sequence in rules.rules]
-    return found.select(id_col, "n_sentences", "sentence_ids", "n_known", F.when(F.col("n_known") == 0, F.lit("")).otherwise(F.array_join(F.array_distinct(F.array_compact(F.array(*cases))), ",")).alias("licenses"))
+    padded = F.concat(F.lit(","), F.replace(F.col("sentence_ids"), F.lit(","), F.lit(",,")), F.lit(","))
+    matched = F.transform(F.regexp_extract_all(padded, F.lit("|".join(sequences)), F.lit(0)), lambda s: licence[s])
+    ordered = F.filter(F.array(*[F.lit(x) for x in dict.fromkeys(sequences.values())]), lambda x: F.array_contains(matched, x))
+    return found.select(id_col, "n_sentences", "sentence_ids", "n_known", F.when(F.col("n_known") == 0, F.lit("")).otherwise(F.array_join(ordered, ",")).alias("licenses"))
 
 
 def oracle_sql(rules: Rules = Rules()) -> str:
     """The same in DuckDB SQL, from the same tables of sentences and rules."""
     quote = lambda s: "'" + s.replace("'", "''") + "'"
-    known = " ".join(f"WHEN {quote(k)} THEN {quote(v)}" for k, v in _known(rules).items())
-    cases = ", ".join(f"CASE WHEN contains(padded, {quote(',' + ','.join(sequence) + ',')}) THEN {quote(name)} END" for name, sequence in rules.rules)
-    order = ", ".join(quote(x) for x in dict.fromkeys(name for name, _ in rules.rules))
+    names, sequences = _known(rules), _sequences(rules)
+    literal = lambda d: "MAP {" + ", ".join(f"{quote(k)}: {quote(v)}" for k, v in d.items()) + "}"
+    order = ", ".join(quote(x) for x in dict.fromkeys(sequences.values()))
     return f"""
 WITH cut AS (
-  SELECT doc_id, row_number() OVER () AS r, list_filter(string_split(regexp_replace(coalesce(text, ''), '([.!?:;])[ \\t\\r]+', '\\1' || chr(10), 'g'), chr(10)), lambda s: length(trim(s, ' ')) > 0) AS parts FROM documents
+  SELECT doc_id, list_filter(string_split(regexp_replace(coalesce(text, ''), '([.!?:;])[ \\t\\r]+', '\\1' || chr(10), 'g'), chr(10)), lambda s: length(trim(s, ' ')) > 0) AS parts FROM documents
+), norm AS (
+  SELECT doc_id, len(parts) AS n_sentences, chr(10) || array_to_string(list_filter(list_transform(parts, lambda s: trim(regexp_replace(lower(s), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))), lambda s: s <> ''), chr(10) || chr(10)) || chr(10) AS s FROM cut
 ), ids AS (
-  SELECT doc_id, r, len(parts) AS n_sentences, list_filter(list_transform(list_filter(parts, lambda s: regexp_matches(s, {quote(STEMS)})), lambda s: CASE trim(regexp_replace(lower(s), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')) {known} END), lambda x: x IS NOT NULL) AS ids FROM cut
+  SELECT doc_id, n_sentences, list_transform(CASE WHEN regexp_matches(s, 'licen[sc]e|copyright|permission|warrant|redistribut|rights|public[^\\p{{L}}\\p{{N}}]+domain') THEN regexp_extract_all(s, {quote(_pattern(names))}) ELSE [] END, lambda x: {literal(names)}[replace(trim(replace(x, chr(10), ' ')), '  ', ' ')]) AS ids FROM norm
 ), joined AS (
-  SELECT doc_id, n_sentences, coalesce(array_to_string(ids, ','), '') AS sentence_ids, len(ids) AS n_known, ',' || coalesce(array_to_string(ids, ','), '') || ',' AS padded FROM ids
+  SELECT doc_id, n_sentences, coalesce(array_to_string(ids, ','), '') AS sentence_ids, len(ids) AS n_known, list_transform(regexp_extract_all(',' || replace(coalesce(array_to_string(ids, ','), ''), ',', ',,') || ',', {quote("|".join(sequences))}), lambda x: {literal(sequences)}[x]) AS found FROM ids
 )
 SELECT doc_id, n_sentences::BIGINT AS n_sentences, sentence_ids, n_known::BIGINT AS n_known,
-  CASE WHEN n_known = 0 THEN '' ELSE coalesce(array_to_string(list_filter([{order}], lambda x: list_contains([{cases}], x)), ','), '') END AS licenses
+  CASE WHEN n_known = 0 THEN '' ELSE coalesce(array_to_string(list_filter([{order}], lambda x: list_contains(found, x)), ','), '') END AS licenses
 FROM joined"""
