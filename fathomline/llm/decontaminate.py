@@ -15,12 +15,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fathomline.llm.common import filtered, small_batches
+from fathomline.llm.common import arrow_kind, small_batches
 
 _GAP = re.compile(r"[^\w]+|_+")
 
 #: Items in one block: what a worker holds at a time has this bound, whatever the size of the benchmark.
 BLOCK_ITEMS = 5000
+#: Bytes of texts that meet a block's automaton before the next block's is built, where there are several.
+GROUP_BYTES = 64 << 20
 
 
 def normalised(text: str) -> str:
@@ -129,40 +131,66 @@ def _matcher(items: tuple[tuple[int, str], ...], percent: int, shortest: int) ->
     return Matcher([*items], percent, shortest)
 
 
+class _Blocks:
+    """The benchmark's blocks in a worker.  One block has its automaton for good; of several, one at a time is built."""
+
+    def __init__(self, shared: list, percent: int, shortest: int):
+        self.shared, self.options = shared, (percent, shortest)
+
+    def found(self, texts: list[str]) -> list[list[tuple]]:
+        """For each text, its (item id, distance)."""
+        out: list[list[tuple]] = [[] for _ in texts]
+        for block in self.shared:
+            make = _matcher if len(self.shared) == 1 else Matcher
+            matcher = make(block.value, *self.options)
+            for own, text in zip(out, texts):
+                own += matcher.match(text)
+        return out
+
+
+def _groups(batches: Iterator[pa.RecordBatch], at: int, several: bool) -> Iterator[pa.Table]:
+    """Batches one by one; where each group costs several automata, together up to GROUP_BYTES of texts."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.column(at).nbytes
+        if not several or size >= GROUP_BYTES:
+            yield pa.Table.from_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def matches(docs: DataFrame, benchmark: DataFrame, *, percent: int = 5, shortest: int = 40, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", block_items: int = BLOCK_ITEMS) -> DataFrame:
     """(doc id, item_id, distance): each benchmark item that a whole text holds within percent % edits.
 
     Both sides are compared in normalised form; items of under shortest normalised characters have no edits and must
-    stand as whole words, since chance finds their like in clean texts.  The benchmark is the stated query set: it is taken in blocks of block_items,
-    so workers hold one block's automaton at a time, and each block is matched against all rows in one scan.  Texts
-    that are null or empty match nothing; repeated rows and repeated items give repeated matches; an empty table on
-    either side gives an empty result; other columns aren't read.
+    stand as whole words, since chance finds their like in clean texts.  The benchmark is the stated query set: all
+    texts are read once; a worker gets the items in blocks of block_items and builds one block's automaton at a time,
+    for some 64 MB of texts.  Ids may be of any type.  Texts that are null or empty match nothing; repeated rows and
+    repeated items give repeated matches; a null item text matches nothing, a null id is an id like others; an empty
+    table on either side gives an empty result; other columns aren't read.
     """
-    spark = docs.sparkSession
     df = small_batches(docs).select(id_col, text_col)
-    kind, item_kind = df.schema[0].dataType, benchmark.schema[item_col].dataType
-    schema = f"`{id_col}` {kind.simpleString()}, item_id {item_kind.simpleString()}, distance int"
-
-    def rows_of(shared):
-        def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            matcher = None
-            for batch in batches:
-                matcher = matcher or _matcher(shared.value, percent, shortest)
-                at, items, distances = [], [], []
-                for i, text in enumerate(batch.column(1)):
-                    for item, distance in matcher.match(text.as_py() or ""):
-                        at.append(i)
-                        items.append(item)
-                        distances.append(distance)
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), pa.array(items, pa.int64() if item_kind.simpleString() == "bigint" else None), pa.array(distances, pa.int32())], names=[id_col, "item_id", "distance"])
-
-        return rows
-
-    out = None
-    for items in blocks(benchmark, block_items, item_col=item_col, item_text_col=item_text_col):
-        found = df.mapInArrow(rows_of(spark.sparkContext.broadcast(items)), schema)
-        out = found if out is None else out.unionAll(found)
-    return spark.createDataFrame([], schema) if out is None else out
+    kind, item_kind = df.schema[0].dataType.simpleString(), benchmark.schema[item_col].dataType.simpleString()
+    shared, item_arrow = _shared(benchmark, block_items, item_col, item_text_col), arrow_kind(item_kind)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = _Blocks(shared, percent, shortest)
+        for group in _groups(batches, 1, len(shared) > 1):
+            found = own.found([t or "" for t in group.column(1).to_pylist()])
+            at = pa.array([i for i, x in enumerate(found) for _ in x], pa.int64())
+            ids = group.column(0).take(at).combine_chunks()
+            items, distances = ([y[k] for x in found for y in x] for k in (0, 1))
+            yield pa.RecordBatch.from_arrays([ids, pa.array(items, item_arrow), pa.array(distances, pa.int32())], names=[id_col, "item_id", "distance"])
+
+    return df.mapInArrow(rows, f"`{id_col}` {kind}, item_id {item_kind}, distance int")
+
+
+def _shared(benchmark: DataFrame, size: int, item_col: str, item_text_col: str) -> list:
+    """The blocks as broadcasts: the query set, which the caller states, is all that is sent to workers."""
+    spark = benchmark.sparkSession
+    return [spark.sparkContext.broadcast(x) for x in blocks(benchmark, size, item_col=item_col, item_text_col=item_text_col)]
 
 
 def blocks(benchmark: DataFrame, size: int = BLOCK_ITEMS, *, item_col: str = "item_id", item_text_col: str = "text") -> Iterator[tuple]:
@@ -177,16 +205,28 @@ def blocks(benchmark: DataFrame, size: int = BLOCK_ITEMS, *, item_col: str = "it
         yield tuple(block)
 
 
-def clean_documents(docs: DataFrame, benchmark: DataFrame, *, percent: int = 5, shortest: int = 40, text_col: str = "text", block_items: int = BLOCK_ITEMS) -> DataFrame:
-    """The documents that hold no benchmark item, all columns as they are.  No shuffle."""
-    for items in blocks(benchmark, block_items):
-        shared = docs.sparkSession.sparkContext.broadcast(items)
-        docs = filtered(docs, text_col, lambda shared=shared: lambda text, m=_matcher(shared.value, percent, shortest): not m.match(text or ""))
-    return docs
+def clean_documents(docs: DataFrame, benchmark: DataFrame, *, percent: int = 5, shortest: int = 40, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", block_items: int = BLOCK_ITEMS) -> DataFrame:
+    """The documents that hold no benchmark item, all columns as they are.  No shuffle.
+
+    A null or empty text holds none and stays, as do repeated rows of clean texts; an empty benchmark lets all stay.
+    """
+    at = docs.columns.index(text_col)
+    df, shared = small_batches(docs), _shared(benchmark, block_items, item_col, item_text_col)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = _Blocks(shared, percent, shortest)
+        for group in _groups(batches, at, len(shared) > 1):
+            clean = [not x for x in own.found([t or "" for t in group.column(at).to_pylist()])]
+            yield from group.filter(pa.array(clean, pa.bool_())).to_batches()
+
+    return df.mapInArrow(rows, docs.schema)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """One row for each text that holds an item: its id, item_ids (sorted, comma-joined), n_items, distance (the smallest)."""
+    """One row for each text that holds an item: its id, item_ids (sorted, comma-joined), n_items, distance (the smallest).
+
+    Rows that repeat an id, and rows without one, count as one document; so do items of one id.
+    """
     id_col = options.get("id_col", "doc_id")
     found = matches(docs, benchmark, **options).groupBy(id_col, "item_id").agg(F.min("distance").alias("distance"))
-    return found.groupBy(id_col).agg(F.array_join(F.array_sort(F.collect_list("item_id")).cast("array<string>"), ",").alias("item_ids"), F.count("item_id").alias("n_items"), F.min("distance").alias("distance"))
+    return found.groupBy(id_col).agg(F.array_join(F.array_sort(F.collect_list("item_id")).cast("array<string>"), ",").alias("item_ids"), F.count("*").alias("n_items"), F.min("distance").alias("distance"))
