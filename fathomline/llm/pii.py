@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -92,6 +93,7 @@ _SPELLED_PART = re.compile(rf"(plus|dot|point|{_DIGIT_WORD})(?!\w)", re.I)
 _BRACKETED = re.compile(r"\s{0,3}[\[({<]\s{0,2}(at|dot|arroba|punkt|point|punto)\s{0,2}[\])}>]\s{0,3}", re.I)
 _BLANK_AT = re.compile(r"(?<=[A-Za-z0-9]) (at|arroba) (?=[A-Za-z0-9-]{1,63}(?: (?:dot|punto|punkt|point) |\.)[A-Za-z]{2})", re.I)
 _BLANK_DOT = re.compile(r"(?<=[A-Za-z0-9]) (dot|punto|punkt|point) (?=[A-Za-z0-9])", re.I)
+_DOTTED_LOCAL = re.compile(r"(?: (?:dot|punto|punkt|point) [A-Za-z0-9_%+-]{1,30})+", re.I)
 _HOST = re.compile(r"[A-Za-z0-9.-]+")
 #: Any text without odd characters that a transducer changes has one of these; the bare dot also needs an at.
 _HINTS = re.compile("|".join([_BRACKETED.pattern[len(r"\s{0,3}"):], _BLANK_AT.pattern, " (?:dot|punto|punkt|point) ", rf"(?<!\w){_DIGIT_WORD}{_SEPARATOR}{_DIGIT_WORD}"]), re.I)
@@ -148,9 +150,11 @@ def at_and_dot(m: Mapped) -> Mapped:
         while (host := _HOST.match(m.text, at)) and (dot := _BLANK_DOT.match(m.text, host.end())):
             edits.append((dot.start(), dot.end(), "."))
             at = dot.end()
-    for x in [m.start() for m in _BLANK_DOT.finditer(m.text)] if edits else []:  # dots in the local part
-        if any(a - 40 <= x < a and re.fullmatch(r"(?: (?:dot|punto|punkt|point) [A-Za-z0-9_%+-]{1,30})+", m.text[x:a], re.I) for a, _, new in edits if new == "@"):
-            edits.append((x, _BLANK_DOT.match(m.text, x).end(), "."))
+    ats = [a for a, _, new in edits if new == "@"]  # ascending
+    for dot in [*_BLANK_DOT.finditer(m.text)] if ats else []:  # dots in the local part
+        x = dot.start()
+        if any(_DOTTED_LOCAL.fullmatch(m.text, x, a) for a in ats[bisect_right(ats, x) : bisect_right(ats, x + 40)]):
+            edits.append((x, dot.end(), "."))
     return m.replaced(sorted(set(edits)))
 
 
@@ -163,10 +167,16 @@ def disguised(text: str, plain: list[Span]) -> list[Span]:
     m = at_and_dot(spelled_digits(m))
     if m.text == text:
         return []
+    own: dict[str, tuple[list[int], list[int]]] = {kind: ([], []) for kind in KINDS}
+    for kind, a, b in plain:  # ascending, and apart from each other
+        own[kind][0].append(a)
+        own[kind][1].append(b)
     found = []
     for kind, a, b in detect(m.text):
         start, end = int(m.start[a]), int(m.end[b - 1])
-        if not any(k == kind and s <= start and end <= e for k, s, e in plain):
+        starts, ends = own[kind]
+        at = bisect_right(starts, start) - 1
+        if at < 0 or ends[at] < end:
             found.append((kind, start, end))
     return found
 
