@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import sys
 import unicodedata
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -12,20 +13,30 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from fathomline.llm.common import small_batches
+from fathomline.llm.common import bitmap, dropped, fresh, perhaps, small_batches, written
 
 UNKNOWN = "und"
-_WORD = re.compile(r"[^\W\d_]+")
+#: A word is a run of letters.  What re counts as alphanumeric is a letter, a decimal digit, or another number (such as
+#: fractions, circled and Roman numbers), and the last have to go too.
+_NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c) in ("No", "Nl"))
+_WORD = re.compile(rf"[^\W\d_{_NUMBERS}]+")
 _CACHE = 250_000
 
 
 @dataclass(frozen=True)
 class Fit:
-    """Bounds of the sample that word scores are learned from: at most docs documents, those of smallest
-    xxhash64(doc_id); of each, the counts of grams n-grams of its most frequent kinds."""
+    """Bounds of what word scores are learned from and of the model, which is sent to all workers.
+
+    docs documents at most, divided evenly among the languages (but least of each one in any case), those of smallest
+    xxhash64(doc_id); of each, the counts of grams n-grams of its most frequent kinds.  The model has kept n-grams at
+    most: each language's most frequent ones in turn, so that a language with few documents has as many as others.  It
+    takes 4 * kept * languages bytes for the scores, and some 100 * kept for the n-grams: 4 MB with four languages.
+    """
 
     docs: int = 3000
+    least: int = 20
     grams: int = 4000
     order: tuple[int, ...] = (3,)
     kept: int = 30_000
@@ -158,11 +169,17 @@ def held_out(id_col: str = "doc_id"):
 
 
 def fit(docs: DataFrame, fit: Fit = Fit(), *, penalty: float = 6.0, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
-    """Learns from a bounded sample; only n-gram counts of the sample reach the driver."""
+    """Learns from a bounded sample; only n-gram counts of the sample reach the driver.
+
+    Every language that has a document to learn from with a letter in it is learned.
+    """
     order, most = fit.order, fit.grams
-    sample = learnable(docs.select(id_col, lang_col), id_col=id_col, lang_col=lang_col)
-    sample = sample.orderBy(F.xxhash64(id_col), id_col).limit(fit.docs).select(id_col).collect()
-    languages_seen = sorted(r[0] for r in learnable(docs, id_col=id_col, lang_col=lang_col).select(lang_col).distinct().limit(10_000).collect())
+    own = learnable(docs, id_col=id_col, lang_col=lang_col).filter(F.col(id_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")).select(id_col, lang_col)
+    n_languages = own.select(lang_col).distinct().count()
+    each = max(fit.least, fit.docs // max(1, n_languages))
+    # Spark keeps the first rows of each language in every task before they meet
+    drawn = own.withColumn("place", F.row_number().over(Window.partitionBy(lang_col).orderBy(F.xxhash64(id_col), id_col))).filter(F.col("place") <= each)
+    sample = written(drawn.select(F.col(id_col).alias("id")).distinct(), "language-sample")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -179,13 +196,21 @@ def fit(docs: DataFrame, fit: Fit = Fit(), *, penalty: float = 6.0, id_col: str
             columns = [*zip(*out)] or [()] * 3
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, (pa.string(), pa.string(), pa.int64()))], names=["lang", "gram", "n"])
 
-    ids = [r[0] for r in sample]
-    counted = small_batches(docs).filter(F.col(id_col).isin(ids) & F.col(lang_col).isNotNull()).select(text_col, lang_col).mapInArrow(count, "lang string, gram string, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    lines = written(bitmap(sample, "id"), "bitmap")
+    mark = fresh(docs, "_perhaps")[0]
+    texts = perhaps(small_batches(docs), id_col, lines, mark).filter(F.col(mark) & F.col(lang_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+    texts = texts.join(sample, "id", "left_semi").select("text", "lang")
+    counted = texts.mapInArrow(count, "lang string, gram string, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    is_script = F.col("gram").startswith("\0")
+    ranked = counted.withColumn("place", F.row_number().over(Window.partitionBy("lang", is_script).orderBy(F.desc("n"), "gram"))).filter(F.col("place") <= fit.kept)
     by: dict[str, Counter] = defaultdict(Counter)
-    for lang, gram, n in counted.orderBy(F.desc("n"), "gram", "lang").limit(fit.kept * 10).collect() if ids else []:
+    best: dict[str, int] = {}
+    for lang, gram, n, place in ranked.collect():
         by[lang][gram] = n
-    languages = [x for x in languages_seen if by[x]]
-    seen = sorted({g for c in by.values() for g in c if g[0] != "\0"}, key=lambda g: (-sum(c[g] for c in by.values()), g))[: fit.kept]
+        best[gram] = min(place, best.get(gram, place))
+    dropped(sample, lines)
+    languages = sorted(by)
+    seen = sorted((g for g in best if g[0] != "\0"), key=lambda g: (best[g], g))[: fit.kept]
     totals = np.array([sum(n for g, n in by[x].items() if g[0] != "\0") for x in languages], float)
     smooth = 0.5
     counts = np.array([[by[x][g] for x in languages] for g in seen] + [[0] * len(languages)], float).reshape(len(seen) + 1, len(languages))
