@@ -7,7 +7,7 @@
 3. A candidate's signatures are compared batch by batch.  As soon as the posterior probability that its similarity
    reaches the threshold falls below `miss`, it is pruned.  Survivors are confirmed on full shingle sets.  The centre
    of a star meets its members in blocks of `salt`, each with its own copy of the centre, so no task gets a whole star.
-4. Components of the links so far.  While a bucket with members of different components has more than `block` of them,
+4. Components of the links so far.  While a bucket with members of different components has more than `crowd` of them,
    further stars are drawn, each with another centre.  What is then still open is compared across components, in blocks
    of bounded size: pruned by batches and confirmed on full sets within the task, each pair in the first band that it
    shares, so only links leave a task, never a group's pairs.
@@ -39,7 +39,8 @@ class Params:
     """words a shingle; links have 100 * intersection >= percent * union; bands x rows hashes; a pair is pruned when its
     posterior falls below miss, looked at after each batch of hashes; a star's members meet its centre in blocks of salt;
     block and block_shingles bound the classes, and the shingles of their sets, that a task holds of either side of a
-    block; stars is how many stars are drawn at most before the blocks decide what is open."""
+    block; while a bucket has more than crowd members of several components, another star is drawn, up to stars of them,
+    before the blocks decide what is open."""
 
     words: int = 5
     percent: int = 85
@@ -48,7 +49,8 @@ class Params:
     batch: int = 24
     miss: float = 1e-7
     salt: int = 256
-    stars: int = 4
+    stars: int = 3
+    crowd: int = 4096
     block: int = 512
     block_shingles: int = 2_000_000
 
@@ -353,7 +355,7 @@ def near_duplicates(docs: DataFrame, p: Params = Params(), *, id_col: str = "doc
         found = written(rounds, "near-components")
         dropped(star, pairs, new, rounds, *([old] if old is not None else []))
         rest = _open(shared, found)
-        if (rest.agg(F.max("members")).first()[0] or 0) <= p.block or turn == p.stars - 1:
+        if (rest.agg(F.max("members")).first()[0] or 0) <= p.crowd or turn == p.stars - 1:
             break
         star = _stars(rest, turn, p.salt)
         dropped_later.append(rest)

@@ -135,10 +135,9 @@ def test_warc_round_trip(spark, tmp_path):
     got = {r.page_id: tuple(r)[1:] for r in warc.warc(df, str(tmp_path / "w")).collect()}
     refer = {1: 9, 2: 9, 8: 10}
     for i, _, h, _ in rows:
-        if i is not None:
-            raw = (h or "").encode()
-            assert got[i] == (len(raw), hashlib.sha1(raw).hexdigest(), "revisit" if i in refer else "response", refer.get(i))
-    assert len(got) == 10
+        raw = (h or "").encode()
+        assert got[i] == (len(raw), hashlib.sha1(raw).hexdigest(), "revisit" if i in refer else "response", refer.get(i))
+    assert len(got) == 11
     assert warc.warc(df.limit(0)).count() == 0
 
 
@@ -192,7 +191,7 @@ def test_near_duplicates_behind_a_dull_centre(spark, stars):
     base = [f"b{i}" for i in range(60)]
     rows = [(0, " ".join(base[:44] + [f"z{i}" for i in range(20)]))] + [(i, " ".join([*base, f"x{i}"])) for i in range(1, 60)]
     rows += [(100 + i, " ".join(base[10:] + [f"y{j}" for j in range(10)] + [f"w{i}"])) for i in range(40)]
-    p = neardup.Params(stars=stars, block=8, salt=4)
+    p = neardup.Params(stars=stars, crowd=8, block=8, salt=4)
     got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), p).collect()}
     assert got == plain_components(rows)
 
@@ -201,3 +200,64 @@ def test_near_duplicates_of_string_ids(spark, rows):
     named = [(None if i is None else f"d{i:04d}", t) for i, t, *_ in rows]
     got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in neardup.near_duplicates(spark.createDataFrame(named, "doc_id string, text string")).collect()}
     assert got == plain_components(named)
+
+
+def test_warc_of_hot_payloads_and_odd_ids(spark, tmp_path):
+    """One payload on a third of all pages, null and string ids; a payload of many chunks; chunks of a record stay in order."""
+    hot, long = "h" * 1500, "".join(chr(97 + i % 26) for i in range(300_000))
+    rows = [(f"p {i:04d}/é", "u", hot if i % 3 == 0 else f"{i}" * 400 if i % 3 == 1 else long if i % 100 == 2 else "s", "") for i in range(600)] + [(None, "u", hot, ""), (None, "u", long, ""), (None, None, "n" * 2000, "")]
+    df = spark.createDataFrame(rows, "page_id string, url string, html string, payload_bytes string").repartition(4)
+    top = {}
+    for i, _, h, _ in rows:
+        if i is not None and len(h) >= 1000:
+            top[h] = max(i, top.get(h, i))
+    want = sorted((i or "", len(h), hashlib.sha1(h.encode()).hexdigest(), "revisit" if top.get(h, i) != i else "response", top[h] if top.get(h, i) != i else None) for i, _, h, _ in rows)
+    folder = str(tmp_path / "w")
+    got = [(r.page_id or "", *r[1:]) for r in warc.warc(df, folder).collect()]
+    assert sorted(got, key=lambda x: x[:3]) == sorted(want, key=lambda x: x[:3])
+    table = warc.record_table(df, chunk_bytes=1000).filter(f"size = {len(long)} and refers_to is null")
+    assert table.count() == 300 and {len(r.data) for r in table.select("data").collect()} == {1000}
+
+
+@pytest.mark.parametrize("kind", ["null", "one", "big", "string"])
+def test_shards_of_odd_ids(spark, kind):
+    """Rows without an id or of one id, identical rows among them, the largest whole numbers, and strings: all even."""
+    own = {"null": lambda i: None, "one": lambda i: 7, "big": lambda i: (1 << 63) - 1 - i if i % 2 else i - (1 << 63), "string": lambda i: f"d{i}"}[kind]
+    rows = [(own(i), f"text {i % 200}" if i % 3 else "the same") for i in range(1200)]
+    out = shards.shards(spark.createDataFrame(rows, f"doc_id {'string' if kind == 'string' else 'bigint'}, text string").repartition(3), n_shards=5).collect()
+    load = defaultdict(int)
+    slots = defaultdict(list)
+    for r in out:
+        load[r.shard] += r["size"]
+        slots[r.shard].append(r.slot)
+    assert len(out) == 1200 and sorted(load) == [0, 1, 2, 3, 4] and max(load.values()) - min(load.values()) <= 4 * 30
+    assert all(sorted(x) == [*range(len(x))] for x in slots.values())
+
+
+def test_shards_cut_like_a_plain_tree(spark):
+    """The same recursion in plain Python: widest dimension, then the prefix of the sorted rows nearest to the target."""
+    r = random.Random(11)
+    rows = [(i, "x" * r.choice([3, 3, 50, 400, r.randint(1, 2000)]), r.choice("ab"), r.choice(["s", "t", "u"])) for i in range(700)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string").coalesce(1)
+    code = lambda x: zlib.crc32(x.encode()) % 65_536
+    points = [(i, {"size": len(t) + 16, "lang_code": code(a), "source_code": code(b), "arrival": i >> 16, "arrival_low": i & 65_535, "serial": n}) for n, (i, t, a, b) in enumerate(rows)]
+    spread = {d: max(1, max(p[d] for _, p in points) - min(p[d] for _, p in points)) for d in shards.DIMENSIONS}
+    want = {}
+
+    def split(own, first, leaves):
+        if leaves == 1:
+            want.update((i, first) for i, _ in own)
+            return
+        width = lambda d: (max(p[d] for _, p in own) - min(p[d] for _, p in own)) / spread[d]
+        dim = max(shards.DIMENSIONS, key=lambda d: (width(d), -shards.DIMENSIONS.index(d)))
+        own = sorted(own, key=lambda x: (x[1][dim], *(x[1][k] for k in shards.TIES)))
+        target, total, at = sum(p["size"] for _, p in own) * (leaves // 2) // leaves, 0, 0
+        while total + own[at][1]["size"] < target:
+            total += own[at][1]["size"]
+            at += 1
+        at += total + own[at][1]["size"] - target <= target - total
+        split(own[:at], first, leaves // 2)
+        split(own[at:], first + leaves // 2, leaves - leaves // 2)
+
+    split(points, 0, 7)
+    assert {r.doc_id: r.shard for r in shards.shards(docs, n_shards=7).collect()} == want
