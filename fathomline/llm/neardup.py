@@ -2,8 +2,9 @@
 
 1. One scan gives each text its set size, a fingerprint of its shingle set and a signature.  Equal sets become one
    class, represented by its smallest id: a group of copies costs one row from here on.
-2. Each band of a signature puts a class into a bucket.  Members are first compared with the smallest class of their
-   bucket (a star), which joins most groups at once; candidates grow with members, not with their square.
+2. Each band of a signature puts a class into a bucket.  Members are first compared with one class of their bucket (a
+   star), that which meets most others in all its buckets: copies of one text are nearer to it than to each other, and
+   it meets them most often.  So most groups are joined at once; candidates grow with members, not with their square.
 3. A candidate's signatures are compared batch by batch.  As soon as the posterior probability that its similarity
    reaches the threshold falls below `miss`, it is pruned.  Survivors are confirmed on full shingle sets.  The centre
    of a star meets its members in blocks of `salt`, each with its own copy of the centre, so no task gets a whole star.
@@ -31,7 +32,7 @@ from fathomline.llm.common import arrow_kind, bitmap, dropped, fresh, id_kind, p
 
 _P = np.uint64(0x9E3779B97F4A7C15)
 #: Words whose hashes, and documents whose sets, a worker remembers.
-_WORDS, _SEEN = 400_000, 100_000
+_WORDS, _SEEN = 200_000, 50_000
 
 
 @dataclass(frozen=True)
@@ -340,11 +341,14 @@ def near_duplicates(docs: DataFrame, p: Params = Params(), *, id_col: str = "doc
     dropped(signed)
 
     placed = banded(classes, p)
-    full = written(placed.groupBy("bucket").agg(F.min("rep").alias("centre"), F.count("*").alias("members")).filter("members > 1"), "near-buckets")
-    shared = written(placed.join(full, "bucket"), "near-shared")
-    star = shared.filter("rep <> centre").select(F.col("centre").alias("a"), F.col("rep").alias("b"), F.ceil(F.col("members") / p.salt).alias("blocks")).groupBy("a", "b").agg(F.max("blocks").alias("blocks"))
-    dropped_later, links, found = [full, shared], None, None
-    shared = shared.drop("centre", "members")
+    full = placed.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1")
+    met = written(placed.join(full, "bucket"), "near-met")
+    shared = written(met.join(met.groupBy("rep").agg(F.sum("members").alias("degree")), "rep"), "near-shared")
+    centres = shared.groupBy("bucket").agg(F.min(F.struct((-F.col("degree")).alias("d"), "rep"))["rep"].alias("centre"))
+    star = shared.join(centres, "bucket").filter("rep <> centre").select(F.col("centre").alias("a"), F.col("rep").alias("b"), F.ceil(F.col("members") / p.salt).alias("blocks")).groupBy("a", "b").agg(F.max("blocks").alias("blocks"))
+    dropped_later, links, found = [shared], None, None
+    dropped(met)
+    shared = shared.drop("members", "degree")
     for turn in range(p.stars):
         star = written(star, "near-star")
         pairs = written(_pruned(star, classes, p), "near-pairs")
