@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import re
-import sys
 import unicodedata
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -18,10 +18,8 @@ from pyspark.sql.window import Window
 from fathomline.llm.common import bitmap, dropped, fresh, perhaps, small_batches, written
 
 UNKNOWN = "und"
-#: A word is a run of letters.  What re counts as alphanumeric is a letter, a decimal digit, or another number (such as
-#: fractions, circled and Roman numbers), and the last have to go too.
-_NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c) in ("No", "Nl"))
-_WORD = re.compile(rf"[^\W\d_{_NUMBERS}]+")
+#: Runs of letters and of numbers that aren't decimal digits, such as fractions and Roman numerals; words() cuts at the latter.
+_RUN = re.compile(r"[^\W\d_]+")
 _CACHE = 250_000
 
 
@@ -42,6 +40,30 @@ class Fit:
     kept: int = 30_000
 
 
+def words(text: str) -> list[str]:
+    """The words of a text: its runs of letters."""
+    found = _RUN.findall(text)
+    if all(map(str.isalpha, found)):
+        return found
+    return [w for run in found for w in ("".join(c if c.isalpha() else " " for c in run).split() if not run.isalpha() else (run,))]
+
+
+def places(text: str) -> list[tuple[int, int]]:
+    """Where the words of a text begin and end."""
+    out = []
+    for m in _RUN.finditer(text):
+        if m.group().isalpha():
+            out.append(m.span())
+            continue
+        at = m.start()
+        for letter, own in groupby(m.group(), str.isalpha):
+            n = sum(1 for _ in own)
+            if letter:
+                out.append((at, at + n))
+            at += n
+    return out
+
+
 def script(char: str) -> str:
     """The script of a letter: the first word of its Unicode name (LATIN, CYRILLIC, GREEK, CJK, ...)."""
     return "LATIN" if char < "ɐ" else unicodedata.name(char, "UNKNOWN").split(" ")[0].split("-")[0]
@@ -142,20 +164,20 @@ class Model:
 
     def spans(self, text: str) -> list[tuple[int, int, str]]:
         """(start, end, language) of the stretches of a text, code points."""
-        found = [*_WORD.finditer(text)]
+        found = places(text)
         if not found or not self.languages:
             return []
-        path = self.path(self.rows([m.group() for m in found]))
+        path = self.path(self.rows([text[a:b] for a, b in found]))
         cut = [0, *(np.flatnonzero(np.diff(path)) + 1).tolist(), len(found)]
-        return [(found[a].start(), found[b - 1].end(), self.languages[path[a]]) for a, b in zip(cut, cut[1:])]
+        return [(found[a][0], found[b - 1][1], self.languages[path[a]]) for a, b in zip(cut, cut[1:])]
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """The language with most letters along the best path, and its share of the letters."""
-        words = _WORD.findall(text or "")
-        if not words or not self.languages:
+        found = words(text or "")
+        if not found or not self.languages:
             return UNKNOWN, 0.0
-        path = self.path(self.rows(words))
-        size = np.bincount(path, np.fromiter(map(len, words), np.float64, len(words)), len(self.languages))
+        path = self.path(self.rows(found))
+        size = np.bincount(path, np.fromiter(map(len, found), np.float64, len(found)), len(self.languages))
         return self.languages[int(size.argmax())], float(size.max() / size.sum())
 
 
@@ -185,9 +207,8 @@ def fit(docs: DataFrame, fit: Fit = Fit(), *, penalty: float = 6.0, id_col: str
         for batch in batches:
             out = []
             for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words = Counter(_WORD.findall(text or ""))
                 c, scripts = Counter(), Counter()
-                for w, n in words.items():
+                for w, n in Counter(words(text or "")).items():
                     low = w.lower()
                     scripts[script(low[0])] += n
                     for g in grams(low, order):
