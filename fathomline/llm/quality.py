@@ -23,12 +23,14 @@ class Fit:
     """Bounds of what the CRF is fitted on.
 
     fit_docs labelled documents at most, those of smallest xxhash64(doc_id); of them, only documents of fit_lines
-    lines or fewer.  A document's quality label is the label of each of its lines.
+    lines or fewer.  Labels are of documents, so the lines' are learned too: at first all lines of a document have its
+    label, then, turns times, the labels that the CRF gives them, where these agree with the document's (see labelled).
     """
 
     fit_docs: int = 1500
     fit_lines: int = 200
     rounds: int = 120
+    turns: int = 2
     l2: float = 1.0
 
 
@@ -90,58 +92,81 @@ class Crf:
 UNFITTED = Crf(np.array([[1, 0, 0, 0, 0, 0, 0, 0, 0, 0.5, 0, 0], [0, 1, 1, 0, 1, 1, 0.5, 0.5, 0.2, 0, 0.6, 0.6]], np.float64).T, np.array([[0.5, 0.0], [0.0, 0.5]]))
 
 
-def fitted(samples: list[tuple[np.ndarray, int]], rounds: int, l2: float) -> Crf:
-    """Maximum likelihood of the label sequences, by gradient ascent with forward-backward (whole chains in one pass).
+def fitted(samples: list[tuple[np.ndarray, int | np.ndarray]], rounds: int, l2: float) -> Crf:
+    """Maximum likelihood of the label sequences, by gradient ascent with forward-backward (all chains in one pass).
 
-    samples: a document's line features, and the label that all of its lines have.
+    samples: a document's line features, and the labels of its lines, or one that all of them have.  Chains lie side by
+    side, longest first, so that the lines of one number are neighbours and short chains cost nothing beyond their end.
     """
-    if not samples or len({y for _, y in samples}) < 2:
+    samples = sorted(((f, np.broadcast_to(np.asarray(y, np.int64), len(f))) for f, y in samples if len(f)), key=lambda s: -len(s[0]))
+    if not samples or len({int(x) for _, y in samples for x in y}) < 2:
         return UNFITTED
-    k, longest = len(FEATURES), max(len(x) for x, _ in samples)
-    n = len(samples)
-    x = np.zeros((n, longest, k))
+    k, n = len(FEATURES), len(samples)
     length = np.array([len(f) for f, _ in samples])
-    y = np.array([label for _, label in samples])
-    for i, (f, _) in enumerate(samples):
-        x[i, : len(f)] = f
-    on = np.arange(longest)[None, :] < length[:, None]
-    weight = 1 / np.sqrt(length)  # a long document has more to say, but not in proportion
-    truth_emit = np.zeros((k, 2))
+    active = np.array([int((length > t).sum()) for t in range(length[0])])
+    first = np.concatenate([[0], np.cumsum(active)])
+    place = [first[: len(f)] + i for i, (f, _) in enumerate(samples)]
+    x, y, weight = np.zeros((first[-1], k)), np.zeros(first[-1], np.int64), np.zeros(first[-1])
+    for at, (f, own) in zip(place, samples):
+        x[at], y[at] = f, own
+        weight[at] = 1 / np.sqrt(len(f))  # a long document has more to say, but not in proportion
+    steps = [(slice(first[t - 1], first[t - 1] + active[t]), slice(first[t], first[t + 1])) for t in range(1, length[0])]
+    before = np.concatenate([np.arange(s.start, s.stop) for s, _ in steps] or [[]]).astype(int)
+    after = np.concatenate([np.arange(s.start, s.stop) for _, s in steps] or [[]]).astype(int)
+    end, chain = np.array([at[-1] for at in place]), np.zeros(first[-1], np.int64)
+    for i, at in enumerate(place):
+        chain[at] = i
+    truth_emit = np.stack([weight[y == label] @ x[y == label] for label in (0, 1)], axis=1)
     truth_move = np.zeros((2, 2))
-    for label in (0, 1):
-        of = y == label
-        truth_emit[:, label] = np.einsum("n,ntk->k", weight[of], x[of] * on[of, :, None])
-        truth_move[label, label] = (weight[of] * (length[of] - 1)).sum()
+    np.add.at(truth_move, (y[before], y[after]), weight[after])
     theta = np.zeros(k * 2 + 4)
     m, v = np.zeros_like(theta), np.zeros_like(theta)
-    total = (weight * length).sum()
+    total = weight.sum()
     for step in range(1, rounds + 1):
         emit, move = theta[: 2 * k].reshape(k, 2), theta[2 * k :].reshape(2, 2)
         e = x @ emit
-        alpha, beta = np.zeros_like(e), np.zeros_like(e)
-        alpha[:, 0] = e[:, 0]
-        for t in range(1, longest):
-            alpha[:, t] = np.where(on[:, t, None], np.logaddexp(alpha[:, t - 1, 0, None] + move[0], alpha[:, t - 1, 1, None] + move[1]) + e[:, t], alpha[:, t - 1])
-        for t in range(longest - 2, -1, -1):
-            s = beta[:, t + 1] + e[:, t + 1]
-            beta[:, t] = np.where(on[:, t + 1, None], np.logaddexp(s[:, 0, None] + move[:, 0], s[:, 1, None] + move[:, 1]), 0)
-        z = np.logaddexp(alpha[:, -1, 0], alpha[:, -1, 1])
-        p = np.exp(alpha + beta - z[:, None, None]) * on[:, :, None] * weight[:, None, None]
-        grad_emit = truth_emit - np.einsum("ntk,nty->ky", x, p)
-        pair = np.exp(alpha[:, :-1, :, None] + move + (e[:, 1:] + beta[:, 1:])[:, :, None, :] - z[:, None, None, None]) * on[:, 1:, None, None] * weight[:, None, None, None]
-        grad = np.concatenate([grad_emit.ravel(), (truth_move - pair.sum((0, 1))).ravel()]) / total - l2 * theta / total
+        alpha, beta = e.copy(), np.zeros_like(e)
+        for was, now in steps:
+            alpha[now] += np.logaddexp(alpha[was, 0, None] + move[0], alpha[was, 1, None] + move[1])
+        for was, now in reversed(steps):
+            s = beta[now] + e[now]
+            beta[was] = np.logaddexp(s[:, 0, None] + move[:, 0], s[:, 1, None] + move[:, 1])
+        z = np.logaddexp(alpha[end, 0], alpha[end, 1])[chain]
+        p = np.exp(alpha + beta - z[:, None]) * weight[:, None]
+        pair = np.exp(alpha[before, :, None] + move + (e[after] + beta[after])[:, None, :] - z[after, None, None]) * weight[after, None, None]
+        grad = np.concatenate([(truth_emit - x.T @ p).ravel(), (truth_move - pair.sum(0)).ravel()]) / total - l2 * theta / total
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad**2
         theta = theta + 0.2 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
     return Crf(theta[: 2 * k].reshape(k, 2).copy(), theta[2 * k :].reshape(2, 2).copy())
 
 
+def labelled(samples: list[tuple[np.ndarray, int, np.ndarray]], crf: Crf, content_share: float) -> list[tuple[np.ndarray, int | np.ndarray]]:
+    """The samples (line features, document's label, characters of the lines) with labels of lines: the CRF's, where the
+    share of content that they give speaks for the document's label, and else the document's for all of them."""
+    out = []
+    for features, label, size in samples:
+        lines = crf.viterbi(features)
+        content = size[lines == CONTENT].sum() >= content_share * size.sum()
+        out.append((features, lines if content == (label == CONTENT) else label))
+    return out
+
+
+def learned(samples: list[tuple[np.ndarray, int, np.ndarray]], fit: Fit, content_share: float) -> Crf:
+    """From documents' labels to a CRF of lines: fits, labels the lines, and fits anew, fit.turns times."""
+    crf = fitted([(f, label) for f, label, _ in samples], fit.rounds, fit.l2)
+    for _ in range(fit.turns):
+        if crf is not UNFITTED:
+            crf = fitted(labelled(samples, crf, content_share), fit.rounds, fit.l2)
+    return crf
+
+
 def word_lines(text: str) -> list[str]:
     """The \\n-split lines that hold a word."""
     return [x for x in text.split("\n") if x.strip(BLANKS)]
 
 
-def fit_crf(docs: DataFrame, labels: DataFrame, fit: Fit = Fit(), *, id_col: str = "doc_id", text_col: str = "text") -> Crf:
-    """Fits on at most fit.fit_docs documents; only their line features reach the driver."""
+def fit_crf(docs: DataFrame, labels: DataFrame, fit: Fit = Fit(), *, content_share: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> Crf:
+    """Fits on at most fit.fit_docs documents; only features and lengths of their lines reach the driver."""
     sample = labels.select(id_col, "quality").dropna().groupBy(id_col).agg(F.max("quality").alias("quality"))
     sample = sample.orderBy(F.xxhash64(id_col), id_col).limit(fit.fit_docs).collect()
     label = {r[0]: 1 - int(r[1] > 0) for r in sample}
@@ -151,20 +176,22 @@ def fit_crf(docs: DataFrame, labels: DataFrame, fit: Fit = Fit(), *, id_col: str
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, rows = [], []
+            ids, rows, sizes = [], [], []
             for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 lines = word_lines(text or "")
                 if 0 < len(lines) <= most:
                     ids.append(i)
                     rows.append(np.packbits(line_features(lines).astype(bool), axis=1).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, batch.schema[0].type), pa.array(rows, pa.binary())], names=["id", "f"])
+                    sizes.append(np.fromiter(map(len, lines), np.int32, len(lines)).tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(ids, batch.schema[0].type), pa.array(rows, pa.binary()), pa.array(sizes, pa.binary())], names=["id", "f", "n"])
 
     df = small_batches(docs).select(id_col, text_col).filter(F.col(id_col).isin([*label]))
-    found = df.mapInArrow(features, f"id {df.schema[0].dataType.simpleString()}, f binary").collect()
+    # a sampled id may stand on many rows; of its texts one is enough
+    found = df.mapInArrow(features, f"id {df.schema[0].dataType.simpleString()}, f binary, n binary").groupBy("id").agg(F.min(F.struct("f", "n")).alias("x")).collect()
     width = (len(FEATURES) + 7) // 8
     unpack = lambda f: np.unpackbits(np.frombuffer(f, np.uint8).reshape(-1, width), axis=1)[:, : len(FEATURES)]
-    samples = sorted(((r.id, bytes(r.f)) for r in found))
-    return fitted([(unpack(f), label[i]) for i, f in samples], fit.rounds, fit.l2)
+    samples = sorted(((r.id, bytes(r.x.f), bytes(r.x.n)) for r in found))
+    return learned([(unpack(f), label[i], np.frombuffer(n, np.int32)) for i, f, n in samples], fit, content_share)
 
 
 def repeated_words(words: list[bytes]) -> int:
@@ -214,7 +241,7 @@ def judged(text: str | None, crf: Crf, content_share: float, min_words: int, rep
 
 def kept_documents(docs: DataFrame, labels: DataFrame, *, fit: Fit = Fit(), content_share: float = 0.5, min_words: int = 50, repeat_percent: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that quality() keeps, all columns as they are."""
-    crf = fit_crf(docs, labels, fit, id_col=id_col, text_col=text_col)
+    crf = fit_crf(docs, labels, fit, content_share=content_share, id_col=id_col, text_col=text_col)
     return filtered(docs, text_col, lambda: lambda text: judged(text, crf, content_share, min_words, repeat_percent)[6])
 
 
@@ -227,7 +254,7 @@ def quality(docs: DataFrame, labels: DataFrame, *, fit: Fit = Fit(), content_sha
     rows give repeated rows; an empty table gives an empty one; without usable labels UNFITTED weights hold.
     Other columns aren't read.  No shuffle.
     """
-    crf = fit_crf(docs, labels, fit, id_col=id_col, text_col=text_col)
+    crf = fit_crf(docs, labels, fit, content_share=content_share, id_col=id_col, text_col=text_col)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
