@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
@@ -35,6 +36,11 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def opened(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
+    """The file system of a path or URI, and the path in it."""
+    return pyarrow.fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder."""
     return f"{shared_dir(spark)}/fathomline/{name}-{uuid.uuid4().hex}"

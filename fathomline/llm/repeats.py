@@ -22,8 +22,8 @@ so that none of the tasks gets an unbounded group.
 from __future__ import annotations
 
 import hashlib
-import os
 import tempfile
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,9 +33,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fathomline.llm.common import bitmap, dropped, perhaps, small_batches, written
+from fathomline.llm.common import bitmap, dropped, id_kind, numbered, opened, perhaps, scratch, small_batches, written
 
 GRAM = 16
+#: Documents whose runs are merged at once.
+BUCKET_DOCS = 50_000
 #: Texts are searched in pieces of so many bytes (plus the overlap), so memory does not grow with a text.
 PIECE = 1 << 22
 _TABLE = np.random.default_rng(7).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -82,13 +84,33 @@ def _anchors(data: np.ndarray, length: int, base: int) -> tuple[np.ndarray, ...]
     return h[at[first]], at[first] + base, first + base, last + base
 
 
+class Folder:
+    """Where the columns of one task's collections lie once they are files: a folder below the shared one, made when it
+    is first needed and deleted with the collection.  Files are read and written from front to back."""
+
+    def __init__(self, root: str | None):
+        self.root, self.fs, self.path = root, None, ""
+
+    def file(self, name: str) -> str:
+        if self.fs is None:
+            # no root: a local session without tasks, as in tests
+            self.fs, self.path = opened(f"{self.root or tempfile.gettempdir()}/columns-{uuid.uuid4().hex}")
+            self.fs.create_dir(self.path, recursive=True)
+        return f"{self.path}/{name}"
+
+    def cleanup(self) -> None:
+        if self.fs is not None:
+            self.fs.delete_dir(self.path)
+            self.fs = None
+
+
 class Column:
     """A column of a collection: an array, or beyond ram_rows a file that is read and written in order."""
 
     STEP = 1 << 18
 
-    def __init__(self, kind: type, ram_rows: int, folder: list):
-        self.kind, self.ram_rows, self.folder = kind, ram_rows, folder
+    def __init__(self, kind: type, ram_rows: int, folder: Folder):
+        self.kind, self.ram_rows, self.folder = np.dtype(kind), ram_rows, folder
         self.rows: np.ndarray | None = None
         self.path, self.n, self._turn = "", 0, 0
 
@@ -99,9 +121,17 @@ class Column:
         if self.rows is not None:
             yield 0, self.rows
             return
-        with open(self.path, "rb") as f:
+        with self.folder.fs.open_input_stream(self.path) as f:
             for at in range(0, self.n, self.STEP):
-                yield at, np.fromfile(f, self.kind, min(self.STEP, self.n - at))
+                yield at, np.frombuffer(f.read(min(self.STEP, self.n - at) * self.kind.itemsize), self.kind)
+
+    def _written(self, parts: Iterator[np.ndarray], n: int) -> None:
+        self._turn ^= 1
+        target = self.folder.file(f"{id(self)}-{self._turn}")
+        with self.folder.fs.open_output_stream(target) as f:
+            for part in parts:
+                f.write(part.tobytes())
+        self.rows, self.path, self.n = None, target, n
 
     def insert(self, where: np.ndarray, values: np.ndarray, keep: np.ndarray | None = None) -> np.ndarray | None:
         """where: final row numbers of the values, ascending.  Gives the numbers of the old rows, for another column
@@ -116,12 +146,9 @@ class Column:
             out[keep], out[where] = self.rows, values
             self.rows, self.n = out, n
             return keep
-        if not self.folder:
-            self.folder.append(tempfile.TemporaryDirectory(prefix="columns-"))
-        self._turn ^= 1
-        target = os.path.join(self.folder[0].name, f"{id(self)}-{self._turn}")
-        done = 0
-        with open(target, "wb") as f:
+
+        def merged_parts() -> Iterator[np.ndarray]:
+            done = 0
             for at, old in self.parts():
                 # row i of the old column becomes row i + the number of values that stand before it
                 upto = int(np.searchsorted(where - np.arange(len(where)), at + len(old), "left")) if at + len(old) < self.n else len(where)
@@ -130,9 +157,10 @@ class Column:
                 keep = np.ones(len(out), bool)
                 keep[mine] = False
                 out[keep], out[mine] = old, values[done:upto]
-                out.tofile(f)
+                yield out
                 done = upto
-        self.rows, self.path, self.n = None, target, n
+
+        self._written(merged_parts(), n)
         return None
 
     def take(self, at: np.ndarray) -> np.ndarray:
@@ -146,10 +174,19 @@ class Column:
         return np.concatenate(out)
 
     def put(self, at: np.ndarray, values: np.ndarray) -> None:
+        """Sets rows by ascending number; a file is written anew, in order."""
         if self.rows is not None:
             self.rows[at] = values
-        else:
-            np.memmap(self.path, self.kind, "r+", shape=(self.n,))[at] = values
+            return
+
+        def changed() -> Iterator[np.ndarray]:
+            for start, part in self.parts():
+                a, b = np.searchsorted(at, (start, start + len(part)))
+                out = part.copy()
+                out[at[a:b] - start] = values[a:b]
+                yield out
+
+        self._written(changed(), self.n)
 
 
 #: In the column of suffixes: the bit that says "shares length symbols with the one before", and the place in the text.
@@ -203,7 +240,7 @@ def _window_hashes(text: np.ndarray, length: int) -> np.ndarray:
     return out
 
 
-def collection(spans: list[bytes], length: int, ram_rows: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def collection(spans: list[bytes], length: int, ram_rows: int, root: str | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Groups of two or more equal strings of length bytes within the spans, many at once: where each group begins,
     and the span number and offset of each string.
 
@@ -230,7 +267,7 @@ def collection(spans: list[bytes], length: int, ram_rows: int) -> Iterator[tuple
     for r in range(longest):
         k = active[r]
         columns[r, :k] = text[starts[:k] + sizes[:k] - 1 - r]
-    folder: list = []
+    folder = Folder(root)
     bwt, suffix = Column(np.uint8, ram_rows, folder), Column(np.uint32, ram_rows, folder)
     bwt.set(columns[0])
     at = np.arange(m)
@@ -260,6 +297,7 @@ def collection(spans: list[bytes], length: int, ram_rows: int) -> Iterator[tuple
             same[same] = (view[a[same]] == view[b[same]]).all(axis=1)
             suffix.put(near, b | np.where(same, _SHARED, np.uint32(0)))
     if longest < length:
+        folder.cleanup()
         return
     ids = np.array(order)
     held = np.zeros(0, np.uint32)  # the last row so far, or the run that is still open
@@ -278,8 +316,7 @@ def collection(spans: list[bytes], length: int, ram_rows: int) -> Iterator[tuple
             found = places[:last][member].astype(np.int64)
             span = np.searchsorted(starts, found, "right") - 1
             yield first, ids[span], found - starts[span]
-    for f in folder:
-        f.cleanup()
+    folder.cleanup()
 
 
 Interval = tuple[int, int]
@@ -316,26 +353,35 @@ def _batch(rows: list[tuple], kinds: tuple, names: list[str]) -> pa.RecordBatch:
 
 @dataclass
 class Sketch:
-    """What the second scan knows of anchor hashes: bits (a power of two), two bitmaps, and the hashes over hot."""
+    """What the second scan knows of anchor hashes: bits (a power of two), and bitmaps of those that repeat, that repeat
+    with different spans, and that do so over hot times.  A hash that only shares its bit with another goes the same way
+    wherever it occurs, so results stay exact."""
 
     bits: int
     repeats: bytes
     differ: bytes
-    hot: frozenset
+    hot: bytes
 
     def test(self, bitmap: bytes, h: np.ndarray) -> np.ndarray:
         slot = (h & np.uint64((1 << self.bits) - 1)).astype(np.int64)
         return (np.frombuffer(bitmap, np.uint8)[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
 
 
-def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc, mark, text): the mark tells rows apart that share an id but not the text."""
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame | None]:
+    """(doc, mark, text): the mark tells rows apart that share an id but not the text.  Ids that aren't whole numbers are
+    numbered in their order; then the numbers come back as well."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return small_batches(docs).select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("doc"), F.xxhash64(text).alias("mark"), text.alias("text"))
+    own = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("mark"), text.alias("text"))
+    if id_kind(docs, id_col) == "bigint":
+        number, names = F.col("id").cast("long"), None
+    else:
+        names = numbered(own, "id")
+        own, number = own.join(names, "id", "left"), F.col("n")
+    return small_batches(own).select(F.coalesce(number, F.lit(-(1 << 63))).alias("doc"), "mark", "text"), names
 
 
 def sketch(texts: DataFrame, p: Params) -> Sketch:
-    """Step 1.  At most 2 ** sketch_bits bits of each bitmap reach the driver, and one hash for each `hot` anchors."""
+    """Step 1.  At most 2 ** sketch_bits bits of each bitmap reach the driver."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_64_intdigest
@@ -362,8 +408,7 @@ def sketch(texts: DataFrame, p: Params) -> Sketch:
             out[row.line << 12 : (row.line << 12) + 4096] = row["map"]
         return bytes(out)
 
-    hot = frozenset(r.h for r in found.filter(F.col("n") > p.hot).select("h").collect())
-    made = Sketch(bits, bitmap(found), bitmap(found.filter("differ")), hot)
+    made = Sketch(bits, bitmap(found), bitmap(found.filter("differ")), bitmap(found.filter(F.col("n") > p.hot)))
     dropped(found)
     return made
 
@@ -376,7 +421,6 @@ def _sent(texts: DataFrame, known: Sketch, p: Params) -> DataFrame:
         s, seen, rows = shared.value, {}, []
         names = [x.split(" ")[0] for x in _ROW.split(", ")]
         digest_of, key_of = xxhash.xxh3_128_digest, xxhash.xxh3_64_intdigest
-        hot = np.array(sorted(s.hot), np.int64)
         for batch in batches:
             for doc, mark, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 raw = text.as_py().encode()
@@ -386,7 +430,7 @@ def _sent(texts: DataFrame, known: Sketch, p: Params) -> DataFrame:
                     continue
                 h, at, first, last = h[keep], at[keep], first[keep], last[keep]
                 differ, signed = s.test(s.differ, h).tolist(), h.view(np.int64)
-                alone = np.isin(signed, hot).tolist() if len(hot) else [False] * len(h)
+                alone = s.test(s.hot, h).tolist()
                 runs: list[Interval] = []
                 for key, a, b, pos, many, single in zip(signed.tolist(), first.tolist(), last.tolist(), at.tolist(), differ, alone):
                     span = raw[a : b + p.length]
@@ -427,8 +471,8 @@ def _sent(texts: DataFrame, known: Sketch, p: Params) -> DataFrame:
 class _Meeting:
     """Step 3 for the spans of one task, which come sorted by anchor hash, digest and place."""
 
-    def __init__(self, p: Params, buckets: int = 1):
-        self.p, self.buckets = p, buckets
+    def __init__(self, p: Params, buckets: int = 1, root: str | None = None):
+        self.p, self.buckets, self.root = p, buckets, root
         reach = p.length - GRAM  # an anchor is at most so far from a string's start
         cuts = [reach * i // 6 for i in range(6)] + [reach + 1]
         self.ranges = [(a, b - 1) for a, b in zip(cuts, cuts[1:]) if a < b]
@@ -475,7 +519,7 @@ class _Meeting:
             number = {x: i for i, x in enumerate(texts)}
             owner = np.array([number[doc, mark] for doc, mark, _ in self.places])
             begin = np.array([first for _, _, first in self.places])
-            for groups, span, offset in collection(self.spans, self.p.length, self.p.ram_rows):
+            for groups, span, offset in collection(self.spans, self.p.length, self.p.ram_rows, self.root):
                 text, start = owner[span], begin[span] + offset
                 # the first string of each group stays
                 rank = np.empty(len(text), np.int64)
@@ -529,12 +573,13 @@ def _by_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeats(texts: DataFrame, p: Params = Params()) -> DataFrame:
     """(doc, mark, runs): the merged repeated runs of each text that has one; runs are pairs of int64.
 
-    Tasks send runs on by bucket of documents; there are twice as many buckets as shuffle partitions.
+    Tasks send runs on by bucket of documents; a bucket is held at once, so their number grows with the documents.
     """
-    buckets = 2 * int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(2 * int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-texts.select("doc").count() // BUCKET_DOCS))
+    root = scratch(texts.sparkSession, "repeat-columns")
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, key, digest, place = _Meeting(p, buckets), None, None, None
+        m, key, digest, place = _Meeting(p, buckets, root), None, None, None
         for batch in batches:
             for k, d, span, doc, mark, first, n, at in zip(*(c.to_pylist() for c in batch.columns)):
                 if not d:
@@ -567,7 +612,8 @@ def deduplicate(docs: DataFrame, p: Params = Params(), *, id_col: str = "doc_id"
     A text counts in UTF-8 bytes (null: none).  Each byte goes that is covered by a string of p.length bytes that
     also starts earlier: in a document of smaller id, or earlier in the same document; strings may overlap, never
     cross documents, and are judged on the input.  n_spans counts maximal removed runs; kept are the bytes that stay,
-    joined (binary, since a cut may fall within a character).  A null id comes before all others.  Rows that repeat id and text are one document, of which each row
+    joined (binary, since a cut may fall within a character).  Ids may be whole numbers, or strings and the like, which
+    then are in their own order.  A null id comes before all others.  Rows that repeat id and text are one document, of which each row
     gets the result; rows that share only the id are documents of their own, in the order of a hash.  An empty table gives an empty result; other columns
     aren't read.
     """
@@ -590,12 +636,15 @@ def deduplicate(docs: DataFrame, p: Params = Params(), *, id_col: str = "doc_id"
             arrays = [batch.column(0), *(pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.string())))]
             yield pa.RecordBatch.from_arrays(arrays + [pa.array(kept, pa.binary())] * with_text, names=[id_col, "n_bytes", "n_removed", "n_spans", "kept_sha256", *["kept"] * with_text])
 
-    texts = _texts(docs, id_col, text_col)
+    texts, names = _texts(docs, id_col, text_col)
     own = written(repeats(texts, p), "repeat-runs")
-    kind = docs.schema[id_col].dataType.simpleString()
+    kind = docs.schema[id_col].dataType.simpleString() if names is None else "bigint"
     back = F.when(F.col("doc") == -(1 << 63), F.lit(None)).otherwise(F.col("doc")).cast(kind)
     # only texts that perhaps have a run are shuffled to meet it
     marked = perhaps(texts, "doc", written(bitmap(own.select("doc"), "doc"), "bitmap"), "_perhaps")
     sure = marked.filter(~F.col("_perhaps")).select("doc", "text", F.lit(None).cast("binary").alias("runs"))
     whole = sure.unionAll(marked.filter("_perhaps").join(own, ["doc", "mark"], "left").select("doc", "text", "runs")).select(back.alias(id_col), "text", "runs")
-    return whole.mapInArrow(cut, f"`{id_col}` {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", kept binary" * with_text)
+    out = whole.mapInArrow(cut, f"`{id_col}` {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", kept binary" * with_text)
+    if names is None:
+        return out
+    return out.withColumnRenamed(id_col, "n").join(names, "n", "left").select(F.col("id").alias(id_col), *out.columns[1:])

@@ -18,12 +18,11 @@ from typing import BinaryIO, NamedTuple
 from urllib.parse import quote, unquote
 
 import pyarrow as pa
-import pyarrow.fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fathomline.llm.common import bitmap, deleted, id_kind, perhaps, scratch, small_batches, written
+from fathomline.llm.common import bitmap, deleted, id_kind, opened, perhaps, scratch, small_batches, written
 
 CHUNK_BYTES = 1 << 16
 #: Equal payloads of fewer bytes than this are all stored.
@@ -59,10 +58,6 @@ def chunks(record_id, payload: str, size: int = CHUNK_BYTES) -> Iterator[Chunk]:
         no += 1
 
 
-def opened(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
-    return pyarrow.fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")
-
-
 class _Member:
     """One gzip member of an archive: records can be read alone, as the format wants."""
 
