@@ -261,3 +261,9 @@ def test_shards_cut_like_a_plain_tree(spark):
 
     split(points, 0, 7)
     assert {r.doc_id: r.shard for r in shards.shards(docs, n_shards=7).collect()} == want
+
+
+def test_repeats_of_string_ids(spark, rows):
+    named = [(f"d{i:04d}", t) for i, t, *_ in rows]
+    got = {r.doc_id: tuple(r)[1:] for r in repeats.deduplicate(spark.createDataFrame(named, "doc_id string, text string").repartition(3)).collect()}
+    assert got == plain_repeats(named)

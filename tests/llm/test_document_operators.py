@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -366,3 +367,37 @@ def test_language_of_numbers_and_long_paths(spark, docs):
         cost = lambda y, s=s: sum(s[t, x] for t, x in enumerate(y)) - m.penalty * sum(x != z for x, z in zip(y, y[1:]))
         best = max(itertools.product(range(3), repeat=6), key=cost)
         assert abs(cost(m.path(s)) - cost(best)) < 1e-9 and abs(cost(m.viterbi(s)) - cost(best)) < 1e-9
+
+
+def test_quality_verdict_against_all_labelings():
+    """The share of content by the best of all label sequences, for texts of a few lines."""
+    import itertools
+
+    r = random.Random(4)
+    lines = ["The quick brown fox jumps over the lazy dog again and again.", "HOME | ABOUT | LOGIN", "a*** b%%% c$$$ d### e&&&", "It was a calm evening.", "WORD!! WORD!! WORD!!", "12 34 56 78 90", ""]
+    crf = quality.UNFITTED
+    for _ in range(200):
+        text = "\n".join(r.choice(lines) for _ in range(r.randint(1, 6)))
+        own = [x for x in text.split("\n") if x]
+        share = 0.0
+        if own:
+            e = quality.line_features(own) @ crf.emit
+            best = max(itertools.product((0, 1), repeat=len(own)), key=lambda y: (round(sum(e[t, x] for t, x in enumerate(y)) + sum(crf.move[a, b] for a, b in zip(y, y[1:])), 9), [-x for x in reversed(y)]))
+            share = sum(len(x) for x, y in zip(own, best) if y == 0) / sum(map(len, own))
+        got = quality.judged(text, crf, 0.5, 1, 100)
+        assert abs(got[7] - share) < 1e-9 and got[6] == (not got[5] and share >= 0.5)
+
+
+def test_quality_learns_lines_from_documents():
+    """Good documents with a menu line and bad ones with a sentence: the lines' labels are learned, also changes within."""
+    r = np.random.default_rng(0)
+    good, bad, menu = "It was a calm and quiet evening by the river side, and the {} fox slept.", "BUY {} NOW!! ### $$$ %%%", "home {} | about | login"
+    samples, n = [], 0
+    for k in range(120):
+        text = [good.format(k + j) for j in range(6)] if k % 2 else [bad.format(k + j) for j in range(6)]
+        text.insert(int(r.integers(6)), menu.format(k) if k % 2 else good.format(k))
+        samples.append((quality.line_features(text), 1 - k % 2, np.array([len(x) for x in text])))
+    crf = quality.learned(samples, quality.Fit(rounds=60), 0.5)
+    mixed = [good.format(1), good.format(2), bad.format(1), bad.format(2), bad.format(3), good.format(3), good.format(4)]
+    assert crf.viterbi(quality.line_features(mixed)).tolist() == [0, 0, 1, 1, 1, 0, 0]
+    assert quality.learned([], quality.Fit(), 0.5) is quality.UNFITTED

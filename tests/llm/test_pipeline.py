@@ -23,7 +23,7 @@ def test_run(spark, sf):
     labels = spark.read.parquet(f"{sf}/labels.parquet")
     crf = quality.fit_crf(spark.read.parquet(f"{sf}/documents.parquet"), labels)
     first = {i: t for i, t in d.items() if quality.judged(t, crf, 0.5, 50, 50)[6]}
-    second = {i: first[i] for i, x in plain_components([(i, t) for i, t in first.items()]).items() if x[2]}
+    second = {i: first[i] for i, x in plain_components([(i, t) for i, t in first.items()], 80).items() if x[2]}
     m = decontaminate.Matcher([(r.item_id, r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()], 5, 40)
     third = {i: t for i, t in second.items() if not m.match(t)}
     fourth = {i: pii.masked(t, pii.find(t)[1]) for i, t in third.items()}
