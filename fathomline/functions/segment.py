@@ -8,27 +8,37 @@ from collections.abc import Callable, Iterator
 _PIECE = re.compile(r"(?<=[.!?»›。！？．｡])\s*")
 #: Words after which a full stop ends no sentence.
 ABBREVIATIONS = frozenset(
-    "art arts av avda cap cf cía col dep dept dir dr dra ed eds ee uu etc fig gral ing inc jr lic ltd máx mín mr mrs ms no nº núm op pág págs párr p pp prof r rep s sr sra sres st ss ud uds vol vs ej e g i a".split()
+    "sr sra srta dr dra prof gral pág pag ej etc vs aprox p.ej s.n núm num art fig figs ed eds vol pp mt km kg ha cm mm hz khz no nos inc ltd co corp st mr mrs ms "
+    "jan feb mar apr jun jul aug sep oct nov dec ene abr ago dic set al cap sec secc párr parr a.c d.c a.m p.m".split()
 )
-_END = re.compile(r"[.!?»›。！？．｡]$")
+#: Marks that end a sentence, and those that are taken off its last word.
+_TERMINAL, _MARKS = ".?!»›。！？．｡¡", ".,;:!?»›"
 
 
 def sentences(text: str) -> list[str]:
     """Sentences of a text: cut after closing marks, joined again where the last word is an abbreviation."""
     out, buffer = [], ""
-    for piece in _PIECE.split(text):
-        piece = piece.strip()
+    for piece in map(str.strip, _PIECE.split(text)):
         if not piece:
             continue
         buffer = f"{buffer} {piece}" if buffer else piece
-        if _END.search(buffer):
-            last = buffer.rstrip(".!?»›。！？．｡").split()
-            if not last or last[-1].lower().lstrip("¿¡(\"'«") not in ABBREVIATIONS:
-                out.append(buffer)
-                buffer = ""
+        word = buffer.rstrip(" \t\n.").rpartition(" ")[2].lower()
+        if buffer[-1] in _TERMINAL and word.rstrip(_MARKS) not in ABBREVIATIONS:
+            out.append(buffer)
+            buffer = ""
     return [*out, buffer] if buffer else out
 
 
+def last_within(costs: list[int], budget: int) -> int:
+    """Number of the last unit that still fits into a budget together with those before it; 0 if none does."""
+    total = 0
+    for i, cost in enumerate(costs):
+        total += cost
+        if total > budget:
+            return max(i - 1, 0)
+    return max(len(costs) - 1, 0)
+
+
 def windows(costs: list[int], size: int, overlap: int) -> list[tuple[int, int]]:
     """Greedy windows (first, last) over units: as many units as fit into size, at least one; the next window begins
     with the longest tail of this one that costs at most overlap, but after this one's first unit."""

@@ -8,8 +8,10 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
+from fathomline.functions import text
 from fathomline.registry import Registry
 
 EXTRACTORS: Registry = Registry("entity extractor")
@@ -26,7 +28,22 @@ VOCABULARY = (
     ("cambio climático", "EVENTO", "cambio climatico"), ("climate change", "EVENTO", "cambio climatico"), ("ciberseguridad", "SECTOR", "ciberseguridad"), ("cybersecurity", "SECTOR", "ciberseguridad"), ("defensa", "SECTOR", "defensa"), ("agricultura", "SECTOR", "agricultura"), ("agriculture", "SECTOR", "agricultura"),
 )
 
-_CAPITAL = re.compile(r"(?:\b[A-ZÁÉÍÓÚÑÜ][^\W\d_]{2,}\b(?:\s+(?=[A-ZÁÉÍÓÚÑÜ]))?){2,}")
+#: Forms in another language or spelling, normalised, and the id that they stand for.
+ALIASES = {
+    "space debris": "basura espacial", "orbital debris": "basura espacial", "space junk": "basura espacial", "international space station": "estacion espacial internacional", "low earth orbit": "orbita terrestre baja", "leo": "orbita terrestre baja", "geostationary orbit": "orbita geoestacionaria",
+    "artificial intelligence": "inteligencia artificial", "ai": "inteligencia artificial", "ia": "inteligencia artificial", "machine learning": "aprendizaje automatico", "deep learning": "aprendizaje profundo", "natural language processing": "procesamiento de lenguaje natural", "computer vision": "vision por computador", "internet of things": "internet de las cosas",
+    "large language models": "modelos de lenguaje", "language models": "modelos de lenguaje", "foundation models": "modelos fundacionales", "digital twins": "gemelos digitales", "quantum computing": "computacion cuantica", "cloud computing": "computacion en la nube", "chatbots": "chatbot", "virtual assistants": "asistentes virtuales",
+    "satellite": "satelite", "satellites": "satelite", "nanosatellite": "nanosatelite", "united states": "estados unidos", "usa": "estados unidos", "united nations": "organizacion de las naciones unidas", "latin america": "america latina", "central america": "centroamerica", "the caribbean": "el caribe", "antarctica": "antartida", "south korea": "corea del sur", "united arab emirates": "emiratos arabes unidos", "european union": "union europea", "nato": "otan",
+    "mexican space agency": "agencia espacial mexicana", "brazilian space agency": "agencia espacial brasilena", "european space agency": "agencia espacial europea", "national aeronautics and space administration": "nasa", "space agencies": "agencias espaciales", "artemis program": "programa artemisa", "artemis accords": "acuerdos artemisa", "outer space treaty": "tratado del espacio ultraterrestre", "satellite constellation": "constelacion de satelites",
+    "space security": "seguridad espacial", "national security": "seguridad nacional", "cybersecurity": "ciberseguridad", "cyber attacks": "ataques ciberneticos", "cyberwarfare": "ciberguerra", "electronic warfare": "guerra electronica", "hybrid warfare": "guerra hibrida", "information warfare": "guerra de informacion", "signal interference": "interferencia de senales", "digital sovereignty": "soberania digital", "space sovereignty": "soberania espacial", "military intelligence": "inteligencia militar", "satellite surveillance": "vigilancia satelital", "satellite reconnaissance": "reconocimiento satelital",
+    "remote sensing": "teleobservacion", "synthetic aperture radar": "radar de apertura sintetica", "unmanned aerial vehicles": "vehiculos aereos no tripulados", "global positioning system": "gps",
+}
+
+#: Words that a run of capitalised words may neither begin nor end with.
+FUNCTION_WORDS = frozenset("el la los las un una unos unas de del en con por para sobre entre y o e u que al a se su sus como tras durante desde hasta según the of an and in on with for to from is are".split())
+
+#: Two or more capitalised words of three letters or more.
+_CAPITAL = re.compile(r"\b(?:[A-ZÁÉÍÓÚÑ][a-záéíóúñ]{2,}\s+)+[A-ZÁÉÍÓÚÑ][a-záéíóúñ]{2,}\b")
 
 
 def key(name: str) -> str:
@@ -38,15 +55,18 @@ def key(name: str) -> str:
 @dataclass
 class Gazetteer:
     """Whole-word lookup of normalised forms: longer forms first, matches don't overlap.  With proper_nouns, runs of two
-    or more capitalised words that no form covers become entities of type OTRO."""
+    or more capitalised words that no form covers become entities of type OTRO, without function words at their ends.  Ids
+    are canonical: an alias stands for the id that it is an alias of.  A caller's own forms are further rows."""
 
     vocabulary: tuple[tuple[str, str, str], ...] = VOCABULARY
     proper_nouns: bool = True
+    aliases: dict[str, str] = field(default_factory=lambda: ALIASES)
     _forms: dict[str, tuple[str, str]] = field(default_factory=dict)
 
     def __post_init__(self):
         for form, kind, canonical in self.vocabulary:
-            self._forms[key(form)] = (kind, key(canonical))
+            own = key(canonical)
+            self._forms[key(form)] = (kind, self.aliases.get(key(form), self.aliases.get(own, own)))
         self._longest = max((len(f.split()) for f in self._forms), default=0)
 
     def find(self, text: str) -> list[tuple[int, str, str, str]]:
@@ -65,9 +85,17 @@ class Gazetteer:
         if self.proper_nouns:
             taken = [(a, b) for (a, b, _), u in zip(tokens, used) if u]
             for m in _CAPITAL.finditer(text):
-                a, b = m.start(), m.start() + len(m.group().rstrip())
+                words = [*re.finditer(r"\S+", m.group())]
+                while words and words[0].group().lower() in FUNCTION_WORDS:
+                    del words[0]
+                while words and words[-1].group().lower() in FUNCTION_WORDS:
+                    del words[-1]
+                if len(words) < 2:
+                    continue
+                a, b = m.start() + words[0].start(), m.start() + words[-1].end()
                 if not any(s < b and a < e for s, e in taken):
-                    out.append((a, key(text[a:b]), "OTRO", text[a:b]))
+                    own = key(text[a:b])
+                    out.append((a, self.aliases.get(own, own), "OTRO", text[a:b]))
         return sorted(out)
 
 
@@ -92,6 +120,12 @@ def mentions(chunks: DataFrame, vocabulary: tuple[tuple[str, str, str], ...] = V
     return df.mapInArrow(find, f"`{id_col}` {df.schema[0].dataType.simpleString()}, position bigint, id string, tipo string, nombre string")
 
 
+def present(sentence: Column, forms: Column) -> Column:
+    """Whether any of the forms (an array of names) stands in a sentence as whole words, both sides normalised."""
+    own = F.concat(F.lit(" "), text.entity_key(sentence), F.lit(" "))
+    return F.exists(forms, lambda f: (text.entity_key(f) != "") & own.contains(F.concat(F.lit(" "), text.entity_key(f), F.lit(" "))))
+
+
 def parse_triplets(generated: str) -> list[tuple[str, str, str]]:
     """(head, relation, tail) of a generated string `<triplet> head <subj> tail <obj> relation`; in the typed form,
     markers such as <per> stand in place of <subj> and <obj>.  Incomplete triplets are left out, repeats kept once."""

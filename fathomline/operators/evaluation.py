@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -57,3 +59,49 @@ def f1_at_3(documents: DataFrame, truth: DataFrame) -> DataFrame:
     out = n.join(hits, "query_id", "left").withColumn("hits", F.coalesce("hits", F.lit(0)))
     p, r = F.col("hits") / 3.0, F.col("hits") / F.least("n", F.lit(3))
     return out.select("query_id", p.alias("precision"), r.alias("recall"), F.when(p + r == 0, 0.0).otherwise(2 * p * r / (p + r)).alias("f1"))
+
+
+def relevant_chunks(declared: DataFrame, relevant_docs: DataFrame, chunks: DataFrame) -> DataFrame:
+    """(query_id, chunk_id): declared chunks (query_id, chunk_id), and all chunks of relevant documents (query_id, doc_id)."""
+    of_docs = relevant_docs.select("query_id", "doc_id").distinct().join(chunks.select("doc_id", "chunk_id"), "doc_id").select("query_id", "chunk_id")
+    return declared.select("query_id", "chunk_id").unionByName(of_docs).distinct()
+
+
+#: Words that say nothing about a query's topic.
+AUDIT_STOP = frozenset("cómo que de el la los las en y a al con por para qué cuáles cuál cuales su sus se un una del es son han esta este estas estos está están ha como más desde sobre entre cual o e i u no lo le".split())
+
+
+def audit_terms(t: Column) -> Column:
+    """The different words of four letters or more of a text that aren't stop words."""
+    return F.array_distinct(F.filter(F.regexp_extract_all(F.lower(t), F.lit("[a-záéíóúñü]{4,}"), F.lit(0)), lambda w: ~w.isin(*sorted(AUDIT_STOP))))
+
+
+def audit(queries: DataFrame, documents: DataFrame, fragments: DataFrame, topic_of: Callable[[Column], Column], edges: tuple[int, int] = (16, 32)) -> DataFrame:
+    """(query_id, expected, top_topic, on_topic, overlap, verdict) for each query (query_id, query_text).
+
+    The expected topic goes by the query's number: 1 up to the first edge, 2 up to the second, else 3.  on_topic is the
+    share of fragments (query_id, doc_id, texto) whose document has it, overlap the share of the query's terms that its
+    fragments hold; topic_of makes a topic of a doc_id.  A query without results has the verdict `none`.
+    """
+    number = F.regexp_extract("query_id", r"(\d+)", 1).cast("int")
+    asked = queries.select("query_id", F.when(number <= edges[0], 1).when(number <= edges[1], 2).otherwise(3).alias("expected"), audit_terms(F.col("query_text")).alias("_terms"))
+    top = documents.filter("rank = 1").groupBy("query_id").agg(F.min(topic_of(F.col("doc_id"))).alias("top_topic"))
+    own = fragments.join(asked.select("query_id", "expected"), "query_id")
+    seen = own.groupBy("query_id").agg(F.avg((topic_of(F.col("doc_id")) == F.col("expected")).cast("double")).alias("on_topic"), F.array_distinct(F.flatten(F.collect_list(audit_terms(F.col("texto"))))).alias("_seen"))
+    out = asked.join(top, "query_id", "left").join(seen, "query_id", "left")
+    overlap = F.when(F.size("_terms") == 0, 0.0).otherwise(F.size(F.array_intersect("_terms", "_seen")) / F.size("_terms"))
+    verdict = F.when(F.col("on_topic").isNull(), "none").when((F.col("top_topic") == F.col("expected")) & (F.col("on_topic") >= 0.5), "on topic").when((F.col("on_topic") >= 0.3) | (overlap >= 0.5), "partial").otherwise("weak")
+    return out.select("query_id", "expected", "top_topic", "on_topic", F.when(F.col("_seen").isNotNull(), overlap).alias("overlap"), verdict.alias("verdict"))
+
+
+def graded_report(fragments: DataFrame, documents: DataFrame, truth: DataFrame, truth_docs: DataFrame, k: int = 10, top: int = 3) -> tuple[dict, DataFrame]:
+    """(means, top fragments): nDCG at k and F1 at 3 over the queries that have a ground truth, and their best fragments
+    (query_id, rank, texto, relevancia).  Queries without a truth are left out; without any, all means are 0."""
+    judged = text_relevance(fragments.join(truth.select("query_id").distinct(), "query_id", "left_semi"), truth)
+    got = judged.filter(F.col("rank") <= k).groupBy("query_id").agg(F.sum(F.col("relevancia") / _log2(F.col("rank") + 1)).alias("dcg"))
+    order = truth.withColumn("r", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("relevancia"), "texto"))).filter(F.col("r") <= k)
+    best = order.groupBy("query_id").agg(F.sum(F.col("relevancia") / _log2(F.col("r") + 1)).alias("idcg"))
+    ndcg = best.join(got, "query_id", "left").select("query_id", F.when(F.col("idcg") <= 0, 1.0).otherwise(F.coalesce("dcg", F.lit(0.0)) / F.col("idcg")).alias("ndcg"))
+    first = ndcg.agg(F.count("*").alias("n_queries"), F.coalesce(F.avg("ndcg"), F.lit(0.0)).alias("ndcg")).first()
+    f1 = f1_at_3(documents, truth_docs).agg(F.coalesce(F.avg("f1"), F.lit(0.0)).alias("f1")).first()
+    return {"n_queries": first.n_queries, "ndcg": round(first.ndcg, 6), "f1": round(f1.f1, 6)}, judged.filter(F.col("rank") <= top).select("query_id", "rank", "texto", "relevancia")

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
+from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fathomline.operators import audit
@@ -44,9 +46,53 @@ def delivery(chunks: DataFrame, embeddings: DataFrame, path: str, *, partial: bo
     n = index.count()
     if meta.count() != n or index.join(meta, ["vec_ordinal", "chunk_id"]).count() != n:
         raise ValueError("index and metadata disagree after writing")
-    # order-sensitive, and summed without bringing rows together
-    digest = index.agg(F.sum(F.xxhash64("vec_ordinal", "chunk_id", "vector").cast("decimal(38,0)"))).first()[0]
-    return {"n_vectors": n, "dimension": low or 0, "chunks_omitted": n_gaps, "checksum": str(digest)}
+    found = {"n_vectors": n, "dimension": low or 0, "chunks_omitted": n_gaps, "checksum": checksum(index)}
+    line = json.dumps({"time": datetime.now(timezone.utc).isoformat(timespec="seconds"), "path": path, **found})
+    spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("append").text(f"{path}/build_log.d")
+    deleted = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/.sorted")
+    deleted.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(deleted, True)
+    return found
+
+
+def checksum(index: DataFrame, block: int = 100_000) -> str:
+    """SHA-256 of the index (vec_ordinal, chunk_id, vector): rows are digested in their order by blocks of ordinals, and
+    the blocks' digests in theirs, so no task sees more than a block of digests; the driver sees one a block."""
+    row = F.sha2(F.concat_ws("|", F.col("vec_ordinal").cast("string"), F.col("chunk_id").cast("string"), F.concat_ws(",", F.transform("vector", lambda x: x.cast("string")))), 256)
+    rows = index.select(F.floor(F.col("vec_ordinal") / block).alias("block"), "vec_ordinal", row.alias("d"))
+    listed = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("vec_ordinal", "d"))), lambda x: x["d"]), "")
+    digests = rows.groupBy("block").agg(F.sha2(listed, 256).alias("d")).orderBy("block")
+    whole = hashlib.sha256()
+    for r in digests.toLocalIterator():
+        whole.update(r.d.encode())
+    return whole.hexdigest()
+
+
+def load_delivery(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(embeddings, metadata) of a delivery: (chunk_id, doc_id, vector) and the metadata columns, joined by ordinal."""
+    index, meta = spark.read.parquet(f"{path}/index"), spark.read.json(f"{path}/metadata.jsonl.d")
+    joined = index.drop("chunk_id").join(meta, "vec_ordinal")
+    return joined.select("chunk_id", "doc_id", "vector"), meta.drop("vec_ordinal")
+
+
+def queries_export(queries: DataFrame, path: str, *, force: bool = False) -> None:
+    """Writes queries (query_id, query_text) as JSON lines by id; what is there stays unless force."""
+    ready = queries.select("query_id", "query_text").repartitionByRange("query_id").sortWithinPartitions("query_id")
+    ready.write.mode("overwrite" if force else "ignore").json(path)
+
+
+def explanation_json(paths: DataFrame) -> DataFrame:
+    """(query_id, explanation): a JSON object a query of graph.paths()."""
+    return paths.select("query_id", F.to_json(F.struct(*(c for c in paths.columns if c != "query_id"))).alias("explanation"))
+
+
+def benchmark_report(per_query: DataFrame, path: str | None = None) -> list[dict]:
+    """A row an encoder: number of queries and mean metrics of per_query (encoder_name, query_id, precision, recall, mrr,
+    ndcg), best nDCG first; with a path also written as JSON."""
+    means = per_query.groupBy("encoder_name").agg(F.count("*").alias("n_queries"), *(F.round(F.avg(c), 6).alias(c) for c in ("precision", "recall", "mrr", "ndcg")))
+    ready = means.orderBy(F.desc("ndcg"), "encoder_name")
+    if path is not None:
+        ready.coalesce(1).write.mode("overwrite").json(path)  # a row an encoder
+    return [r.asDict() for r in ready.collect()]
 
 
 def results_jsonl(results: DataFrame, path: str) -> int:

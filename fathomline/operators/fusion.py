@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from fathomline.registry import Registry
+
 #: Places to which fused scores are rounded where they rank, so that equal sums tie in any order of adding.
 PLACES = 12
 
@@ -30,16 +32,22 @@ def min_max(hits: DataFrame) -> DataFrame:
     return hits.withColumn("norm", F.when(high == low, 1.0).otherwise((F.col("score") - low) / (high - low)))
 
 
+#: Fusions by name: functions of k0 that give the aggregate over a chunk's channels; `norm`, `rank`, `score` and `channel`
+#: are the columns of a hit.
+FUSIONS: Registry = Registry("fusion")
+FUSIONS.register("combsum")(lambda k0: F.sum("norm"))
+FUSIONS.register("combmnz")(lambda k0: F.sum("norm") * F.countDistinct("channel"))
+FUSIONS.register("rrf")(lambda k0: F.sum(1.0 / (k0 + F.col("rank"))))
+
+
 def combined(hits: DataFrame, kind: str = "combsum", k0: int = 60) -> DataFrame:
-    """(query_id, chunk_id, doc_id, score, origin, rank) by `combsum`, `combmnz` or `rrf`.  A query with one channel
-    keeps that channel's scores and name."""
-    if kind not in ("combsum", "combmnz", "rrf"):
-        raise ValueError(f"unknown fusion {kind!r}")
+    """(query_id, chunk_id, doc_id, score, origin, rank) by a fusion of the registry (`combsum`, `combmnz`, `rrf`, or
+    one of the caller's).  A query with one channel keeps that channel's scores and name."""
+    total = FUSIONS.get(kind)
     if k0 <= 0:
         raise ValueError("k0 must be positive")
     ready = min_max(hits).withColumn("_channels", F.size(F.collect_set("channel").over(Window.partitionBy("query_id"))))
-    total = {"combsum": F.sum("norm"), "combmnz": F.sum("norm") * F.countDistinct("channel"), "rrf": F.sum(1.0 / (k0 + F.col("rank")))}[kind]
-    fused = ready.groupBy("query_id", "chunk_id").agg(F.min_by("doc_id", "channel").alias("doc_id"), F.max("_channels").alias("_n"), total.alias("_s"), F.max("score").alias("_raw"), F.min("channel").alias("_channel"))
+    fused = ready.groupBy("query_id", "chunk_id").agg(F.min_by("doc_id", "channel").alias("doc_id"), F.max("_channels").alias("_n"), total(k0).alias("_s"), F.max("score").alias("_raw"), F.min("channel").alias("_channel"))
     one = F.col("_n") == 1
     out = fused.select("query_id", "chunk_id", "doc_id", F.round(F.when(one, F.col("_raw")).otherwise(F.col("_s")), PLACES).alias("score"), F.when(one, F.col("_channel")).otherwise(F.lit(kind)).alias("origin"))
     return out.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "chunk_id")))

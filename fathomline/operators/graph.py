@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from fathomline.functions.text import entity_key
 
 def touches(triples: DataFrame) -> DataFrame:
     """(entity, doc_id, chunk_id, ...): a row for each end of each triple; a loop has two."""
@@ -19,6 +20,20 @@ def edges(triples: DataFrame) -> DataFrame:
     return pairs.unionAll(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
 
 
+def near(triples: DataFrame, nodes: DataFrame, keys: list[str], entity: str = "entity") -> DataFrame:
+    """(keys, b): the distinct neighbours of the nodes (keys, entity), without the node itself.
+
+    Only triples with an end among the nodes are followed, so what is shuffled grows with the nodes' degrees and not
+    with the graph; Spark broadcasts the nodes where their size allows.
+    """
+    out = None
+    for own, other in (("sujeto", "objeto"), ("objeto", "sujeto")):
+        ends = triples.select(F.col(own).alias(entity), F.col(other).alias("b")).filter(F.col(entity) != F.col("b"))
+        part = ends.join(nodes.select(*dict.fromkeys([*keys, entity])), entity).select(*keys, "b")
+        out = part if out is None else out.unionAll(part)
+    return out.distinct()
+
+
 def degree(triples: DataFrame) -> DataFrame:
     """(entity, n_triples, n_neighbours)."""
     near = edges(triples).groupBy(F.col("a").alias("entity")).agg(F.count("*").alias("n_neighbours"))
@@ -28,28 +43,34 @@ def degree(triples: DataFrame) -> DataFrame:
 def neighbours(triples: DataFrame, starts: DataFrame, depth: int = 1) -> DataFrame:
     """(start, entity, distance) of all entities within depth steps of starts(start), without the start; breadth first,
     one join a step, each entity at its smallest distance."""
-    adjacent = edges(triples)
     seen = starts.select("start", F.col("start").alias("entity"), F.lit(0).alias("distance")).distinct()
     front = seen
     for d in range(1, depth + 1):
-        reached = front.join(adjacent, front["entity"] == adjacent["a"]).select("start", F.col("b").alias("entity"), F.lit(d).alias("distance")).distinct()
+        reached = near(triples, front, ["start"]).select("start", F.col("b").alias("entity"), F.lit(d).alias("distance"))
         front = reached.join(seen.select("start", "entity"), ["start", "entity"], "left_anti")
         seen = seen.unionAll(front)
     return seen.filter("distance > 0")
 
 
+def weights(triples: DataFrame, query_entities: DataFrame) -> DataFrame:
+    """(query_id, entity, w): 1 for a query's entities (query_id, entity), and 0.5 for each of them that an entity is a
+    direct neighbour of; both add up."""
+    asked = query_entities.select("query_id", "entity").distinct()
+    pairs = near(triples, asked.withColumn("own", F.col("entity")), ["query_id", "own"]).select("query_id", F.col("b").alias("entity"), F.lit(0.5).alias("w"))
+    return asked.select("query_id", "entity", F.lit(1.0).alias("w")).unionAll(pairs).groupBy("query_id", "entity").agg(F.sum("w").alias("w"))
+
+
 def evidence(triples: DataFrame, query_entities: DataFrame, k: int | None = None) -> DataFrame:
     """(query_id, chunk_id, doc_id, score, rank): chunks by the graph evidence for a query's entities (query_id, entity).
 
     Each triple that touches a query entity counts 1; each that touches one of its direct neighbours counts 0.5.
     """
-    ends = touches(triples).select("entity", "chunk_id", "doc_id")
-    asked = query_entities.select("query_id", "entity").distinct()
-    adjacent = edges(triples)
-    near = asked.join(adjacent, asked["entity"] == adjacent["a"]).select("query_id", F.col("b").alias("entity"), F.lit(0.5).alias("w"))
-    weighted = asked.select("query_id", "entity", F.lit(1.0).alias("w")).unionAll(near).groupBy("query_id", "entity").agg(F.sum("w").alias("w"))
-    per_end = ends.groupBy("entity", "chunk_id").agg(F.count("*").alias("n"), F.max("doc_id").alias("doc_id"))
-    scored = weighted.join(per_end, "entity").groupBy("query_id", "chunk_id").agg(F.sum(F.col("w") * F.col("n")).alias("score"), F.max("doc_id").alias("doc_id"))
+    weighted = weights(triples, query_entities)
+    scored = None
+    for end in ("sujeto", "objeto"):
+        part = triples.select(F.col(end).alias("entity"), "chunk_id", "doc_id").join(weighted, "entity").select("query_id", "chunk_id", "doc_id", "w")
+        scored = part if scored is None else scored.unionAll(part)
+    scored = scored.groupBy("query_id", "chunk_id").agg(F.sum("w").alias("score"), F.max("doc_id").alias("doc_id"))
     out = scored.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "chunk_id")))
     return out if k is None else out.filter(F.col("rank") <= max(1, k))
 
@@ -57,20 +78,37 @@ def evidence(triples: DataFrame, query_entities: DataFrame, k: int | None = None
 def explanation(triples: DataFrame, query_entities: DataFrame, targets: DataFrame, most: int = 10) -> DataFrame:
     """(query_id, chunk_id, sujeto, relacion, objeto, confianza, place): for each target chunk of a query, its triples
     with an end in the query's entities or their neighbours; best confidence first, at most `most` (a report's limit)."""
-    asked = query_entities.select("query_id", "entity").distinct()
-    adjacent = edges(triples)
-    near = asked.join(adjacent, asked["entity"] == adjacent["a"]).select("query_id", F.col("b").alias("entity"))
-    relevant = asked.unionAll(near).distinct()
+    relevant = weights(triples, query_entities).select("query_id", "entity")
     own = targets.select("query_id", "chunk_id").distinct().join(triples, "chunk_id").withColumn("entity", F.explode(F.array_distinct(F.array("sujeto", "objeto"))))
     kept = own.join(relevant, ["query_id", "entity"], "left_semi").drop("entity").groupBy("query_id", "chunk_id", "sujeto", "relacion", "objeto").agg(F.max("confianza").alias("confianza"))
     w = Window.partitionBy("query_id", "chunk_id").orderBy(F.desc("confianza"), "sujeto", "relacion", "objeto")
     return kept.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= most)
 
 
+def paths(triples: DataFrame, query_entities: DataFrame, targets: DataFrame, *, most: int = 10, most_triples: int = 100, most_chunks: int = 50) -> DataFrame:
+    """A row a query: entities, neighbours (sorted), triples around the entities (a report's most_triples with the most
+    evidence), evidence_chunks (its most_chunks best), and chunks: for each target chunk its explaining triples and
+    whether it has any (aporto)."""
+    asked = query_entities.select("query_id", "entity").distinct()
+    own = asked.groupBy("query_id").agg(F.array_sort(F.collect_set("entity")).alias("entities"))
+    around = near(triples, asked, ["query_id"]).groupBy("query_id").agg(F.array_sort(F.collect_set("b")).alias("neighbours"))
+    touching = triples.withColumn("entity", F.explode(F.array_distinct(F.array("sujeto", "objeto")))).join(asked, "entity")
+    counted = touching.groupBy("query_id", "sujeto", "relacion", "objeto").agg(F.countDistinct("chunk_id").alias("n"), F.max("confianza").alias("confianza"))
+    top = counted.withColumn("r", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("n"), F.desc("confianza"), "sujeto", "relacion", "objeto"))).filter(F.col("r") <= most_triples)
+    listed = top.groupBy("query_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("r", "sujeto", "relacion", "objeto", "n"))), lambda x: x.dropFields("r")).alias("triples"))
+    best = evidence(triples, query_entities, most_chunks).groupBy("query_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "chunk_id", "score"))), lambda x: x.dropFields("rank")).alias("evidence_chunks"))
+    found = explanation(triples, query_entities, targets, most).groupBy("query_id", "chunk_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "sujeto", "relacion", "objeto", "confianza"))), lambda x: x.dropFields("place")).alias("triples"))
+    asked_for = targets.select("query_id", "chunk_id").distinct().join(found, ["query_id", "chunk_id"], "left")
+    chunks = asked_for.groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("chunk_id", F.col("triples").isNotNull().alias("aporto"), "triples"))).alias("chunks"))
+    return own.join(around, "query_id", "left").join(listed, "query_id", "left").join(best, "query_id", "left").join(chunks, "query_id", "full_outer")
+
+
 def merged_entities(mentions: DataFrame) -> DataFrame:
-    """entities of mentions (id, nombre, tipo, position): name and type of the first mention, all names as variants."""
-    first = F.struct("position", "nombre", "tipo")
-    return mentions.groupBy("id").agg(F.min(first)["nombre"].alias("nombre"), F.min(first)["tipo"].alias("tipo"), F.array_sort(F.collect_set("nombre")).alias("variantes"))
+    """entities of mentions (id, nombre, tipo, position): name and type of the first mention, all names as variants, each
+    once, in the order in which they first occur."""
+    named = mentions.groupBy("id", "nombre").agg(F.min(F.struct("position", "tipo")).alias("m"))
+    listed = F.array_sort(F.collect_list(F.struct(F.col("m.position").alias("position"), "nombre", F.col("m.tipo").alias("tipo"))))
+    return named.groupBy("id").agg(listed.alias("v")).select("id", F.col("v")[0]["nombre"].alias("nombre"), F.col("v")[0]["tipo"].alias("tipo"), F.transform("v", lambda x: x["nombre"]).alias("variantes"))
 
 
 def last_written(entities: DataFrame, ordinal: str) -> DataFrame:
@@ -92,22 +130,28 @@ def materialised(triples: DataFrame, entities: DataFrame) -> DataFrame:
     return out
 
 
-#: Relation types and the verb stems, in order, that show them in a normalised sentence.
+#: Relation types and the patterns, in order, that show them in a normalised sentence.
 VERBS = (
-    ("COOPERA_CON", ("coopera", "colabora", "cooperat", "partner", "alianza")), ("FINANCIA", ("financia", "fund", "invierte", "invest")), ("DESARROLLA", ("desarrolla", "develop", "diseña", "design")),
-    ("LANZA", ("lanza", "launch")), ("REGULA", ("regula", "regulat", "legisla")), ("PERTENECE_A", ("pertenece", "belong", "miembro de", "member of")), ("UBICADO_EN", ("ubicad", "located", "situad")),
-    ("USA", ("utiliza", "emplea", "uses ", "using")), ("AMENAZA", ("amenaza", "threat", "ataca", "attack")), ("CAUSA", ("causa", "cause", "provoca")), ("RELACIONADO_CON", ("relaciona", "relate")),
+    ("UBICADO_EN", ("ubicado en", "ubicada en", "ubicados en", "ubicadas en", "situado en", "situada en", "se encuentra en", "se encuentran en", "localizado en", "localizada en", "located in", "based in")),
+    ("ES_PARTE_DE", ("es parte de", "forma parte de", "es miembro de", "part of", "member of")),
+    ("PARTE_DE", ("parte de", "miembro de")),
+    ("PERTENECE_A", ("pertenece a", "pertenecen a", "es propiedad de", "son propiedad de", "belongs to", "owned by")),
+    ("AFECTA", ("afecta a", "afectan a", "impacta a", "impactan a", "incide en", "inciden en", "influye en", "influyen en", "amenaza a", "amenazan a", "threatens", "impacts")),
+    ("CAUSA", ("causa", "causan", "provoca", "provocan", "genera", "generan", "origina", "causes", "triggers")),
+    ("DEPENDE_DE", ("depende de", "dependen de", "depende de la", "depende del", "depends on")),
+    ("COOPERA_CON", ("coopera con", "cooperan con", "colabora con", "colaboran con", "trabaja junto a", "trabaja junto con", "es aliado de", "es aliada de", "cooperates with", "collaborates with", "partnership with")),
+    ("OPONE_A", ("se opone a", "se enfrenta a", "en conflicto con", "rival de", "opposes", "conflict with")),
+    ("INVOLUCRA", ("involucra", "involucran", "incluye", "incluyen", "comprende", "comprenden", "involves", "includes")),
+    ("RELACIONADO_CON", ("relacionado con", "relacionada con", "relacionados con", "relacionadas con", "vinculado a", "vinculada a", "asociado a", "asociada a", "related to", "linked to", "associated with")),
 )
 
 
 def relation_of(sentence: Column, verbs=VERBS) -> Column:
-    """Type of the first group with a stem in the lower-cased sentence, else COOCURRENCIA."""
-    low = F.lower(sentence)
+    """Type of the first group with a pattern in the normalised sentence (no accents, no punctuation, lower case), else
+    COOCURRENCIA.  Patterns are found within words too."""
     out = None
     for kind, stems in verbs:
-        hit = low.contains(stems[0])
-        for s in stems[1:]:
-            hit = hit | low.contains(s)
+        hit = entity_key(sentence).rlike("|".join(stems))
         out = F.when(hit, kind) if out is None else out.when(hit, kind)
     return out.otherwise("COOCURRENCIA")
 
@@ -122,7 +166,8 @@ def cooccurrence(mentions: DataFrame, sentence: list[str], entity: str = "entity
 def symbolic_triples(sentences: DataFrame, mentions: DataFrame) -> DataFrame:
     """Triples from sentences (doc_id, chunk_id, n, texto) and mentions (chunk_id, n, entity): type by verb, confidence
     0.9 with a verb and 0.6 without, the best of equal triples of a chunk."""
-    pairs = cooccurrence(mentions, ["chunk_id", "n"]).join(sentences, ["chunk_id", "n"])
-    kind = relation_of(F.col("texto"))
-    found = pairs.withColumn("relacion", kind).withColumn("confianza", F.when(F.col("relacion") == "COOCURRENCIA", 0.6).otherwise(0.9))
+    # the type is the sentence's: found once for each, before pairs multiply it
+    typed = sentences.select("doc_id", "chunk_id", "n", relation_of(F.col("texto")).alias("relacion"))
+    pairs = cooccurrence(mentions, ["chunk_id", "n"]).join(typed, ["chunk_id", "n"])
+    found = pairs.withColumn("confianza", F.when(F.col("relacion") == "COOCURRENCIA", 0.6).otherwise(0.9))
     return found.groupBy("doc_id", "chunk_id", "sujeto", "relacion", "objeto").agg(F.max("confianza").alias("confianza"))

@@ -13,25 +13,51 @@ from pyspark.sql import functions as F
 
 from fathomline.functions.text import entity_key
 from fathomline.operators.entities import key, parse_triplets
-from fathomline.operators.graph import cooccurrence
+from fathomline.operators.graph import cooccurrence, symbolic_triples
+from fathomline.registry import Registry
 
 #: Hypotheses by relation type; {s} and {o} are the subject's and the object's name.
 HYPOTHESES = (
-    ("COOPERA_CON", "{s} coopera con {o}."), ("COOPERA_CON", "{s} works together with {o}."), ("FINANCIA", "{s} financia a {o}."), ("FINANCIA", "{s} funds {o}."), ("DESARROLLA", "{s} desarrolla {o}."), ("DESARROLLA", "{s} develops {o}."),
-    ("LANZA", "{s} lanza {o}."), ("LANZA", "{s} launches {o}."), ("REGULA", "{s} regula {o}."), ("REGULA", "{s} regulates {o}."), ("PERTENECE_A", "{s} pertenece a {o}."), ("PERTENECE_A", "{s} is part of {o}."),
-    ("UBICADO_EN", "{s} está en {o}."), ("UBICADO_EN", "{s} is located in {o}."), ("USA", "{s} usa {o}."), ("USA", "{s} uses {o}."), ("AMENAZA", "{s} amenaza a {o}."), ("AMENAZA", "{s} threatens {o}."), ("CAUSA", "{s} causa {o}."), ("CAUSA", "{s} causes {o}."),
+    ("UBICADO_EN", "{s} está ubicado en {o}"), ("UBICADO_EN", "{s} se encuentra en {o}"), ("UBICADO_EN", "{s} is located in {o}"),
+    ("ES_PARTE_DE", "{s} es parte de {o}"), ("ES_PARTE_DE", "{s} es miembro de {o}"), ("ES_PARTE_DE", "{s} is part of {o}"), ("ES_PARTE_DE", "{s} is a member of {o}"),
+    ("PARTE_DE", "{s} parte de {o}"), ("PARTE_DE", "{s} part of {o}"),
+    ("PERTENECE_A", "{s} pertenece a {o}"), ("PERTENECE_A", "{s} es propiedad de {o}"), ("PERTENECE_A", "{s} belongs to {o}"),
+    ("AFECTA", "{s} afecta a {o}"), ("AFECTA", "{s} amenaza a {o}"), ("AFECTA", "{s} affects {o}"), ("AFECTA", "{s} threatens {o}"),
+    ("CAUSA", "{s} causa {o}"), ("CAUSA", "{s} provoca {o}"), ("CAUSA", "{s} causes {o}"),
+    ("DEPENDE_DE", "{s} depende de {o}"), ("DEPENDE_DE", "{s} depends on {o}"),
+    ("COOPERA_CON", "{s} coopera con {o}"), ("COOPERA_CON", "{s} colabora con {o}"), ("COOPERA_CON", "{s} cooperates with {o}"), ("COOPERA_CON", "{s} collaborates with {o}"),
+    ("OPONE_A", "{s} se opone a {o}"), ("OPONE_A", "{s} está en conflicto con {o}"), ("OPONE_A", "{s} opposes {o}"),
+    ("INVOLUCRA", "{s} involucra a {o}"), ("INVOLUCRA", "{s} incluye a {o}"), ("INVOLUCRA", "{s} involves {o}"), ("INVOLUCRA", "{s} includes {o}"),
+    ("RELACIONADO_CON", "{s} está relacionado con {o}"), ("RELACIONADO_CON", "{s} está vinculado a {o}"), ("RELACIONADO_CON", "{s} is related to {o}"),
 )
 
 #: Generated relation phrases by relation type.
 PHRASES = {
-    "part of": "PERTENECE_A", "member of": "PERTENECE_A", "subsidiary": "PERTENECE_A", "parent organization": "PERTENECE_A", "country": "UBICADO_EN", "located in": "UBICADO_EN", "headquarters location": "UBICADO_EN", "capital of": "UBICADO_EN", "continent": "UBICADO_EN",
-    "developer": "DESARROLLA", "manufacturer": "DESARROLLA", "creator": "DESARROLLA", "designed by": "DESARROLLA", "operator": "USA", "uses": "USA", "sponsor": "FINANCIA", "funder": "FINANCIA", "owned by": "PERTENECE_A", "partner": "COOPERA_CON", "diplomatic relation": "COOPERA_CON",
-    "has cause": "CAUSA", "has effect": "CAUSA", "conflict": "AMENAZA", "opponent": "AMENAZA", "regulated by": "REGULA", "launch vehicle": "LANZA", "start point": "LANZA",
+    phrase: kind
+    for kind, phrases in (
+        ("UBICADO_EN", ("located in", "located at", "based in", "headquartered in", "headquarters location", "country", "capital", "work location", "ubicado en", "se encuentra en")),
+        ("ES_PARTE_DE", ("part of", "is part of", "member of", "es parte de", "es miembro de")),
+        ("PARTE_DE", ("subsidiary of", "parent organization")),
+        ("PERTENECE_A", ("pertenece a", "belongs to", "owned by", "employer", "owner of", "controls", "head of", "leader", "president")),
+        ("AFECTA", ("affects", "threatens", "impacts", "influences", "afecta", "amenaza")),
+        ("CAUSA", ("causes", "triggers", "causa", "provoca")),
+        ("DEPENDE_DE", ("depends on", "depende de")),
+        ("COOPERA_CON", ("cooperates with", "collaborates with", "partnership with", "alliance with", "coopera con", "colabora con")),
+        ("OPONE_A", ("opposes", "conflict with", "military conflict", "armed conflict", "se opone a", "en conflicto con")),
+        ("INVOLUCRA", ("involves", "includes", "participant in", "uses", "develops", "produces", "manufactures", "operates", "involucra", "incluye")),
+        ("RELACIONADO_CON", ("related to", "associated with", "linked to", "relacionado con", "vinculado a")),
+    )
+    for phrase in phrases
 }
 
+#: Relation extractors by name: functions of (sentences, mentions, ...) that give triples.
+RELATIONS: Registry = Registry("relation extractor")
+RELATIONS.register("cooccurrence", "symbolic")(symbolic_triples)
+
 Scorer = Callable[[list[tuple[str, str]]], list[float]]
 
 
+@RELATIONS.register("nli", "entailment")
 def by_entailment(sentences: DataFrame, mentions: DataFrame, scorer: Scorer, *, typed: float = 0.5, least: float = 0.0, hypotheses=HYPOTHESES) -> DataFrame:
     """Triples (doc_id, chunk_id, sujeto, relacion, objeto, confianza) from sentences (doc_id, chunk_id, n, texto) and
     mentions (chunk_id, n, entity).
@@ -56,6 +82,7 @@ def by_entailment(sentences: DataFrame, mentions: DataFrame, scorer: Scorer, *,
     return out.groupBy("doc_id", "chunk_id", "sujeto", "relacion", "objeto").agg(F.max("confianza").alias("confianza"))
 
 
+@RELATIONS.register("mrebel", "generation")
 def by_generation(sentences: DataFrame, mentions: DataFrame, generate: Callable[[list[str]], list[str]], *, phrases: dict[str, str] = PHRASES) -> DataFrame:
     """Triples from generated triplet strings, one call a distinct sentence with two entities or more.
 
@@ -72,7 +99,7 @@ def by_generation(sentences: DataFrame, mentions: DataFrame, generate: Callable[
             for made in generate(list(t)):
                 rows = []
                 for head, relation, tail in parse_triplets(made):
-                    kind = phrases.get(relation.lower())
+                    kind = phrases.get(key(relation))
                     rows.append({"sujeto": key(head), "relacion": kind or "RELACIONADO_CON", "objeto": key(tail), "confianza": 0.9 if kind else 0.7})
                 out.append(rows)
             yield pd.Series(out)

@@ -10,14 +10,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import _parse_datatype_string
 from pyspark.sql.window import Window
 
+from fathomline.config import IndexConfig
+from fathomline.registry import Registry
+
 #: Queries that are held at once beside a batch of vectors.
 QUERY_BLOCK = 256
 
 
+def arrow_kind(kind: str) -> pa.DataType:
+    return to_arrow_type(_parse_datatype_string(kind))
+
+
 def dot(a: Column, b: Column) -> Column:
     """Inner product in double precision, in the JVM."""
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
@@ -36,50 +46,52 @@ def ranked(scored: DataFrame, k: int, *, by: tuple[str, ...] = ("query_id",), ke
     return scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= max(1, k))
 
 
-def exact_topk(vectors: DataFrame, queries: DataFrame, k: int, *, key: str = "chunk_id", vector: str = "vector") -> DataFrame:
-    """(query_id, key, score, rank): exact inner-product search.
+def exact_topk(vectors: DataFrame, queries: DataFrame, k: int, *, key: str = "chunk_id", vector: str = "vector", carry: tuple[str, ...] = ()) -> DataFrame:
+    """(query_id, key, carry..., score, rank): exact inner-product search; carry names columns that hits keep.
 
-    The queries (query_id, vector) are the stated query set, taken in blocks of QUERY_BLOCK; each block is multiplied
-    with a batch of vectors at a time, and a batch passes on at most k rows a query.  Other dimensions than the
-    queries' raise an error; no vectors or no queries give no rows.
+    The queries (query_id, vector) are the stated query set, and all that is broadcast.  The vectors are read once: a
+    batch is multiplied with a block of QUERY_BLOCK queries at a time, and passes on at most k rows a query.  Other
+    dimensions than the queries' raise an error; no vectors or no queries give no rows.
     """
-    spark, kind = vectors.sparkSession, vectors.schema[key].dataType.simpleString()
+    spark = vectors.sparkSession
+    own = vectors.select(key, *carry, vector)
+    kinds = {f.name: f.dataType.simpleString() for f in own.schema}
     qid = queries.schema["query_id"].dataType.simpleString()
-    schema = f"query_id {qid}, `{key}` {kind}, score double"
+    columns = [key, *carry]
+    schema = f"query_id {qid}, " + ", ".join(f"`{c}` {kinds[c]}" for c in columns) + ", score double"
     k = max(1, k)
-
-    def found(ids: list, matrix: np.ndarray):
-        def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                column = batch.column(1)
-                keep = pa.compute.is_valid(column)
-                batch = batch.filter(keep)
-                n = batch.num_rows
-                if not n:
-                    continue
-                flat = np.asarray(batch.column(1).flatten(), float)
+    rows = queries.select("query_id", F.transform("vector", lambda x: x.cast("double")).alias("v")).filter("v is not null").toLocalIterator()
+    blocks = []
+    while block := [r for _, r in zip(range(QUERY_BLOCK), rows)]:
+        blocks.append(spark.sparkContext.broadcast(([r[0] for r in block], np.array([r[1] for r in block]))))
+    id_kind = arrow_kind(qid)
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            batch = batch.filter(pa.compute.is_valid(batch.column(len(columns))))
+            n = batch.num_rows
+            if not n:
+                continue
+            flat = np.asarray(batch.column(len(columns)).flatten(), float)
+            place = np.empty(n, np.int64)  # place of a row in the order of keys, by which equal scores go
+            place[np.argsort(np.array(batch.column(0).to_pylist()), kind="stable")] = np.arange(n)
+            for shared in blocks:
+                ids, matrix = shared.value
                 if len(flat) != n * matrix.shape[1]:
                     raise ValueError(f"vectors must have {matrix.shape[1]} dimensions")
                 scores = np.round(flat.reshape(n, -1) @ matrix.T, 9)
-                names = batch.column(0)
-                order = np.argsort(np.array(names.to_pylist()), kind="stable")
-                for q, query_id in enumerate(ids):
-                    s = scores[order, q]
-                    best = order[np.argsort(-s, kind="stable")[:k]]
-                    yield pa.RecordBatch.from_arrays([pa.array([query_id] * len(best)), names.take(pa.array(best)), pa.array(scores[best, q])], names=["query_id", key, "score"])
+                for query_id, s in zip(ids, scores.T):
+                    best = np.arange(n)
+                    if n > k:  # all rows as good as the k-th one, then the k first of them
+                        best = np.flatnonzero(s >= np.partition(s, n - k)[n - k])
+                    best = best[np.lexsort((place[best], -s[best]))[:k]]
+                    yield pa.RecordBatch.from_arrays([pa.array([query_id] * len(best), id_kind), *(batch.column(i).take(pa.array(best)) for i in range(len(columns))), pa.array(s[best])], names=["query_id", *columns, "score"])
 
-        return search
-
-    out, block = None, []
-    rows = iter(queries.select("query_id", F.transform("vector", lambda x: x.cast("double")).alias("v")).toLocalIterator())
-    while block := [r for _, r in zip(range(QUERY_BLOCK), rows)]:
-        part = vectors.select(key, vector).mapInArrow(found([r[0] for r in block], np.array([r[1] for r in block])), schema)
-        out = part if out is None else out.unionAll(part)
-    return ranked(spark.createDataFrame([], schema) if out is None else out, k, key=key)
+    return ranked(own.mapInArrow(search, schema) if blocks else spark.createDataFrame([], schema), k, key=key)
 
 
 def centroids(vectors: DataFrame, cell: str, vector: str = "vector") -> DataFrame:
-    """(cell, centroid): unit mean vector of each cell."""
+    """(cell, centroid): unit mean vector of each cell.  Tasks pass on one sum a cell and dimension."""
     long = vectors.select(cell, F.posexplode(vector).alias("i", "x")).groupBy(cell, "i").agg(F.avg(F.col("x").cast("double")).alias("x"))
     grouped = long.groupBy(cell).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda e: e["x"]).alias("c"))
     return grouped.select(F.col(cell).alias("cell"), normalised(F.col("c")).alias("centroid"))
@@ -96,10 +108,44 @@ def clustered(vectors: DataFrame, nlist: int, *, key: str = "chunk_id", vector:
     return model.transform(ready).drop("_f")
 
 
-def cell_topk(vectors: DataFrame, queries: DataFrame, k: int, *, nprobe: int, key: str = "chunk_id", vector: str = "vector", cell: str = "cell") -> DataFrame:
-    """Search in the nprobe cells whose centroid is nearest: (query_id, key, score, rank)."""
+def cell_topk(vectors: DataFrame, queries: DataFrame, k: int, *, nprobe: int, key: str = "chunk_id", vector: str = "vector", cell: str = "cell", carry: tuple[str, ...] = ()) -> DataFrame:
+    """Search in the nprobe cells whose centroid is nearest: (query_id, key, carry..., score, rank).
+
+    The queries are the stated query set and are broadcast with the cells that each probes, so a large cell is searched
+    where its rows are, in as many tasks as it is read in.
+    """
     near = queries.select("query_id", F.col("vector").alias("q")).join(centroids(vectors, cell, vector), how="cross")  # queries x cells, both small by design
     near = near.withColumn("score", F.round(dot(F.col("q"), F.col("centroid")), 9))
     probes = ranked(near, nprobe, key="cell").select("query_id", "q", F.col("cell").alias("_cell"))
-    scored = vectors.join(probes, vectors[cell] == probes["_cell"]).select("query_id", key, F.round(dot(F.col("q"), F.col(vector)), 9).alias("score"))
+    scored = vectors.join(F.broadcast(probes), vectors[cell] == probes["_cell"]).select("query_id", key, *carry, F.round(dot(F.col("q"), F.col(vector)), 9).alias("score"))
     return ranked(scored, k, key=key)
+
+
+#: Searches by name: functions of (vectors, queries, k, config, carry) that give hits.
+INDEXES: Registry = Registry("index")
+
+
+@INDEXES.register("flat_ip", "flat")
+def flat_ip(vectors: DataFrame, queries: DataFrame, k: int, config: IndexConfig, carry: tuple[str, ...] = ()) -> DataFrame:
+    return exact_topk(vectors, queries, k, carry=carry)
+
+
+@INDEXES.register("ivf_flat", "ivf")
+def ivf_flat(vectors: DataFrame, queries: DataFrame, k: int, config: IndexConfig, carry: tuple[str, ...] = ()) -> DataFrame:
+    """k-means cells; a table that has a column `cell` keeps its own.  Fewer vectors than cells are searched exactly."""
+    if "cell" not in vectors.columns:
+        if vectors.limit(config.nlist).count() < config.nlist:
+            return flat_ip(vectors, queries, k, config, carry)
+        vectors = clustered(vectors, config.nlist)
+    return cell_topk(vectors, queries, k, nprobe=config.nprobe, carry=carry)
+
+
+#: Spark has no graph index; the exact search gives what such an index approximates.
+INDEXES.register("hnsw")(flat_ip)
+
+
+def search(vectors: DataFrame, queries: DataFrame, k: int, config: IndexConfig | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Hits by the index that config names; `auto` takes cells above its threshold of vectors."""
+    config = config or IndexConfig()
+    kind = config.chosen(vectors.count()) if config.kind == "auto" else config.kind
+    return INDEXES.get(kind)(vectors, queries, k, config, carry)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from fathomline.config import ChunkingConfig
-from fathomline.functions import text
+from fathomline.functions import segment, text
 from fathomline.operators import audit, chunking, fragments, store, validation
 from fathomline.plans.registered import query
 
@@ -47,17 +47,40 @@ def chunk_paragraph(table, spark):
     return out.select("doc_id", "chunk_id", text.text_hash(F.col("texto")).alias("hash_texto"))
 
 
-# Overlapping windows in SQL: prefix sums, the end and the successor of the window that begins at each unit, and a
-# recursion along the successors.
-WINDOWS = rf"""WITH RECURSIVE {LINES},
-u AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY orden) - 1 AS i, line, n FROM k),
+def windows_sql(size: int, overlap: int, over: int = 0) -> str:
+    """Overlapping windows w(doc_id, i, e, units, nx, wn) over units u(doc_id, i, line, n) in SQL, for documents of more
+    than `over` words: prefix sums, the end and the successor of the window that begins at each unit, and a recursion
+    along the successors.  A part of a WITH RECURSIVE clause."""
+    return f"""
 d AS (SELECT doc_id, count(*) AS units, sum(n) AS total FROM u GROUP BY doc_id),
 pe AS (SELECT u.*, sum(n) OVER (PARTITION BY doc_id ORDER BY i) AS pe, units, total FROM u JOIN d USING (doc_id)),
-e AS (SELECT a.doc_id, a.i, a.units, a.total, greatest(a.i, max(b.i)) AS e FROM pe a LEFT JOIN pe b ON a.doc_id = b.doc_id AND b.i >= a.i AND b.pe - (a.pe - a.n) <= 400 WHERE a.total > 400 GROUP BY a.doc_id, a.i, a.units, a.total),
-s AS (SELECT e.doc_id, e.i, e.e, e.units, coalesce(min(b.i), e.e + 1) AS nx FROM e JOIN pe t ON t.doc_id = e.doc_id AND t.i = e.e LEFT JOIN pe b ON b.doc_id = e.doc_id AND b.i > e.i AND b.i <= e.e AND t.pe - (b.pe - b.n) <= 80 GROUP BY e.doc_id, e.i, e.e, e.units),
+e AS (SELECT a.doc_id, a.i, a.units, a.total, greatest(a.i, max(b.i)) AS e FROM pe a LEFT JOIN pe b ON a.doc_id = b.doc_id AND b.i >= a.i AND b.pe - (a.pe - a.n) <= {size} WHERE a.total > {over} GROUP BY a.doc_id, a.i, a.units, a.total),
+s AS (SELECT e.doc_id, e.i, e.e, e.units, coalesce(min(b.i), e.e + 1) AS nx FROM e JOIN pe t ON t.doc_id = e.doc_id AND t.i = e.e LEFT JOIN pe b ON b.doc_id = e.doc_id AND b.i > e.i AND b.i <= e.e AND t.pe - (b.pe - b.n) <= {overlap} GROUP BY e.doc_id, e.i, e.e, e.units),
 w AS (SELECT doc_id, i, e, units, nx, 0 AS wn FROM s WHERE i = 0 UNION ALL SELECT s.doc_id, s.i, s.e, s.units, s.nx, w.wn + 1 FROM w JOIN s ON s.doc_id = w.doc_id AND s.i = w.nx WHERE w.e < w.units - 1)"""
 
 
+WINDOWS = rf"""WITH RECURSIVE {LINES},
+u AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY orden) - 1 AS i, line, n FROM k), {windows_sql(400, 80, 400)}"""
+
+#: Pieces of texts t(doc_id, wn, t) of at most 512 words, as chunks; overlap_con is the last chunk of the window before.
+PIECES = rf""",
+tw AS (SELECT *, list_filter(regexp_split_to_array(t, '\s+'), lambda w: w <> '') AS ws FROM t),
+pc AS (SELECT doc_id, wn, piece, CASE WHEN len(ws) <= 512 THEN t ELSE array_to_string(ws[piece * 512 + 1:piece * 512 + 512], ' ') END AS t, least(512, len(ws) - piece * 512) AS num_tokens FROM (SELECT *, unnest(range(0, greatest(1, (len(ws) + 511) // 512))) AS piece FROM tw)),
+ch AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY wn, piece) - 1 AS posicion FROM pc),
+lastc AS (SELECT doc_id, wn + 1 AS wn, max(posicion) AS posicion FROM ch GROUP BY doc_id, wn)
+SELECT ch.doc_id, ch.doc_id || '__chunk_' || lpad(ch.posicion::VARCHAR, 5, '0') AS chunk_id, ch.posicion::BIGINT AS posicion, num_tokens::BIGINT AS num_tokens, l.doc_id || '__chunk_' || lpad(l.posicion::VARCHAR, 5, '0') AS overlap_con, sha256(t) AS hash_texto FROM ch LEFT JOIN lastc l ON l.doc_id = ch.doc_id AND l.wn = ch.wn"""
+
+_MARKS = ".!?»›。！？．｡"
+#: Sentences in SQL.  Pieces end after a closing mark; a piece whose last word is an abbreviation goes on; a piece of dots
+#: alone goes as the piece before it.
+SENTENCES = rf"""
+p AS (SELECT doc_id, generate_subscripts(s, 1) AS j, trim(unnest(s), ' ' || chr(9) || chr(10) || chr(13)) AS p FROM (SELECT doc_id, string_split(regexp_replace({{text}}, '([{_MARKS}])\s*', '\1' || chr(1), 'g'), chr(1)) AS s FROM documents)),
+pf AS (SELECT *, CASE WHEN regexp_matches(p, '^\.+$') THEN NULL ELSE regexp_matches(p, '[{_MARKS}¡]$') AND NOT list_contains([{", ".join(f"'{w}'" for w in sorted(segment.ABBREVIATIONS))}], rtrim(lower(regexp_extract(rtrim(p, ' .' || chr(9) || chr(10)), '[^ ]*$')), '.,;:!?»›')) END AS f0 FROM p WHERE p <> ''),
+pe0 AS (SELECT *, coalesce(last_value(f0 IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY j ROWS UNBOUNDED PRECEDING), true) AS f FROM pf),
+ps AS (SELECT *, coalesce(sum(f::INT) OVER (PARTITION BY doc_id ORDER BY j ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS i FROM pe0),
+u AS (SELECT doc_id, i, line, len(list_filter(regexp_split_to_array(line, '\s+'), lambda w: w <> '')) AS n FROM (SELECT doc_id, i, string_agg(p, ' ' ORDER BY j) AS line FROM ps GROUP BY doc_id, i))"""
+
+
 @query(f"{WINDOWS} SELECT doc_id, wn::BIGINT AS wn, i::BIGINT AS first_unit, e::BIGINT AS last_unit FROM w")
 def chunk_windows(table, spark):
     """The windows of `paragraph_overlap` over the lines of documents of more than 400 words: units, not text."""
@@ -82,11 +105,14 @@ def chunk_windows(table, spark):
 
 def _strategy(table, spark, strategy, whole):
     out = chunking.chunk(_documents(table, whole=whole), ChunkingConfig(strategy=strategy))
-    return out.select("doc_id", "chunk_id", "posicion", "num_tokens", "overlap_con", text.text_hash(F.col("texto")).alias("hash_texto"))
+    return out.select("doc_id", "chunk_id", F.col("posicion").cast("long").alias("posicion"), F.col("num_tokens").cast("long").alias("num_tokens"), "overlap_con", text.text_hash(F.col("texto")).alias("hash_texto"))
 
 
-for _name in ("semantic", "paragraph_overlap", "hybrid"):
-    query(name=f"chunk_{_name}")(partial(_strategy, strategy=_name, whole=_name == "paragraph_overlap"))
+_BLANKS = "' ' || chr(9) || chr(10) || chr(13)"
+_UNITS = "t AS (SELECT w.doc_id, w.wn, string_agg({line}, {joint} ORDER BY u.i) AS t FROM w JOIN u ON u.doc_id = w.doc_id AND u.i BETWEEN w.i AND w.e GROUP BY w.doc_id, w.wn{more})"
+query(f"WITH RECURSIVE {SENTENCES.format(text='replace(text, chr(10), chr(10) || chr(10))')}, {windows_sql(400, 80)}, {_UNITS.format(line='u.line', joint=chr(39) + ' ' + chr(39), more='')}{PIECES}", "chunk_semantic")(partial(_strategy, strategy="semantic", whole=True))
+query(f"{WINDOWS}, {_UNITS.format(line=f'trim(u.line, {_BLANKS})', joint='chr(10) || chr(10)', more=' UNION ALL SELECT doc_id, 0, replace(text, chr(10), chr(10) || chr(10)) FROM documents JOIN d USING (doc_id) WHERE total <= 400')}{PIECES}", "chunk_paragraph_overlap")(partial(_strategy, strategy="paragraph_overlap", whole=True))
+query(name="chunk_hybrid")(partial(_strategy, strategy="hybrid", whole=False))
 
 
 @query("SELECT conv_id AS doc_id, turn AS posicion, lag(conv_id || '__chunk_' || lpad(turn::VARCHAR, 5, '0')) OVER (PARTITION BY conv_id ORDER BY turn) AS overlap_con FROM conversations")
@@ -158,10 +184,14 @@ def merge_next_chunk(table, spark):
     return fragments.merged_next(c, c).select("doc_id", "posicion", "merged_with", text.text_hash(F.col("texto")).alias("hash_texto"))
 
 
-@query()
+@query(rf"""WITH RECURSIVE p AS (SELECT doc_id, generate_subscripts(s, 1) AS j, trim(unnest(s), {_BLANKS}) AS p FROM (SELECT doc_id, string_split(regexp_replace(text, '([{_MARKS}])\s*', '\1' || chr(1), 'g'), chr(1)) AS s FROM documents)),
+u AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY j) - 1 AS i, p AS line, len(list_filter(regexp_split_to_array(p, '\s+'), lambda w: w <> '')) AS n FROM p WHERE p <> ''), {windows_sql(250, 0)},
+n AS (SELECT doc_id, text, len(list_filter(regexp_split_to_array(text, '\s+'), lambda w: w <> '')) AS words FROM documents),
+f AS (SELECT w.doc_id, w.wn + 1 AS sub_indice, string_agg(u.line, ' ' ORDER BY u.i) AS t FROM w JOIN u ON u.doc_id = w.doc_id AND u.i BETWEEN w.i AND w.e JOIN n ON n.doc_id = w.doc_id WHERE n.words > 250 GROUP BY w.doc_id, w.wn UNION ALL SELECT doc_id, 0, text FROM n WHERE words <= 250)
+SELECT doc_id, sub_indice::BIGINT AS sub_indice, len(list_filter(regexp_split_to_array(t, '\s+'), lambda w: w <> '')) AS words, sha256(t) AS hash_texto FROM f""")
 def split_long_fragments(table, spark):
     out = fragments.split_long(table("documents").select("doc_id", F.col("text").alias("texto")))
-    return out.select("doc_id", "sub_indice", text.word_count(F.col("texto")).alias("words"), text.text_hash(F.col("texto")).alias("hash_texto"))
+    return out.select("doc_id", F.col("sub_indice").cast("long").alias("sub_indice"), text.word_count(F.col("texto")).cast("long").alias("words"), text.text_hash(F.col("texto")).alias("hash_texto"))
 
 
 @query("""SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice, CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE 2 END AS created FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 3 = 0""")

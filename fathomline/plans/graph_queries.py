@@ -19,11 +19,19 @@ def triples_of(table):
     )
 
 
-def asked_of(spark):
-    return spark.createDataFrame([("q001", "p1"), ("q001", "s2"), ("q002", "p7"), ("q003", "absent")], "query_id string, entity string")
+def starts_of(table):
+    """(start): the parts and suppliers whose key is divisible by 100."""
+    return table("part").filter("p_partkey % 100 = 0").select(F.concat(F.lit("p"), "p_partkey").alias("start")).unionAll(table("supplier").filter("s_suppkey % 100 = 0").select(F.concat(F.lit("s"), "s_suppkey")))
 
 
-ASKED = "q(query_id, entity) AS (VALUES ('q001', 'p1'), ('q001', 's2'), ('q002', 'p7'), ('q003', 'absent'))"
+def asked_of(table):
+    """A query for each of the starts, under its own name, and one for an entity that isn't there."""
+    own = starts_of(table).select(F.col("start").alias("query_id"), F.col("start").alias("entity"))
+    return own.unionAll(table("region").limit(1).select(F.lit("none").alias("query_id"), F.lit("absent").alias("entity")))
+
+
+STARTS = "st AS (SELECT 'p' || p_partkey AS start FROM part WHERE p_partkey % 100 = 0 UNION ALL SELECT 's' || s_suppkey FROM supplier WHERE s_suppkey % 100 = 0)"
+ASKED = f"{STARTS}, q AS (SELECT start AS query_id, start AS entity FROM st UNION ALL SELECT 'none', 'absent')"
 
 
 @query(f"WITH {EDGES}, n AS (SELECT a, count(*) AS n_neighbours FROM e GROUP BY a), x AS (SELECT s AS entity FROM t UNION ALL SELECT o FROM t) SELECT entity, count(*) AS n_triples, min(n_neighbours) AS n_neighbours FROM x JOIN n ON n.a = entity GROUP BY entity")
@@ -32,11 +40,9 @@ def graph_degree(table, spark):
 
 
 def _near(table, spark, depth):
-    starts = spark.createDataFrame([("p1",), ("p7",), ("s2",)], "start string")
-    return graph.neighbours(triples_of(table), starts, depth).select("start", "entity", F.col("distance").cast("long").alias("distance"))
+    return graph.neighbours(triples_of(table), starts_of(table), depth).select("start", "entity", F.col("distance").cast("long").alias("distance"))
 
 
-STARTS = "st(start) AS (VALUES ('p1'), ('p7'), ('s2'))"
 query(f"WITH {EDGES}, {STARTS} SELECT start, b AS entity, 1::BIGINT AS distance FROM st JOIN e ON a = start", "graph_neighbors_1")(partial(_near, depth=1))
 query(f"""WITH {EDGES}, {STARTS}, one AS (SELECT start, b AS x FROM st JOIN e ON a = start), two AS (SELECT DISTINCT start, b AS x FROM one JOIN e ON a = x WHERE b <> start)
 SELECT start, x AS entity, 1::BIGINT AS distance FROM one UNION ALL SELECT start, x, 2 FROM two WHERE (start, x) NOT IN (SELECT start, x FROM one)""", "graph_neighbors_2")(partial(_near, depth=2))
@@ -48,7 +54,7 @@ ev AS (SELECT query_id, chunk_id, max(doc_id) AS doc_id, sum(w) AS score FROM w
 
 @query(f"{EVIDENCE} SELECT query_id, chunk_id, doc_id, round(score, 6) AS score FROM ev")
 def graph_evidence(table, spark):
-    return graph.evidence(triples_of(table), asked_of(spark)).select("query_id", "chunk_id", "doc_id", F.round("score", 6).alias("score"))
+    return graph.evidence(triples_of(table), asked_of(table)).select("query_id", "chunk_id", "doc_id", F.round("score", 6).alias("score"))
 
 
 @query(f"""{EVIDENCE}, g AS (SELECT query_id, chunk_id FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) AS r FROM ev) WHERE r <= 5),
@@ -56,8 +62,8 @@ rel AS (SELECT DISTINCT query_id, entity FROM w), f AS (SELECT query_id, chunk_i
 SELECT query_id, chunk_id, s AS sujeto, o AS objeto, place FROM (SELECT *, row_number() OVER (PARTITION BY query_id, chunk_id ORDER BY conf DESC, s, o) AS place FROM f) WHERE place <= 10""")
 def graph_explain(table, spark):
     t = triples_of(table)
-    targets = graph.evidence(t, asked_of(spark), 5)
-    return graph.explanation(t, asked_of(spark), targets).select("query_id", "chunk_id", "sujeto", "objeto", F.col("place").cast("long").alias("place"))
+    targets = graph.evidence(t, asked_of(table), 5)
+    return graph.explanation(t, asked_of(table), targets).select("query_id", "chunk_id", "sujeto", "objeto", F.col("place").cast("long").alias("place"))
 
 
 @query("WITH m AS (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem) SELECT a.l_orderkey, a.l_partkey AS sujeto, b.l_partkey AS objeto FROM m a JOIN m b ON a.l_orderkey = b.l_orderkey AND a.l_partkey <> b.l_partkey")
@@ -79,15 +85,15 @@ def entity_last_write(table, spark):
 
 
 @query(f"""{EVIDENCE}, gr AS (SELECT query_id, chunk_id, doc_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) AS rank FROM ev),
-p AS (SELECT query_id, chunk_id, rank FROM gr WHERE rank <= 20 UNION ALL SELECT 'q001', o_orderkey, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) FROM orders QUALIFY row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) <= 20)
-SELECT query_id, chunk_id, round(CASE WHEN query_id = 'q001' THEN sum(1.0::DOUBLE / (60 + rank)) ELSE max((SELECT score FROM gr g WHERE g.query_id = p.query_id AND g.chunk_id = p.chunk_id)) END, 9) AS score FROM p GROUP BY query_id, chunk_id""")
+p AS (SELECT query_id, chunk_id, rank FROM gr WHERE rank <= 20 UNION ALL SELECT (SELECT min(start) FROM st), o_orderkey, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) FROM orders QUALIFY row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) <= 20)
+SELECT query_id, chunk_id, round(CASE WHEN query_id = (SELECT min(start) FROM st) THEN sum(1.0::DOUBLE / (60 + rank)) ELSE max((SELECT score FROM gr g WHERE g.query_id = p.query_id AND g.chunk_id = p.chunk_id)) END, 9) AS score FROM p GROUP BY query_id, chunk_id""")
 def hybrid_rrf(table, spark):
-    """The graph channel, and for one query a second channel of orders by price; the other query has one channel only."""
-    g = graph.evidence(triples_of(table), asked_of(spark), 20).select("query_id", F.lit("graph").alias("channel"), "chunk_id", "doc_id", "rank", "score")
+    """The graph channel, and for one query a second channel of orders by price; the other queries have one channel only."""
+    g = graph.evidence(triples_of(table), asked_of(table), 20).select("query_id", F.lit("graph").alias("channel"), "chunk_id", "doc_id", "rank", "score")
     top = table("orders").orderBy(F.desc("o_totalprice"), "o_orderkey").limit(20)
     from pyspark.sql.window import Window
 
-    ranked = top.select(F.lit("q001").alias("query_id"), F.lit("vector").alias("channel"), F.col("o_orderkey").alias("chunk_id"), (F.col("o_orderkey") % 97).alias("doc_id"), F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.desc("o_totalprice"), "o_orderkey")).alias("rank"), F.col("o_totalprice").cast("double").alias("score"))
+    ranked = top.crossJoin(starts_of(table).agg(F.min("start").alias("query_id"))).select("query_id", F.lit("vector").alias("channel"), F.col("o_orderkey").alias("chunk_id"), (F.col("o_orderkey") % 97).alias("doc_id"), F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.desc("o_totalprice"), "o_orderkey")).alias("rank"), F.col("o_totalprice").cast("double").alias("score"))
     return fusion.combined(g.unionByName(ranked), "rrf").select("query_id", "chunk_id", F.round("score", 9).alias("score"))
 
 
@@ -116,7 +122,7 @@ def symbolic_relations(table, spark):
 def neighbourhood_chunks(table, spark):
     """Chunks of an entity and of its direct neighbours."""
     t = triples_of(table)
-    starts = spark.createDataFrame([("p1",), ("p7",), ("s2",)], "start string")
+    starts = starts_of(table)
     near = graph.neighbours(t, starts, 1).select("start", "entity").unionAll(starts.select("start", F.col("start").alias("entity")))
     return near.join(graph.touches(t).select("entity", "chunk_id"), "entity").select("start", "chunk_id").distinct()
 
@@ -128,7 +134,7 @@ def entity_merge(table, spark):
     return graph.merged_entities(m).select("id", F.col("nombre").cast("double").alias("nombre"), F.size("variantes").cast("long").alias("variantes"))
 
 
-@query()
+@query("SELECT l_orderkey, 'p' || l_partkey AS h, 'ES_PARTE_DE' AS r, 's' || l_suppkey AS t FROM lineitem")
 def triplet_parser(table, spark):
     """Generated triplet strings of order lines, parsed and mapped to relation types."""
     from pyspark.sql.functions import pandas_udf

@@ -99,13 +99,14 @@ def remove_boilerplate(table, spark):
     return cleaning.without_boilerplate(docs, cleaning.corpus_boilerplate(docs)).select("doc_id", text.text_hash(F.col("texto")).alias("sha"))
 
 
-def _guess_sql() -> str:
+def guess_sql(source: str) -> str:
+    """A table guess(doc_id, idioma) of source(doc_id, text), as the end of a WITH clause."""
     hits = ", ".join("len(list_filter(w, lambda x: list_contains([" + ", ".join(f"'{x}'" for x in ws) + f"], x))) AS {lang}" for lang, ws in sorted(cleaning.STOP_WORDS.items()))
     best = " ".join(f"WHEN {a} = greatest(de, en, es, fr) THEN '{a}'" for a in sorted(cleaning.STOP_WORDS))
-    return rf"WITH w AS (SELECT doc_id, text, list_filter(regexp_split_to_array(lower(text), '\s+'), lambda w: w <> '') AS w FROM documents), h AS (SELECT doc_id, text, {hits} FROM w) SELECT doc_id, CASE WHEN length(text) < 50 OR greatest(de, en, es, fr) = 0 THEN 'es' {best} END AS idioma FROM h"
+    return rf"guess_words AS (SELECT doc_id, text, list_filter(regexp_split_to_array(lower(text), '\s+'), lambda w: w <> '') AS w FROM {source}), guess_hits AS (SELECT doc_id, text, {hits} FROM guess_words), guess AS (SELECT doc_id, CASE WHEN length(text) < 50 OR greatest(de, en, es, fr) = 0 THEN 'es' {best} END AS idioma FROM guess_hits)"
 
 
-@query(_guess_sql())
+@query(f"WITH {guess_sql('documents')} SELECT * FROM guess")
 def language_guess(table, spark):
     return table("documents").select("doc_id", cleaning.language_guess(F.col("text")).alias("idioma"))
 
@@ -169,28 +170,6 @@ def extract_json_props(table, spark):
     return table("events").select("event_id", F.get(F.map_values(m), 0).alias("first_value"), F.size(F.json_object_keys("props")).cast("long").alias("n_keys"))
 
 
-@query("SELECT p_partkey, 'p_partkey: ' || p_partkey || chr(10) || 'p_size: ' || p_size AS texto FROM part")
-def kv_rows(table, spark):
-    """Records as atomic sections of `column: value` lines."""
-    columns = ("p_partkey", "p_size")
-    return table("part").select("p_partkey", F.concat_ws("\n", *[F.when(F.trim(F.col(c).cast("string")) != "", F.concat(F.lit(f"{c}: "), F.col(c).cast("string"))) for c in columns]).alias("texto"))
-
-
-MARKDOWN = r"""WITH l AS (SELECT doc_id, generate_subscripts(s, 1) AS i, unnest(s) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS s FROM documents)),
-m AS (SELECT *, i % 5 = 1 AS head FROM l), g AS (SELECT *, sum(head::INT) OVER (PARTITION BY doc_id ORDER BY i) AS block FROM m)"""
-
-
-@query(f"{MARKDOWN} SELECT doc_id, block::BIGINT AS block, min(CASE WHEN head THEN trim(line) END) AS titulo, sha256(coalesce(string_agg(CASE WHEN NOT head THEN line END, chr(10) ORDER BY i), '')) AS sha FROM g GROUP BY doc_id, block")
-def markdown_blocks(table, spark):
-    """Gaps and islands: every fifth line, as a heading, opens a block; the lines after it are the body."""
-    from pyspark.sql.window import Window
-
-    l = table("documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("i", "line")).withColumn("head", F.col("i") % 5 == 0)
-    g = l.withColumn("block", F.sum(F.col("head").cast("int")).over(Window.partitionBy("doc_id").orderBy("i")))
-    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(~F.col("head"), F.struct("i", "line")))), lambda x: x["line"]), "\n")
-    return g.groupBy("doc_id", "block").agg(F.min(F.when(F.col("head"), F.trim("line"))).alias("titulo"), text.text_hash(body).alias("sha"))
-
-
 _STOP = r"CASE WHEN {x} = '' OR regexp_matches({x}, '[.!?:»›]$') THEN {x} ELSE {x} || '.' END"
 
 
@@ -224,7 +203,7 @@ def term_overlap_audit(table, spark):
 
 @query()
 def encode_documents(table, spark):
-    """The built-in encoder over whole texts: dimension and norm of each vector."""
+    """The built-in encoder: dimension and norm of each text's vector; of longer texts the sentences that fit into 512 words count."""
     from fathomline.operators.search import dot
 
     out = encoded(table("documents").select("doc_id", F.col("text").alias("texto")), ENCODERS.create("hashed-128"))
@@ -237,7 +216,14 @@ def truncate_words(table, spark):
     return table("documents").select("doc_id", text.text_hash(text.truncated(F.col("text"), 20)).alias("sha"))
 
 
-@query()
+CATALOGUE = (
+    ("bert-en", "google-bert/bert-base-cased", 768, "en", "apache-2.0", "true"), ("bert-es", "dccuchile/bert-base-spanish-wwm-cased", 768, "es", "cc-by-4.0", "true"), ("bert-large", "google-bert/bert-large-uncased", 1024, "en", "apache-2.0", "true"),
+    ("bert-multilingual", "google-bert/bert-base-multilingual-cased", 768, "es,en,pt", "apache-2.0", "false"), ("bert-multilingual-uncased", "google-bert/bert-base-multilingual-uncased", 768, "es,en,pt", "apache-2.0", "false"), ("bert-pt", "neuralmind/bert-base-portuguese-cased", 768, "pt", "mit", "true"), ("bert-tiny", "prajjwal1/bert-tiny", 128, "en", "mit", "true"),
+    ("e5-multilingual-base", "intfloat/multilingual-e5-base", 768, "es,en,pt", "mit", "false"), ("e5-multilingual-small", "intfloat/multilingual-e5-small", 384, "es,en,pt", "mit", "false"), ("hashed-128", "hashed-words-128", 128, "es,en,pt", "apache-2.0", "false"), ("hashed-384", "hashed-words-384", 384, "es,en,pt", "apache-2.0", "false"),
+)
+
+
+@query("SELECT * FROM (VALUES " + ", ".join(f"('{n}', '{m}', {d}, 512, '{l}', '{c}', {x})" for n, m, d, l, c, x in CATALOGUE) + ") t(encoder_name, model_id, embedding_dim, max_tokens, languages, license, complementary)")
 def encoder_catalogue(table, spark):
     from fathomline.operators.encoding import catalogue
 

@@ -45,7 +45,7 @@ def hits_of(table, k: int = K):
     for name in HALVES:
         own = halves(table).filter(F.col("encoder_name") == name)
         asked = own.filter(F.col("chunk_id") % 100 == 0).select(F.col("chunk_id").alias("query_id"), "vector")
-        found = search.exact_topk(own, asked, k).join(own.select("chunk_id", "doc_id"), "chunk_id").select("query_id", F.lit(name).alias("channel"), "chunk_id", "doc_id", "rank", "score")
+        found = search.exact_topk(own, asked, k, carry=("doc_id",)).select("query_id", F.lit(name).alias("channel"), "chunk_id", "doc_id", "rank", "score")
         out = found if out is None else out.unionByName(found)
     return out
 

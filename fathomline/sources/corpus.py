@@ -17,8 +17,11 @@ IGNORED = ("Thumbs.db", "desktop.ini", ".DS_Store", "ehthumbs.db")
 
 
 def scan(spark: SparkSession, root: str, extensions: list[str] | None = None) -> DataFrame:
-    """(path, content, ext) of the files below root, without hidden and left-behind ones.  A missing folder is an error
-    of the reader; an empty one gives no rows."""
+    """(path, content, ext) of the files below root, without hidden and left-behind ones; a missing or empty folder gives
+    no rows.  Callers sort by path where they need an order."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    if not where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
+        return spark.createDataFrame([], "path string, content binary, ext string")
     df = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     name = file_name(F.col("path"))
     df = df.select("path", "content", F.lower(F.element_at(F.split(name, r"\."), -1)).alias("ext"), name.alias("_name"))
@@ -79,6 +82,16 @@ PLAIN = ("md", "markdown", "txt", "html", "htm", "json", "csv")
 
 
 def plain_texts(spark: SparkSession, root: str, limit: int = 500) -> DataFrame:
-    """(path, text) of the first plain-text files by path: what corpus statistics are taken from."""
-    found = scan(spark, root, list(PLAIN)).orderBy("path").limit(limit)
+    """(path, text) of the plain-text files among the first entries of the tree, folders counted, in the order of their
+    paths: a quick look before a scan of everything, and limited as such."""
+    files = scan(spark, root)
+    parts = F.split("path", "/")
+    # an entry is a file or any folder above it, below root
+    depth = F.size(F.split(F.lit(root.rstrip("/").split("://")[-1].split(":")[-1]), "/"))
+    folders = files.select(F.explode(F.transform(F.sequence(F.lit(1), F.size(parts) - 1), lambda n: F.array_join(F.slice(parts, 1, n), "/"))).alias("path")).distinct()
+    base = F.array_join(F.slice(F.split(F.regexp_replace("path", "^[a-z]+:/*", "/"), "/"), 1, depth), "/")
+    below = folders.filter((F.size(F.split(F.regexp_replace("path", "^[a-z]+:/*", "/"), "/")) > depth) & (base != "")).select("path", F.lit(None).cast("binary").alias("content"), F.lit(None).cast("string").alias("ext"))
+    # a path's components are compared one by one, as a tree is walked
+    first = files.unionByName(below).orderBy(F.split("path", "/")).limit(limit)
+    found = first.filter(F.col("ext").isin(*PLAIN))
     return found.select("path", F.coalesce(F.try_validate_utf8(F.col("content").cast("string")), F.decode("content", "ISO-8859-1")).alias("text"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from xml.sax.saxutils import escape, quoteattr
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,19 +27,37 @@ def read(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
 
 
 def write(entities: DataFrame, triples: DataFrame, path: str) -> None:
-    """One undirected GraphML file: nodes by id, an edge a triple.  Rows reach the driver one partition at a time."""
+    """One undirected GraphML file: nodes by id, an edge a triple.
+
+    The format is a single file, so its lines pass the driver, one partition at a time and never all at once, to a
+    stream in the path's own file system, whichever that is.
+    """
 
     def data(key: str, value) -> str:
         return "" if value in (None, "") else f"<data key={quoteattr(key)}>{escape(str(value))}</data>"
 
-    with open(path, "w", encoding="utf-8") as f:
-        f.write('<?xml version="1.0" encoding="UTF-8"?>\n<graphml xmlns="http://graphml.graphdrawing.org/xmlns">\n')
+    def lines() -> Iterator[str]:
+        yield '<?xml version="1.0" encoding="UTF-8"?>\n<graphml xmlns="http://graphml.graphdrawing.org/xmlns">\n'
         for k, of in (("nombre", "node"), ("tipo", "node"), *((k, "edge") for k in ("sujeto", "relacion", "objeto", "doc_id", "chunk_id", "evidencia", "confianza"))):
-            f.write(f'<key id="{k}" for="{of}" attr.name="{k}" attr.type="{"double" if k == "confianza" else "string"}"/>\n')
-        f.write('<graph id="G" edgedefault="undirected">\n')
+            yield f'<key id="{k}" for="{of}" attr.name="{k}" attr.type="{"double" if k == "confianza" else "string"}"/>\n'
+        yield '<graph id="G" edgedefault="undirected">\n'
         for r in entities.orderBy("id").toLocalIterator():
-            f.write(f"<node id={quoteattr(r.id)}>{data('nombre', r.nombre)}{data('tipo', r.tipo)}</node>\n")
+            yield f"<node id={quoteattr(r.id)}>{data('nombre', r.nombre)}{data('tipo', r.tipo)}</node>\n"
         for i, r in enumerate(triples.orderBy("sujeto", "relacion", "objeto", "chunk_id").toLocalIterator()):
             parts = "".join(data(k, f"{r[k]:.6f}" if k == "confianza" else r[k]) for k in ("sujeto", "relacion", "objeto", "doc_id", "chunk_id", "evidencia", "confianza"))
-            f.write(f'<edge id="e{i}" source={quoteattr(r.sujeto)} target={quoteattr(r.objeto)}>{parts}</edge>\n')
-        f.write("</graph>\n</graphml>\n")
+            yield f'<edge id="e{i}" source={quoteattr(r.sujeto)} target={quoteattr(r.objeto)}>{parts}</edge>\n'
+        yield "</graph>\n</graphml>\n"
+
+    spark = entities.sparkSession
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target, True)
+    try:
+        held: list[str] = []
+        for line in lines():
+            held.append(line)
+            if len(held) == 5000:
+                out.write(bytearray("".join(held).encode()))
+                held = []
+        out.write(bytearray("".join(held).encode()))
+    finally:
+        out.close()

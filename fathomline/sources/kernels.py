@@ -9,10 +9,12 @@ import json
 import re
 import struct
 import zipfile
+import zlib
 from collections.abc import Callable, Iterator
 from xml.etree import ElementTree
 
 from fathomline.registry import Registry
+from fathomline.sources import osm, pdf
 
 Section = tuple[str | None, str, bool]  # title, text, splittable
 Extracted = tuple[str | None, str | None, str | None, list[Section]]  # title, language, date, sections
@@ -30,19 +32,27 @@ def _key_values(pairs) -> str:
     return "\n".join(f"{k}: {v}" for k, v in pairs if v is not None and str(v).strip())
 
 
+def _headers(cells: list[str]) -> list[str]:
+    """Names of columns; a blank one is named by its number."""
+    return [c.strip() or f"col_{i}" for i, c in enumerate(cells)]
+
+
 @EXTRACTORS.register("csv")
 def from_csv(raw: bytes) -> Extracted:
-    """An atomic section a row, `column: value` lines without blank values; rows of another width are left out."""
+    """An atomic section a row, `column: value` lines without blank values; short rows have fewer lines, rows that are
+    longer than the header are left out."""
     text = decoded(raw)
-    try:
-        dialect = csv.Sniffer().sniff(text.split("\n", 1)[0], ",;\t|")
-    except csv.Error:
-        dialect = csv.excel
-    rows = list(csv.reader(io.StringIO(text), dialect))
-    if len(rows) < 2:
+    rows = [r for r in csv.reader(io.StringIO(text)) if r]
+    if rows and len(rows[0]) == 1:  # no comma: another separator?
+        try:
+            rows = [r for r in csv.reader(io.StringIO(text), csv.Sniffer().sniff(text.split("\n", 1)[0], ";\t|")) if r]
+        except csv.Error:
+            pass
+    head = _headers(rows[0]) if rows else []
+    sections = [(None, body, False) for r in rows[1:] if len(r) <= len(head) and (body := _key_values(zip(head, map(str.strip, r))))]
+    if not sections:
         raise ValueError("no rows")
-    head = [h.strip() for h in rows[0]]
-    return None, None, None, [(None, body, False) for r in rows[1:] if len(r) == len(head) and (body := _key_values(zip(head, map(str.strip, r))))]
+    return None, None, None, sections
 
 
 @EXTRACTORS.register("xlsx")
@@ -66,13 +76,24 @@ def from_xlsx(raw: bytes) -> Extracted:
             best = rows if len(rows) > len(best) else best
     if len(best) < 2:
         raise ValueError("no rows")
-    return None, None, None, [(None, body, False) for r in best[1:] if (body := _key_values((h, r.get(c)) for c, h in best[0].items()))]
+    head = dict(zip(best[0], _headers([*best[0].values()])))
+    return None, None, None, [(None, body, False) for r in best[1:] if (body := _key_values((h, r.get(c)) for c, h in head.items()))]
 
 
-#: Keys of titles, bodies and dates in JSON records.
+@EXTRACTORS.register("xls")
+def from_xls(raw: bytes) -> Extracted:
+    """The old binary format needs a reader of its own; a package under that name is taken as .xlsx."""
+    if raw[:2] == b"PK":
+        return from_xlsx(raw)
+    raise ValueError("old Excel files need a reader of their own; register one")
+
+
+#: Keys of titles, bodies and dates in JSON records, of text within records, and of what only describes them.
 TITLE_KEYS = ("title", "titulo", "título", "headline", "name", "nombre")
-BODY_KEYS = ("body_paragraphs", "body", "content", "contenido", "text", "texto", "paragraphs", "sections", "description", "summary", "resumen")
-DATE_KEYS = ("date", "fecha", "published", "publication_date", "fecha_publicacion")
+BODY_KEYS = ("body", "cuerpo", "body_paragraphs", "body_text", "content", "contenido", "text", "texto", "description", "descripcion", "abstract", "resumen", "excerpt", "summary", "intro")
+NESTED_KEYS = ("sections", "paragraphs", "heading", "items")
+DATE_KEYS = ("date", "fecha", "published", "publicado", "publication_date", "fecha_publicacion")
+META_KEYS = ("author", "autor", "authors", "autores", *DATE_KEYS, "tags", "categoria", "category", "url", "link", "id", "source", "fuente", "pdf_url", "doi", "issue", "keywords")
 
 
 def _first(record: dict, keys: tuple[str, ...]):
@@ -91,21 +112,42 @@ def normal_paragraph(text: str) -> str:
     return t + "."
 
 
-def _strings(value) -> Iterator[str]:
+def _is_record(value) -> bool:
+    return isinstance(value, dict) and _first(value, TITLE_KEYS + BODY_KEYS + NESTED_KEYS) is not None
+
+
+def _parts(value) -> Iterator[str]:
+    """Texts of a content value: strings, and the bodies of records, in their order."""
     if isinstance(value, str):
         if value.strip():
             yield normal_paragraph(value)
     elif isinstance(value, list):
         for v in value:
-            yield from _strings(v)
+            yield from _parts(v)
     elif isinstance(value, dict):
-        for v in value.values():
-            yield from _strings(v)
+        if text := record_body(value):
+            yield text
+        else:
+            for v in value.values():  # no known key within a content value: all of it
+                yield from _parts(v)
+
+
+def record_body(record: dict) -> str:
+    """Text of a record: the values of content keys, and of other keys that hold records, in the record's order, blank
+    lines between them; without any the texts of its links, and else its `key: value` pairs."""
+    rest = [(k, v) for k, v in record.items() if k not in META_KEYS + TITLE_KEYS]
+    content = lambda k, v: k in BODY_KEYS + NESTED_KEYS or _is_record(v) or isinstance(v, list) and bool(v) and all(isinstance(x, dict) for x in v) and any(map(_is_record, v))
+    parts = [p for k, v in rest if content(k, v) for p in _parts(v)]
+    if not parts and isinstance(record.get("links"), list):
+        parts = [*_parts(record["links"])]
+    if not parts:
+        parts = [f"{k}: {normal_paragraph(str(v))}" for k, v in rest if not isinstance(v, (dict, list)) and v is not None and str(v).strip()]
+    return re.sub(r"\n{3,}", "\n\n", "\n\n".join(parts))
 
 
 @EXTRACTORS.register("json")
 def from_json(raw: bytes) -> Extracted:
-    """A section a record: a root list; a root record with a title or body; else its first list of records."""
+    """A section a record, its title before its text: a root list; a root record with a title or body; else its first list of records."""
     root = json.loads(decoded(raw))
     if isinstance(root, dict) and _first(root, TITLE_KEYS + BODY_KEYS) is None:
         lists = [v for v in root.values() if isinstance(v, list) and v]
@@ -115,14 +157,13 @@ def from_json(raw: bytes) -> Extracted:
     title = date = None
     for r in records:
         if not isinstance(r, dict):
-            sections += [(None, s, True) for s in _strings(r)]
+            sections += [(None, s, True) for s in _parts(r)]
             continue
         own = _first(r, TITLE_KEYS)
         own = str(own).strip() if own else None
         title, date = title or own, date or _first(r, DATE_KEYS)
-        body = [s for k in BODY_KEYS for s in _strings(r.get(k))] or [*_strings(r.get("links"))] or [_key_values((k, v) for k, v in r.items() if not isinstance(v, (dict, list)))]
-        if text := "\n\n".join(filter(None, body)):
-            sections.append((own, text, True))
+        if text := record_body(r):
+            sections.append((own, f"{own}.\n{text}" if own else text, True))
     return title, None, str(date) if date else None, sections
 
 
@@ -226,9 +267,20 @@ def from_html(raw: bytes) -> Extracted:
 
 @EXTRACTORS.register("pdf")
 def from_pdf(raw: bytes) -> Extracted:
-    """What raw bytes show: literal strings of eight characters or more.  A layout reader can be registered instead."""
+    """A section a page, by the layout of its text; a file whose layout can't be read gives the literal strings of eight
+    characters or more that its raw bytes show.  Without text it needs OCR, which isn't here."""
+    try:
+        title, pages = pdf.sections(pdf.layout(raw))
+    except (ValueError, zlib.error):
+        if b"/Encrypt" in raw:
+            raise
+        title, pages = None, []
+    if any(text for _, text, _ in pages):
+        return title, None, None, pages
     found = [re.sub(r"\\([()\\])", r"\1", s) for s in re.findall(r"\(((?:[^()\\]|\\.){8,})\)", raw.decode("latin-1"))]
-    return None, None, None, [(None, " ".join(found), True)] if found else []
+    if not found:
+        raise ValueError("the file shows no text, and no OCR engine is registered")
+    return None, None, None, [(None, " ".join(found), True)]
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int, int | bytes]]:
@@ -287,10 +339,14 @@ ADMIN_KEYS = ("id", "osm_id", "version", "changeset", "timestamp", "uid", "user"
 
 @EXTRACTORS.register("pbf", "mvt")
 def from_tile(raw: bytes) -> Extracted:
-    """Vector tiles: an atomic section a feature; features with an id once a layer, those without one all."""
-    if b"OSMHeader" in raw[:4096] or b"OSMData" in raw[:4096]:
-        raise ValueError("OSM extracts need a reader of their own; register one")
+    """Vector tiles, or OpenStreetMap extracts, which their first bytes tell apart: an atomic section a feature or tagged
+    element; those with an id once a layer or kind, those without one all."""
     sections: list[Section] = []
+    if b"OSMHeader" in raw[:4096] or b"OSMData" in raw[:4096]:
+        for kind, _, tags in osm.elements(raw, _fields, _packed):
+            if body := _key_values((k, v) for k, v in tags if k not in ADMIN_KEYS):
+                sections.append((kind, body, False))
+        return None, None, None, sections
     for f, _, layer in _fields(raw):
         if f != 3:
             continue

@@ -39,13 +39,13 @@ def inputs(spark):
 
 def test_entailment(spark):
     s, m = inputs(spark)
-    got = relations.by_entailment(s, m, lambda pairs: [0.8 if h == "nasa coopera con esa." else 0.3 for _, h in pairs]).collect()
+    got = relations.by_entailment(s, m, lambda pairs: [0.8 if h == "nasa coopera con esa" else 0.3 for _, h in pairs]).collect()
     assert {(r.sujeto, r.relacion, r.objeto, r.confianza) for r in got} == {("nasa", "COOPERA_CON", "esa", 0.8), ("esa", "COOCURRENCIA", "nasa", 0.3)}
 
 
 def test_generation(spark):
     s, m = inputs(spark)
-    made = "<triplet> NASA <subj> ESA <obj> partner <triplet> NASA <subj> Mars <obj> partner <triplet> ESA <subj> NASA <obj> odd"
+    made = "<triplet> NASA <subj> ESA <obj> cooperates with <triplet> NASA <subj> Mars <obj> partner <triplet> ESA <subj> NASA <obj> odd"
     got = relations.by_generation(s, m, lambda texts: [made] * len(texts)).collect()
     assert {(r.sujeto, r.relacion, r.objeto, r.confianza) for r in got} == {("nasa", "COOPERA_CON", "esa", 0.9), ("esa", "RELACIONADO_CON", "nasa", 0.7)}
 
