@@ -10,9 +10,9 @@ cover: `length` to 2 * length - 16 bytes.
    repeat already and goes no further.  So equal spans cost a row a task, however many there are.
 3. Spans of one anchor hash meet in one task.  Of equal spans all but the first are repeats.  Different spans with a
    core in common become a collection: the Burrows-Wheeler transform of all their suffixes is built column by column
-   from the right, one symbol of each span inserted a round, with the common prefixes of neighbours kept up to date.
-   Neighbours that share `length` symbols are equal strings; all but the first are repeats.
-   Columns above ram_rows are files, read and written from front to back each round.
+   from the right, one symbol of each span inserted a round, and the common prefixes of neighbours are carried on from
+   round to round.  Neighbours that share `length` symbols are equal strings; all but the first are repeats.
+   Columns above ram_rows (7 MB for the three of them) are files, read and written from front to back each round.
 4. Repeated runs are merged by document and cut out.
 
 Anchors with over `hot` occurrences skip the collections: each string of theirs is sent by itself, under its own hash,
@@ -55,7 +55,7 @@ class Params:
     hot: int = 10_000
     seen: int = 400_000
     collection: int = 600
-    ram_rows: int = 4_000_000
+    ram_rows: int = 1 << 20
     sketch_bits: int = 28
 
 
@@ -189,121 +189,127 @@ class Column:
         self._written(changed(), self.n)
 
 
-#: In the column of suffixes: the bit that says "shares length symbols with the one before", and the place in the text.
-_SHARED, _PLACE = np.uint32(1 << 31), np.uint32((1 << 31) - 1)
-_BLOCK = 7  # ranks are counted by blocks of 128 rows
+@dataclass
+class _Part:
+    """What the neighbours of rows of one part say about those of the parts around it, by symbol."""
+
+    low: np.ndarray  # the least common prefix since the symbol's last row, of all rows if it had none yet
+    seen: np.ndarray  # whether the symbol has had a row
+    count: np.ndarray  # how many
+    waiting: np.ndarray  # the asked row whose next row of its symbol is yet to come, or -1
 
 
-def _ranks(bwt: Column, at: np.ndarray, symbols: np.ndarray, size: int, lines: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each row number (ascending) and symbol: how often the symbol stands before that row; and all counts.
+def neighbours(bwt: Column, lcp: Column, at: np.ndarray, symbols: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For rows (ascending) and their symbols: how often the symbol stands before the row; the least common prefix between
+    the row and the last one before it, and the next one after it, with that symbol (-1 if there is none); and how often
+    each symbol stands in all.
 
-    lines: for each row of a part, the number of its block times size.
+    Both columns are read once, from front to back.
     """
-    out, total = np.zeros(len(at), np.int64), np.zeros(size, np.int64)
-    width = 1 << _BLOCK
-    offsets = np.arange(width, dtype=np.uint8)
-    for start, part in bwt.parts():
+    rank, before, after = (np.full(len(at), fill, np.int64) for fill in (0, -1, -1))
+    most = np.iinfo(lcp.kind).max
+    state = _Part(np.full(size, most, np.int64), np.zeros(size, bool), np.zeros(size, np.int64), np.full(size, -1))
+    for (start, part), (_, shared) in zip(bwt.parts(), lcp.parts()):
         n = len(part)
-        blocks = (n >> _BLOCK) + 1
-        padded = np.full(blocks << _BLOCK, size - 1, part.dtype)
-        padded[:n] = part
-        counts = np.bincount(lines[: blocks << _BLOCK] + padded, minlength=blocks * size).reshape(blocks, size)
-        before = np.cumsum(counts, axis=0)
-        a, b = np.searchsorted(at, (start, start + n)) if bwt.rows is None else (0, len(at))
+        order = np.argsort(part, kind="stable")  # rows by symbol
+        place = np.empty(n, np.int32)
+        place[order] = np.arange(n, dtype=np.int32)
+        counts = np.bincount(part, minlength=size)
+        first = np.concatenate([[0], np.cumsum(counts)[:-1]])
+        a, b = np.searchsorted(at, (start, start + n))
         row, symbol = at[a:b] - start, symbols[a:b]
-        block = row >> _BLOCK
-        window = padded.reshape(blocks, width)[block]
-        inside = np.count_nonzero((window == symbol[:, None]) & (offsets < (row & (width - 1)).astype(np.uint8)[:, None]), axis=1)
-        out[a:b] = total[symbol] + before[block, symbol] - counts[block, symbol] + inside
-        total += before[-1]
-    return out, total
-
-
-def _window_hashes(text: np.ndarray, length: int) -> np.ndarray:
-    """A hash of the length symbols from each place (0 where fewer follow): unequal ones need no comparison."""
-    out = np.zeros(len(text), np.uint64)
-    power, width, h = _TABLE[text], 1, None
-    done = 0
-    n = len(text) - length + 1
-    while True:
-        if length & width:
-            part = power[done : done + n]
-            h = part.copy() if h is None else h * _ODD + part
-            h ^= h >> np.uint64(29)
-            done += width
-        if width * 2 > length:
-            break
-        power = power[:-width] * (_ODD + np.uint64(2 * width)) + power[width:]
-        power ^= power >> np.uint64(31)
-        width *= 2
-    out[:n] = h
-    return out
+        own = place[row] - first[symbol]
+        rank[a:b] = state.count[symbol] + own
+        has = own > 0
+        before[a:b][has] = _least(shared, order[place[row[has]] - 1] + 1, row[has] + 1)
+        early = ~has & state.seen[symbol]
+        has = own + 1 < counts[symbol]
+        after[a:b][has] = _least(shared, row[has] + 1, order[place[row[has]] + 1] + 1)
+        if n == bwt.n:
+            return own, before, after, counts
+        # rows of earlier parts that are the last one before, or that wait for the next one
+        down = np.minimum.accumulate(shared)  # least from the part's beginning
+        before[a:b][early] = np.minimum(state.low[symbol[early]], down[row[early]])
+        here = counts > 0
+        ready = np.flatnonzero(here & (state.waiting >= 0))
+        after[state.waiting[ready]] = np.minimum(state.low[ready], down[order[first[ready]]])
+        state.waiting[here] = -1
+        up = np.append(np.minimum.accumulate(shared[::-1])[::-1], most)  # least up to the part's end
+        state.low[~here] = np.minimum(state.low[~here], down[-1] if n else most)
+        state.low[here] = up[order[first[here] + counts[here] - 1] + 1]
+        state.waiting[symbol[~has]] = np.flatnonzero(~has) + a
+        state.seen |= here
+        state.count += counts
+    return rank, before, after, state.count
+
+
+def _least(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """The least of values[low:high] for each pair, where low < high."""
+    if not len(low):
+        return np.zeros(0, np.int64)
+    # reduceat takes every second stretch between bounds; the last bound may be the end, which needs a row of its own
+    bounds = np.stack([low, high], axis=1).ravel()
+    return np.minimum.reduceat(np.append(values, values[-1:]), bounds)[::2].astype(np.int64)
 
 
 def collection(spans: list[bytes], length: int, ram_rows: int, root: str | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Groups of two or more equal strings of length bytes within the spans, many at once: where each group begins,
     and the span number and offset of each string.
 
-    Round r inserts, for every span of more than r bytes, its suffix of r + 1 bytes.  The suffix starts with the
-    symbol that the transform holds for the suffix of r bytes; among suffixes with that first symbol it stands where
-    the shorter one stands among them.  Suffixes of under length bytes have no part in a result, so the columns
-    beside the transform (where a suffix starts, whether it shares length symbols with the one before) begin with the
-    round that inserts the first longer ones.
+    Round r inserts, for every span of more than r bytes, its suffix of r + 1 bytes into the transform and into the
+    common prefixes.  The suffix starts with the symbol c that the transform holds for the suffix of r bytes; among
+    suffixes with that first symbol it stands where the shorter one stands among them.  What it shares with the one
+    before it is c and what their shorter suffixes share: the least common prefix between the rows of the two, which are
+    neighbours among the rows of c; likewise for the one after it.  Common prefixes are kept up to length.
+    Suffixes of under length bytes have no part in a result, so the column of where suffixes start begins with the round
+    that inserts the first longer ones.
     """
     order = sorted(range(len(spans)), key=lambda i: -len(spans[i]))
     sizes = np.array([len(spans[i]) for i in order])
     m, longest = len(spans), int(sizes[0])
+    if longest < length:
+        return
     raw = np.frombuffer(b"".join(spans[i] for i in order), np.uint8)
     used = np.unique(raw)
     code = np.zeros(256, np.uint8)
     code[used] = np.arange(len(used))
-    end = len(used)  # stands before a whole span; never counted
-    size = end + 1
+    end = len(used)  # stands before a whole span; never counted.  UTF-8 leaves some bytes unused, so it fits
     starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    text = np.concatenate([code[raw], np.full(length, end, np.uint8)])
-    left = np.concatenate([np.repeat(starts + sizes, sizes) - np.arange(len(raw)), np.zeros(length, np.int64)])  # symbols to the span's end
+    text = code[raw]
     active = np.searchsorted(-sizes, -np.arange(longest + 1), "left")
     columns = np.full((longest + 1, m), end, np.uint8)
     for r in range(longest):
         k = active[r]
         columns[r, :k] = text[starts[:k] + sizes[:k] - 1 - r]
     folder = Folder(root)
-    bwt, suffix = Column(np.uint8, ram_rows, folder), Column(np.uint32, ram_rows, folder)
+    bwt, lcp, suffix = (Column(kind, ram_rows, folder) for kind in (np.uint8, np.uint16 if length > 254 else np.uint8, np.uint32))
     bwt.set(columns[0])
+    lcp.set(np.zeros(m))
     at = np.arange(m)
-    view = np.lib.stride_tricks.sliding_window_view(text, length)
-    mark = _window_hashes(text, length)
-    lines = (np.arange(min(ram_rows, m + len(raw)) + Column.STEP + (2 << _BLOCK)) >> _BLOCK) * size
     for r in range(longest):
         k = active[r]
         by_row = np.argsort(at[:k])
-        symbols = columns[r, :k][by_row]
-        rank, total = _ranks(bwt, at[:k][by_row], symbols, size, lines)
+        symbols = columns[r, :k][by_row].astype(np.int64)
+        rank, before, after, total = neighbours(bwt, lcp, at[:k][by_row], symbols, end + 1)
         first = m + np.concatenate([[0], np.cumsum(total[:end])[:-1]])
         where = first[symbols] + rank
         at[by_row] = where
         up = np.argsort(where)
         where, owner = where[up], by_row[up]
+        before, after = (np.minimum(x[up] + 1, length) for x in (before, after))  # -1, no such row, becomes 0
         if r + 1 == length:
             suffix.set(np.full(bwt.n, len(raw)))  # all of them short: the end of the text stands for them
         keep = bwt.insert(where, columns[r + 1][owner])
+        lcp.insert(where, before, keep)
+        follow = np.flatnonzero(where + 1 < lcp.n)
+        lcp.put(where[follow] + 1, after[follow])
         if r + 1 >= length:
             suffix.insert(where, (starts + sizes)[owner] - 1 - r, keep)
-            # common prefixes of the new suffixes with the neighbours before and after them
-            near = np.concatenate([where, where[where + 1 < suffix.n] + 1])
-            near.sort()
-            a, b = suffix.take(near - 1) & _PLACE, suffix.take(near) & _PLACE
-            same = (left[a] >= length) & (left[b] >= length) & (mark[a] == mark[b])
-            same[same] = (view[a[same]] == view[b[same]]).all(axis=1)
-            suffix.put(near, b | np.where(same, _SHARED, np.uint32(0)))
-    if longest < length:
-        folder.cleanup()
-        return
     ids = np.array(order)
     held = np.zeros(0, np.uint32)  # the last row so far, or the run that is still open
-    for at_row, part in suffix.parts():
-        flags = np.concatenate([np.arange(len(held)) > 0, part >= _SHARED])
-        places = np.concatenate([held, part & _PLACE])
+    for (at_row, part), (_, shared) in zip(suffix.parts(), lcp.parts()):
+        flags = np.concatenate([np.arange(len(held)) > 0, shared >= length])
+        places = np.concatenate([held, part])
         # the last row, and what is shared with it, waits for the next part
         last = len(places)
         if at_row + len(part) < suffix.n:
@@ -311,11 +317,11 @@ def collection(spans: list[bytes], length: int, ram_rows: int, root: str | None
             held = places[last:]
         member = flags[:last].copy()
         member[:-1] |= flags[1:last]
-        first = np.flatnonzero(~flags[:last][member])
-        if len(first):
+        begin = np.flatnonzero(~flags[:last][member])
+        if len(begin):
             found = places[:last][member].astype(np.int64)
             span = np.searchsorted(starts, found, "right") - 1
-            yield first, ids[span], found - starts[span]
+            yield begin, ids[span], found - starts[span]
     folder.cleanup()
 
 
