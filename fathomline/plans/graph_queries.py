@@ -100,14 +100,33 @@ def hybrid_rrf(table, spark):
 WORDS = ("the", "and", "that", "reading", "token", "license", "idiot", "of the")
 
 
-@query()
+def _plain(t: str) -> str:
+    """Lower case without accents, every other letter beyond ASCII as one z, so that word bounds are ASCII ones."""
+    return rf"regexp_replace(lower(strip_accents({t})), '[À-ÖØ-öø-ɏ]', 'z', 'g')"
+
+
+#: "of the" goes before "the"; masked, it holds no other form.
+_OF_THE = r"\bof([^\w.!?\n]+)the\b"
+_FORMS = ", ".join(f"('{w}')" for w in WORDS)
+
+
+@query(rf"""WITH d AS (SELECT doc_id, {_plain('text')} AS t FROM documents), m AS (SELECT doc_id, t, regexp_replace(t, '{_OF_THE}', 'xx\1xxx', 'g') AS masked FROM d),
+x AS (SELECT doc_id, w AS id, CASE WHEN w = 'of the' THEN t ELSE masked END AS t, CASE WHEN w = 'of the' THEN '\bof[^\w.!?\n]+the\b' ELSE '\b' || w || '\b' END AS p FROM m, (VALUES {_FORMS}) v(w))
+SELECT doc_id, id, len(regexp_extract_all(t, p)) AS n, length(regexp_extract(t, '(?s)^(.*?)' || p, 1)) AS first FROM x WHERE regexp_matches(t, p)""")
 def gazetteer_entities(table, spark):
     """Mentions of a small vocabulary in whole texts, counted by document."""
     found = entities.mentions(table("documents"), tuple((w, "OTRO", w) for w in WORDS), proper_nouns=False, id_col="doc_id", text_col="text")
     return found.groupBy("doc_id", "id").agg(F.count("*").alias("n"), F.min("position").alias("first"))
 
 
-@query()
+_TYPES = " ".join(f"WHEN regexp_matches(k, '{'|'.join(stems)}') THEN '{kind}'" for kind, stems in graph.VERBS)
+
+
+@query(rf"""WITH s AS (SELECT conv_id AS doc_id, conv_id || '-' || turn AS chunk_id, trim(unnest(string_split(regexp_replace(text, '([.!?。！？])\s+', '\1' || chr(1), 'g'), chr(1)))) AS s FROM conversations),
+n AS (SELECT doc_id, chunk_id, row_number() OVER () AS r, {_plain('s')} AS t, trim(regexp_replace(regexp_replace(lower(strip_accents(s)), '[^\p{{L}}\p{{N}}_\s]', ' ', 'g'), '\s+', ' ', 'g')) AS k FROM s WHERE s <> ''),
+m AS (SELECT n.*, w FROM (SELECT *, regexp_replace(t, '{_OF_THE}', 'xx\1xxx', 'g') AS masked FROM n) n, (VALUES {_FORMS}) v(w) WHERE CASE WHEN w = 'of the' THEN regexp_matches(t, '{_OF_THE}') ELSE regexp_matches(masked, '\b' || w || '\b') END),
+p AS (SELECT a.doc_id, a.chunk_id, a.w AS sujeto, b.w AS objeto, CASE {_TYPES.replace('(k,', '(a.k,')} ELSE 'COOCURRENCIA' END AS relacion FROM m a JOIN m b ON a.r = b.r AND a.w <> b.w)
+SELECT doc_id, chunk_id, sujeto, relacion, objeto, CASE WHEN relacion = 'COOCURRENCIA' THEN 0.6 ELSE 0.9 END::DOUBLE AS confianza FROM p GROUP BY ALL""".replace("GROUP BY ALL", "GROUP BY doc_id, chunk_id, sujeto, relacion, objeto"))
 def symbolic_relations(table, spark):
     """Sentences of conversations, entities by vocabulary, relations by verb."""
     from fathomline.functions import text

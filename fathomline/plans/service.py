@@ -7,14 +7,15 @@ from pyspark.sql import functions as F
 
 from fathomline.functions import text
 from fathomline.operators import entities, graph
+from fathomline.operators.relations import RELATIONS
 from fathomline.sources import graphml
 
 
 class GraphService:
-    """Questions before build() or load() raise ValueError."""
+    """Questions before build() or load() raise ValueError.  relations is an extractor, or its name in RELATIONS."""
 
     def __init__(self, vocabulary=entities.VOCABULARY, *, proper_nouns: bool = True, relations=graph.symbolic_triples):
-        self.vocabulary, self.proper_nouns, self.relations = vocabulary, proper_nouns, relations
+        self.vocabulary, self.proper_nouns, self.relations = vocabulary, proper_nouns, RELATIONS.get(relations) if isinstance(relations, str) else relations
         self._entities: DataFrame | None = None
         self._triples: DataFrame | None = None
 
@@ -59,6 +60,15 @@ class GraphService:
     def summary(self) -> dict[str, int]:
         return {"entities": self.entities.count(), "triples": self.triples.count(), "chunks": self.triples.select("chunk_id").distinct().count()}
 
+    def paths(self, queries: DataFrame, targets: DataFrame, most: int = 10) -> DataFrame:
+        """The whole explanation of each query (see graph.paths)."""
+        return graph.paths(self.triples, self.asked(queries), targets, most=most)
+
+    def views(self, prefix: str = "graph") -> None:
+        """The graph as temporary views, for SQL: <prefix>_entities and <prefix>_triples."""
+        self.entities.createOrReplaceTempView(f"{prefix}_entities")
+        self.triples.createOrReplaceTempView(f"{prefix}_triples")
+
     def export(self, path: str) -> None:
         if graph.orphans(self.triples, self.entities).limit(1).count():
             raise ValueError("triples refer to unknown entities")

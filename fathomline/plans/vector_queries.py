@@ -91,26 +91,33 @@ x AS (SELECT label, i, avg(e[i]) AS x FROM v, range(1, 65) AS r(i) GROUP BY labe
 c0 AS (SELECT label, list(x ORDER BY i) AS c FROM x GROUP BY label),
 c AS (SELECT label, list_transform(c, lambda y: y / sqrt(list_dot_product(c, c))) AS c FROM c0),
 p AS (SELECT v.vec_id AS query_id, v.e AS q, c.label, row_number() OVER (PARTITION BY v.vec_id ORDER BY round(list_dot_product(v.e, c.c), 9) DESC, c.label) AS r FROM v, c WHERE v.vec_id % 100 = 0),
-s AS (SELECT query_id, vec_id AS chunk_id, round(list_dot_product(q, e), 9) AS score FROM p JOIN v USING (label) WHERE r <= 2),
+s AS (SELECT query_id, vec_id AS chunk_id, round(list_dot_product(q, e), 9) AS score FROM p JOIN v USING (label) WHERE r <= 9),
 k AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) AS rank FROM s)"""
 
 
 @query(f"WITH {IVF} SELECT query_id, chunk_id, round(score, 6) AS score, rank FROM k WHERE rank <= 10")
 def ivf_search(table, spark):
-    """Cells are the labels here, so that the cells are the same in SQL; clustered() makes them by k-means otherwise."""
+    """Cells are the labels here, so that the cells are the same in SQL; clustered() makes them by k-means otherwise.  These
+    vectors fill all directions alike, so 9 of the 10 cells are probed: recall at 10 is 0.94 on sf0.01 and 0.92 on sf0.1
+    (with 2 cells 0.34 and 0.25)."""
     own = table("embeddings").select(F.col("vec_id").alias("chunk_id"), F.col("label").alias("cell"), F.col("embedding").alias("vector"))
     asked = own.filter(F.col("chunk_id") % 100 == 0).select(F.col("chunk_id").alias("query_id"), "vector")
-    return search.cell_topk(own, asked, 10, nprobe=2).select("query_id", "chunk_id", F.round("score", 6).alias("score"), F.col("rank").cast("long").alias("rank"))
+    return search.cell_topk(own, asked, 10, nprobe=9).select("query_id", "chunk_id", F.round("score", 6).alias("score"), F.col("rank").cast("long").alias("rank"))
 
 
 @query()
 def ivf_kmeans_recall(table, spark):
-    """Recall at 10 of the k-means index (14 of 16 cells: these vectors fill all directions alike) against exact search."""
+    """Recall at 10 of the k-means index of 16 cells against exact search, by query and number of cells probed.  These
+    vectors fill all directions alike: 0.9 takes 14 cells, and 4 cells show how little fewer of them find."""
     own = table("embeddings").select(F.col("vec_id").alias("chunk_id"), F.col("embedding").alias("vector"))
     asked = own.filter(F.col("chunk_id") % 100 == 0).select(F.col("chunk_id").alias("query_id"), "vector")
-    near = search.cell_topk(search.clustered(own, 16), asked, 10, nprobe=14)
-    true = search.exact_topk(own, asked, 10).select("query_id", "chunk_id", F.lit(1).alias("hit"))
-    return true.join(near.select("query_id", "chunk_id", F.lit(1).alias("found")), ["query_id", "chunk_id"], "left").groupBy("query_id").agg((F.coalesce(F.sum("found"), F.lit(0)) / F.count("*")).alias("recall"))
+    true = search.exact_topk(own, asked, 10).select("query_id", "chunk_id")
+    cells, out = search.clustered(own, 16), None
+    for nprobe in (4, 14):
+        near = search.cell_topk(cells, asked, 10, nprobe=nprobe).select("query_id", "chunk_id", F.lit(1).alias("found"))
+        part = true.join(near, ["query_id", "chunk_id"], "left").groupBy("query_id").agg((F.coalesce(F.sum("found"), F.lit(0)) / F.count("*")).alias("recall")).withColumn("nprobe", F.lit(nprobe))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 @query("SELECT CASE WHEN count(*) > 50000 THEN 'ivf_flat' ELSE 'flat_ip' END AS kind, count(*) AS n_vectors FROM embeddings")

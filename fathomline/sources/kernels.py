@@ -268,7 +268,7 @@ def from_html(raw: bytes) -> Extracted:
 @EXTRACTORS.register("pdf")
 def from_pdf(raw: bytes) -> Extracted:
     """A section a page, by the layout of its text; a file whose layout can't be read gives the literal strings of eight
-    characters or more that its raw bytes show.  Without text it needs OCR, which isn't here."""
+    characters or more that its raw bytes show.  Without text it goes to a registered OCR engine."""
     try:
         title, pages = pdf.sections(pdf.layout(raw))
     except (ValueError, zlib.error):
@@ -278,9 +278,7 @@ def from_pdf(raw: bytes) -> Extracted:
     if any(text for _, text, _ in pages):
         return title, None, None, pages
     found = [re.sub(r"\\([()\\])", r"\1", s) for s in re.findall(r"\(((?:[^()\\]|\\.){8,})\)", raw.decode("latin-1"))]
-    if not found:
-        raise ValueError("the file shows no text, and no OCR engine is registered")
-    return None, None, None, [(None, " ".join(found), True)]
+    return None, None, None, [(None, " ".join(found) or recognised(raw), True)]
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int, int | bytes]]:
@@ -377,4 +375,25 @@ def from_tile(raw: bytes) -> Extracted:
 
 @EXTRACTORS.register("png", "jpg", "jpeg", "tif", "tiff", "bmp", "gif", "webp")
 def from_image(raw: bytes) -> Extracted:
-    raise ValueError("no OCR engine is registered for images")
+    """The text that the first registered OCR engine reads, as one section; without an engine an error."""
+    return None, None, None, [(None, recognised(raw), True)]
+
+
+#: Fixed value: languages that an OCR engine is asked for, in order.
+OCR_LANGUAGES = ("spa", "eng", "por")
+#: OCR engines by name: functions of (bytes of an image or a scanned PDF, languages) that give a text.
+OCR: Registry[Callable[[bytes, tuple[str, ...]], str]] = Registry("OCR engine")
+
+
+def recognised(raw: bytes) -> str:
+    """The first text that a registered engine finds; engines that fail are passed over."""
+    if not OCR.names():
+        raise ValueError("no OCR engine is registered")
+    problem = "no text was recognised"
+    for name in OCR.names():
+        try:
+            if text := OCR.get(name)(raw, OCR_LANGUAGES).strip():
+                return text
+        except Exception as e:  # another engine may do
+            problem = f"{name}: {e}"
+    raise ValueError(problem)

@@ -185,3 +185,19 @@ def test_osm_extract():
     blob = lambda kind, data, squeeze: (lambda body: (lambda head: len(head).to_bytes(4, "big") + head + body)(sub(1, kind) + num(3, len(body))))(sub(3, zlib.compress(data)) if squeeze else sub(1, data))
     raw = blob(b"OSMHeader", b"", False) + blob(b"OSMData", block, True)
     assert EXTRACTORS.get("pbf")(raw)[3] == [("node", "name: Rio", False), ("node", "amenity: school", False), ("way", "name: Rio", False), ("relation", "amenity: school", False)]
+
+
+def test_ocr_engines_plug_in():
+    from fathomline.sources import kernels
+
+    with pytest.raises(ValueError, match="OCR"):
+        EXTRACTORS.get("png")(b"x")
+    kernels.OCR.register("a-broken")(lambda raw, languages: 1 / 0)
+    kernels.OCR.register("b-fake")(lambda raw, languages: f" {raw.decode()} in {languages[0]} ")
+    try:
+        assert EXTRACTORS.get("png")(b"text")[3] == [(None, "text in spa", True)]
+        del kernels.OCR._known["b-fake"]
+        with pytest.raises(ValueError, match="a-broken"):
+            EXTRACTORS.get("png")(b"x")
+    finally:
+        kernels.OCR._known.clear()
