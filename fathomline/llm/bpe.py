@@ -6,7 +6,6 @@ import hashlib
 import heapq
 import json
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 from itertools import chain
 
 import pyarrow as pa
@@ -39,9 +38,11 @@ def byte_alphabet() -> dict[str, int]:
 class Bpe:
     """One vocabulary.  Ids and merges come from the file; nothing is trained."""
 
-    def __init__(self, path: str):
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
+    def __init__(self, path: str, content: bytes | None = None):
+        """From a file, or from its content where that is at hand."""
+        if content is None:
+            content = read(path)
+        spec = json.loads(content)
         vocab, alphabet = spec["model"]["vocab"], byte_alphabet()
         self.bytes_of = {i: bytes(alphabet[c] for c in token) for token, i in vocab.items()}
         self.byte_id = [0] * 256
@@ -139,10 +140,22 @@ class Bpe:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 
 
-@lru_cache(maxsize=2)
-def load(path: str) -> Bpe:
+def read(path: str) -> bytes:
+    with open(path, "rb") as f:
+        return f.read()
+
+
+_loaded: dict[str, Bpe] = {}
+
+
+def load(path: str, content: bytes | None = None) -> Bpe:
     """One copy for each worker and file."""
-    return Bpe(path)
+    content = read(path) if content is None else content
+    key = hashlib.sha256(content).hexdigest()
+    if key not in _loaded:
+        _loaded.clear()
+        _loaded[key] = Bpe(path, content)
+    return _loaded[key]
 
 
 def bpe(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True, with_text: bool = True) -> DataFrame:
@@ -150,11 +163,13 @@ def bpe(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "
 
     The digests are of the decimal ids joined by commas, and of the decoded text in UTF-8.  A null text counts as
     empty: no token, an empty decoded text.  Repeated rows give repeated rows, an empty table an empty one; columns
-    other than the two named aren't read.  A row depends on its own text only: no shuffle.
+    other than the two named aren't read.  A row depends on its own text only: no shuffle.  The driver reads the file
+    and sends it to the workers, who need not see its path; it is a vocabulary of some MB.
     """
+    shared = docs.sparkSession.sparkContext.broadcast(read(path))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = load(path)
+        model = load(path, shared.value)
         for batch in batches:
             n, first, second, all_ids, texts = [], [], [], [], []
             for text in batch.column(1):
