@@ -5,9 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
-import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
@@ -38,6 +38,8 @@ def shared_dir(spark: SparkSession) -> str:
 
 def opened(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
     """The file system of a path or URI, and the path in it."""
+    import pyarrow.fs  # not at the top: most workers need no file systems in their memory
+
     return pyarrow.fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")
 
 
@@ -46,9 +48,14 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/fathomline/{name}-{uuid.uuid4().hex}"
 
 
+#: Paths of this driver's tables that are still there, oldest first.
+_made: list[str] = []
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """df as a table in the shared folder: lineage ends here and a lost executor costs no recomputation."""
     path = scratch(df.sparkSession, name)
+    _made.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -65,6 +72,19 @@ def dropped(*tables: DataFrame) -> None:
         for root in {f.rpartition("/")[0] for f in df.inputFiles()}:
             if "/fathomline/" in root:
                 deleted(df.sparkSession, root)
+                _made[:] = [p for p in _made if p.rpartition("/")[2] != root.rpartition("/")[2]]
+
+
+@contextmanager
+def tidied(spark: SparkSession) -> Iterator[None]:
+    """Deletes, at the end, all tables that written() made meanwhile: nothing that reads them may be used afterwards."""
+    before = set(_made)
+    try:
+        yield
+    finally:
+        for path in [p for p in _made if p not in before]:
+            deleted(spark, path)
+            _made.remove(path)
 
 
 def small_batches(df: DataFrame) -> DataFrame:

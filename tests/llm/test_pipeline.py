@@ -52,3 +52,18 @@ def test_near_duplicates_at_80(spark, sf):
     want = {i for i, x in plain_components(rows, 80).items() if x[2]}
     assert {r.doc_id for r in corpus_pipeline.near_duplicates(spark, d, sf).collect()} == want
     assert want < {i for i, x in plain_components(rows, 85).items() if x[2]}
+
+
+def test_run_leaves_no_tables_behind(spark, sf):
+    from fathomline.llm import common
+
+    before = set(common._made)
+    corpus_pipeline.run(spark, sf).count()
+    assert set(common._made) == before
+
+
+def test_clashing_names(spark, docs, sf):
+    """Columns of the caller's that are named like helper columns."""
+    own = docs.withColumns({"_line": docs.text, "_MAP": docs.text, "_perhaps": docs.doc_id})
+    for name, stage in corpus_pipeline.STAGES[1:4]:
+        assert stage(spark, own, sf).columns == own.columns and stage(spark, own, sf).count() > 0, name
