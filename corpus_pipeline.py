@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fathomline.llm import bpe, decontaminate, neardup, pii, quality
-from fathomline.llm.common import dropped, scratch, table, without, written
+from fathomline.llm.common import dropped, scratch, table, tidied, without, written
 from fathomline.llm.queries import vocabulary
 
 
@@ -35,17 +35,17 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item.  A null or empty text holds none and stays; an empty benchmark lets all stay."""
     return decontaminate.clean_documents(docs, table(spark, sf_dir, "benchmark"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with personal data masked."""
+    """All documents, with personal data masked.  A null text stays null; a text without personal data stays as it is."""
     return pii.masked_documents(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of all documents, and digests of the ids and of the decoded text."""
+    """Token ids of all documents, and digests of the ids and of the decoded text.  A null text has no ids."""
     return bpe.bpe(docs, vocabulary(), with_text=False)
 
 
@@ -66,7 +66,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, last = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         path = scratch(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with tidied(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
         if last is not None:
             dropped(last)
         docs = last = spark.read.parquet(path)

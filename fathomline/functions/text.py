@@ -7,6 +7,7 @@ import unicodedata
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: Fixed value: control characters that are dropped.
 _CONTROLS = r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]"
 #: Latin letters that decompose into an ASCII letter and marks, from U+00C0 on: (letters, their base letters).
 _ACCENTED = [(chr(c), d[0]) for c in range(0xC0, 0x250) if len(d := unicodedata.normalize("NFD", chr(c))) > 1 and d[0].isascii()]
@@ -40,9 +41,13 @@ def stable_id(key: Column) -> Column:
     return F.conv(F.substring(F.sha1(key.cast("binary")), 1, 15), 16, 10).cast("long")
 
 
+#: Fixed value: what a slug may not hold.
+_NO_SLUG = r"[^a-z0-9áéíóúñü]+"
+
+
 def slug(text: Column) -> Column:
     """Lower case; runs of anything but a-z, digits and Spanish letters become one underscore, none at the ends."""
-    return F.regexp_replace(F.regexp_replace(F.lower(text), r"[^a-z0-9áéíóúñü]+", "_"), r"^_+|_+$", "")
+    return F.regexp_replace(F.regexp_replace(F.lower(text), _NO_SLUG, "_"), r"^_+|_+$", "")
 
 
 def fold(text: Column) -> Column:
