@@ -17,8 +17,9 @@ from fathomline.session import shipped
 #: What `[^\x20\x09-\x0D]+` leaves out; bytes.split() uses exactly these six.
 BLANKS = " \t\n\r\x0b\x0c"
 
-#: Rows, and bytes, in one Arrow batch, whichever comes first.  A single longer text is a batch of its own.
-BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
+#: Rows in one Arrow batch.  Texts may be long, so batches hold few rows.  Spark's limit on a batch's bytes isn't used:
+#: with it, executors of the check tool grew beyond 3,000 MB outside their heap.
+BATCH_ROWS = 500
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -90,14 +91,13 @@ def tidied(spark: SparkSession) -> Iterator[None]:
 def small_batches(df: DataFrame) -> DataFrame:
     """df, ready for Python workers: the package is there, and Arrow batches of texts are small.
 
-    Spark reads these two limits from the session when it plans a query, so they are lowered there; a session that
-    asks for smaller batches keeps them.
+    Spark reads the limit from the session when it plans a query, so it is lowered there; a session that asks for
+    smaller batches keeps them.
     """
     shipped(df.sparkSession)
-    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
-        was = str(df.sparkSession.conf.get(key)).rstrip("bB")
-        if not was.isdigit() or not 0 < int(was) <= most:
-            df.sparkSession.conf.set(key, str(most))
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(df.sparkSession.conf.get(key)) <= BATCH_ROWS:
+        df.sparkSession.conf.set(key, str(BATCH_ROWS))
     return df
 
 
