@@ -137,6 +137,22 @@ def catalogue(spark) -> DataFrame:
     return spark.createDataFrame(rows, "encoder_name string, model_id string, embedding_dim int, max_tokens int, languages string, license string, complementary boolean")
 
 
+def taken(texts: pd.Series, encoder: Encoder) -> list[str | None]:
+    """What the encoder gets of each text, its tokens counted as words; null where there is nothing to encode."""
+    return [fitted(x or "", encoder.max_tokens, lambda s: len(s.split())) for x in texts]
+
+
+def inputs(texts: DataFrame, encoder: Encoder, *, text_col: str = "texto") -> DataFrame:
+    """texts with `input`, what the encoder gets of each."""
+
+    @F.pandas_udf("string")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for t in batches:
+            yield pd.Series(taken(t, encoder), dtype=object)
+
+    return texts.withColumn("input", run(text_col))
+
+
 def encoded(texts: DataFrame, encoder: Encoder, *, text_col: str = "texto", is_query: bool = False, batch_size: int | None = None) -> DataFrame:
     """texts with `vector`: unit float vectors; texts that an encoder can't take (blank) have null.  A zero vector stays.
     A text of more than the encoder's tokens counts with its first sentences that fit.  batch_size is how many texts the
@@ -146,7 +162,7 @@ def encoded(texts: DataFrame, encoder: Encoder, *, text_col: str = "texto", is_q
     @F.pandas_udf("array<float>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for t in batches:
-            ready = [fitted(x or "", encoder.max_tokens, lambda s: len(s.split())) for x in t]
+            ready = taken(t, encoder)
             index = [i for i, x in enumerate(ready) if x is not None]
             out: list = [None] * len(ready)
             if index:

@@ -114,6 +114,30 @@ query(f"WITH RECURSIVE {SENTENCES.format(text='replace(text, chr(10), chr(10) ||
 query(f"{WINDOWS}, {_UNITS.format(line=f'trim(u.line, {_BLANKS})', joint='chr(10) || chr(10)', more=' UNION ALL SELECT doc_id, 0, replace(text, chr(10), chr(10) || chr(10)) FROM documents JOIN d USING (doc_id) WHERE total <= 400')}{PIECES}", "chunk_paragraph_overlap")(partial(_strategy, strategy="paragraph_overlap", whole=True))
 query(name="chunk_hybrid")(partial(_strategy, strategy="hybrid", whole=False))
 
+_WHOLE = "replace(text, chr(10), chr(10) || chr(10))"
+_WORDS = r"len(list_filter(regexp_split_to_array(text, '\s+'), lambda w: w <> ''))"
+# One section a document, so nothing is merged: windows over sentences, a short last one absorbed by the one before.
+query(
+    f"""WITH RECURSIVE {SENTENCES.format(text=_WHOLE)}, {windows_sql(400, 80)},
+wc AS (SELECT w.doc_id, w.wn, w.i, w.e, sum(u.n) AS cost FROM w JOIN u ON u.doc_id = w.doc_id AND u.i BETWEEN w.i AND w.e GROUP BY w.doc_id, w.wn, w.i, w.e),
+wl AS (SELECT *, max(wn) OVER (PARTITION BY doc_id) AS top, lag(cost) OVER o AS pcost, lead(e) OVER o AS ne, lead(cost) OVER o AS ncost FROM wc WINDOW o AS (PARTITION BY doc_id ORDER BY wn)),
+wa AS (SELECT doc_id, wn, i, CASE WHEN wn = top - 1 AND ncost < 50 AND cost + ncost <= 512 THEN ne ELSE e END AS e FROM wl WHERE NOT (wn = top AND wn > 0 AND cost < 50 AND pcost + cost <= 512)),
+t AS (SELECT wa.doc_id, wa.wn, string_agg(u.line, ' ' ORDER BY u.i) AS t FROM wa JOIN u ON u.doc_id = wa.doc_id AND u.i BETWEEN wa.i AND wa.e WHERE wa.doc_id IN (SELECT doc_id FROM documents WHERE {_WORDS} > 400) GROUP BY wa.doc_id, wa.wn
+  UNION ALL SELECT doc_id, 0, {_WHOLE} FROM documents WHERE {_WORDS} BETWEEN 1 AND 400){PIECES}""",
+    "chunk_hybrid_windows",
+)(partial(_strategy, strategy="hybrid", whole=True))
+
+
+@query(rf"""WITH {SENTENCES.format(text='text')}, n AS (SELECT doc_id, text, {_WORDS} AS words FROM documents),
+c AS (SELECT *, sum(n) OVER (PARTITION BY doc_id ORDER BY i) AS total FROM u), b AS (SELECT doc_id, string_agg(line, ' ' ORDER BY i) AS t FROM c WHERE total <= 512 GROUP BY doc_id)
+SELECT n.doc_id, sha256(CASE WHEN words <= 512 THEN text ELSE coalesce(t, array_to_string(list_filter(regexp_split_to_array(text, '\s+'), lambda w: w <> '')[1:512], ' ')) END) AS sha FROM n LEFT JOIN b USING (doc_id) WHERE words > 0""")
+def encoder_input(table, spark):
+    """What an encoder of 512 words gets of a text: all, the first whole sentences that fit, or a cut within the first."""
+    from fathomline.operators.encoding import ENCODERS, inputs
+
+    out = inputs(table("documents").select("doc_id", F.col("text").alias("texto")), ENCODERS.get("hashed-128"))
+    return out.filter("input is not null").select("doc_id", text.text_hash(F.col("input")).alias("sha"))
+
 
 @query("SELECT conv_id AS doc_id, turn AS posicion, lag(conv_id || '__chunk_' || lpad(turn::VARCHAR, 5, '0')) OVER (PARTITION BY conv_id ORDER BY turn) AS overlap_con FROM conversations")
 def overlap_lineage(table, spark):

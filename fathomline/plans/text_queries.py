@@ -157,11 +157,23 @@ def html_title_lang(table, spark):
     return table("pages").select("page_id", F.regexp_extract("html", r'<html[^>]*\blang="([^"]*)"', 1).alias("idioma"), F.trim(F.regexp_extract("html", r"<title>([^<]*)</title>", 1)).alias("titulo"))
 
 
-@query()
+_BLOCK_TEXT = r"regexp_replace(regexp_replace({x}, '^<[^>]*>', ''), '<[^>]*>', '', 'g')"
+for _e, _c in (("&nbsp;", "chr(160)"), ("&lt;", "'<'"), ("&gt;", "'>'"), ("&quot;", "'\"'"), ("&#39;", "chr(39)"), ("&amp;", "'&'")):
+    _BLOCK_TEXT = f"replace({_BLOCK_TEXT}, '{_e}', {_c})"
+
+
+# A page is cut before each tag that opens or closes a block or a section; what follows an opening one is its text.
+@query(rf"""WITH x AS (SELECT page_id, string_split(regexp_replace(regexp_replace(html, '(?is)<(?:script|style)\b.*?</(?:script|style)\s*>|<!--.*?-->', '', 'g'), '(?i)(</?(?:title|h[1-6]|li|p|article|section)\b[^>]*>)', chr(1) || '\1', 'g'), chr(1)) AS s FROM pages),
+k AS (SELECT page_id, i, lower(regexp_extract(x, '^<(/?[a-zA-Z0-9]+)', 1)) AS tag, trim(regexp_replace({_BLOCK_TEXT.format(x='x')}, '\s+', ' ', 'g')) AS t FROM (SELECT page_id, generate_subscripts(s, 1) AS i, unnest(s) AS x FROM x)),
+g AS (SELECT *, sum((tag IN ('article', '/article', 'section', '/section') OR regexp_matches(tag, '^h[1-6]$') AND t <> '')::INT) OVER (PARTITION BY page_id ORDER BY i) AS sec FROM k),
+s AS (SELECT page_id, sec, max(CASE WHEN regexp_matches(tag, '^h[1-6]$') AND t <> '' THEN t END) AS seccion, string_agg(CASE WHEN tag IN ('p', 'li') AND t <> '' THEN t END, chr(10) || chr(10) ORDER BY i) AS texto FROM g GROUP BY page_id, sec),
+o AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY sec) - 1 AS orden FROM s WHERE texto IS NOT NULL),
+h AS (SELECT page_id, min_by(t, i) FILTER (WHERE tag = 'title' AND t <> '') AS titulo FROM k GROUP BY page_id)
+SELECT h.page_id::VARCHAR AS path, titulo, nullif(regexp_extract(html, '<html[^>]*\blang="([^"]*)"', 1), '') AS idioma, orden, seccion, sha256(texto) AS sha FROM pages p JOIN h ON h.page_id = p.page_id LEFT JOIN o ON o.page_id = p.page_id""")
 def html_sections(table, spark):
-    """Sections by the HTML extractor; tests compare it with hand-made pages."""
+    """Sections by the HTML extractor."""
     files = table("pages").select(F.col("page_id").cast("string").alias("path"), F.encode("html", "UTF-8").alias("content"), F.lit("html").alias("ext"))
-    return corpus.extract(files).select("path", "titulo", "idioma", F.posexplode_outer("secciones").alias("orden", "s")).select("path", "titulo", "idioma", "orden", F.col("s.titulo").alias("seccion"), text.text_hash(F.col("s.texto")).alias("sha"))
+    return corpus.extract(files).select("path", "titulo", "idioma", F.posexplode_outer("secciones").alias("orden", "s")).select("path", "titulo", "idioma", F.col("orden").cast("long").alias("orden"), F.col("s.titulo").alias("seccion"), text.text_hash(F.col("s.texto")).alias("sha"))
 
 
 @query(r"SELECT event_id, json_extract_string(props, '$.' || json_keys(props)[1]) AS first_value, len(json_keys(props)) AS n_keys FROM events")
