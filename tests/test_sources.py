@@ -24,6 +24,11 @@ def test_html():
     assert EXTRACTORS.get("html")(page.encode()) == ("T & t", "es", "2024-01-02", [("Uno", "a b\n\nc", True), ("Dos", "d", True)])
 
 
+def test_html_references_without_semicolon():
+    page = "<title>a &amp; b &quot;c&quot; d&amp</title><h1>&am &notit; &a &#38; &#38</h1><p>&amp;lt; &eacute; x&quot</p>"
+    assert EXTRACTORS.get("html")(page.encode()) == ('a & b "c" d&amp', None, None, [("&am &notit; &a & &#38", "&lt; é x&quot", True)])
+
+
 def test_json():
     raw = json.dumps([{"title": "A", "body_paragraphs": ["uno", "dos;tres;cuatro;"], "date": "2026-07-30"}, {"titulo": "B", "contenido": {"x": ["y."]}}]).encode()
     title, _, date, s = EXTRACTORS.get("json")(raw)
