@@ -404,3 +404,35 @@ def test_cleaning_of_documents(spark):
     assert got == {"d1": ["Hola mundo", "Adiós\n\nfin", "Pie de página\nclave: valor"], "d2": ["uno"], "d3": ["dos"], "d4": ["tres", ""], "d5": [""]}
     made, _ = ingest.ingest(df.withColumns({"fuente": F.lit("f"), "formato": F.lit("txt"), "fenomeno": F.lit(1)}), doc_id=F.concat(F.lit("F1_"), "doc_id"))
     assert {r.doc_id for r in made.collect()} == {"F1_d1", "F1_d2", "F1_d3", "F1_d4"} and {r.idioma for r in made.collect()} == {"es"}
+
+
+def test_cell_search_multiplies_blocks(spark):
+    """Cells are searched by blocks, not by a join of pairs, and give what brute force gives, ties by key."""
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    x = np.round(rng.normal(size=(3000, 4)), 1)  # coarse, so that scores tie
+    rows = [(f"c{i % 1500:04d}{i // 1500}", int(i % 5) if i % 7 else None, [float(y) for y in v]) for i, v in enumerate(x)]
+    v = spark.createDataFrame(rows, "chunk_id string, cell int, vector array<double>").repartition(3)
+    asked = [(i, rows[i][2]) for i in range(0, 3000, 10)]
+    q = spark.createDataFrame([*asked, (-1, None)], "query_id long, vector array<double>")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "200")
+    try:
+        all_cells = search.cell_topk(v, q, 3, nprobe=9)
+        exact = search.exact_topk(v.filter("cell is not null"), q, 3)
+        assert "Join" not in all_cells._jdf.queryExecution().optimizedPlan().toString()
+        found = {(r.query_id, r["rank"]): (r.chunk_id, r.score) for r in all_cells.collect()}
+        assert found == {(r.query_id, r["rank"]): (r.chunk_id, r.score) for r in exact.collect()}
+        two = {(r.query_id, r["rank"]): r.chunk_id for r in search.cell_topk(v, q, 3, nprobe=2).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    kept = [(k, c, np.array(y)) for k, c, y in rows if c is not None]
+    mean = {c: np.mean([np.array(y) for _, d, y in rows if d == c], axis=0) for c in range(5)}
+    none = np.mean([np.array(y) for _, d, y in rows if d is None], axis=0)
+    unit = {c: m / np.linalg.norm(m) for c, m in {**mean, None: none}.items()}
+    for i, y in asked:
+        order = sorted(((-round(float(np.dot(y, z)), 9), k) for k, c, z in kept))[:3]
+        assert [found[i, r][0] for r in (1, 2, 3)] == [k for _, k in order]
+        near = sorted(unit, key=lambda c: (-round(float(np.dot(y, unit[c])), 9), -1 if c is None else c))[:2]
+        order = sorted((-round(float(np.dot(y, z)), 9), k) for k, c, z in kept if c in near)[:3]
+        assert [two[i, r] for r in (1, 2, 3)] == [k for _, k in order]
