@@ -19,7 +19,12 @@ def binary(hits: DataFrame, qrels: DataFrame, k: int = 10) -> DataFrame:
     """A row for each query with relevant chunks: precision, recall, mrr, ndcg at k (mrr over all ranks)."""
     relevant = qrels.select("query_id", "chunk_id").distinct()
     n = relevant.groupBy("query_id").agg(F.count("*").alias("n"))
-    hit = hits.join(relevant.withColumn("rel", F.lit(1)), ["query_id", "chunk_id"], "left").withColumn("rel", F.coalesce("rel", F.lit(0)))
+    return _measured(hits.join(relevant.withColumn("rel", F.lit(1)), ["query_id", "chunk_id"], "left"), n, k)
+
+
+def _measured(judged: DataFrame, n: DataFrame, k: int) -> DataFrame:
+    """Measures of hits with `rel`, 1 or null, for the queries n (query_id, n)."""
+    hit = judged.withColumn("rel", F.coalesce("rel", F.lit(0)))
     top = F.when(F.col("rank") <= k, F.col("rel")).otherwise(0)
     agg = hit.groupBy("query_id").agg(F.sum(top).alias("found"), F.coalesce(1.0 / F.min(F.when(F.col("rel") == 1, F.col("rank"))), F.lit(0.0)).alias("mrr"), F.sum(top / _log2(F.col("rank") + 1)).alias("dcg"))
     ideal = F.aggregate(F.sequence(F.lit(1), F.least("n", F.lit(k)).cast("int")), F.lit(0.0), lambda s, i: s + 1.0 / _log2(i + 1))
@@ -28,6 +33,20 @@ def binary(hits: DataFrame, qrels: DataFrame, k: int = 10) -> DataFrame:
     return joined.select("query_id", zero(F.col("found") / max(k, 1)).alias("precision"), zero(F.col("found") / F.col("n")).alias("recall"), zero(F.col("mrr")).alias("mrr"), zero(F.col("dcg") / ideal).alias("ndcg"))
 
 
+def _of_group(hits: DataFrame, asked: DataFrame, members: DataFrame) -> DataFrame:
+    """Hits whose chunk is a member of their query's group, with the members' columns."""
+    return hits.join(asked.select("query_id", "group"), "query_id").join(members, ["chunk_id", "group"])
+
+
+def binary_by_group(hits: DataFrame, asked: DataFrame, members: DataFrame, k: int = 10) -> DataFrame:
+    """As binary, where all members (chunk_id, group) of a query's group (query_id, group; one a query) are relevant:
+    pairs of query and relevant chunk are only made of hits, so groups may be large."""
+    members = members.select("chunk_id", "group").distinct()
+    n = asked.select("query_id", "group").join(members.groupBy("group").agg(F.count("*").alias("n")), "group").select("query_id", "n")
+    relevant = _of_group(hits.select("query_id", "chunk_id").distinct(), asked, members).select("query_id", "chunk_id", F.lit(1).alias("rel"))
+    return _measured(hits.join(relevant, ["query_id", "chunk_id"], "left"), n, k)
+
+
 def summary(per_query: DataFrame) -> DataFrame:
     """One row: means over the evaluated queries and their number; 0 where there is none."""
     return per_query.agg(F.count("*").alias("n_queries"), *(F.coalesce(F.avg(c), F.lit(0.0)).alias(c) for c in ("precision", "recall", "mrr", "ndcg")))
@@ -35,12 +54,28 @@ def summary(per_query: DataFrame) -> DataFrame:
 
 def graded_ndcg(hits: DataFrame, gains: DataFrame, k: int = 10) -> DataFrame:
     """(query_id, ndcg) with linear gains (query_id, chunk_id, gain); 1 where no gain is positive."""
-    got = hits.filter(F.col("rank") <= k).join(gains, ["query_id", "chunk_id"]).groupBy("query_id").agg(F.sum(F.col("gain") / _log2(F.col("rank") + 1)).alias("dcg"))
-    order = gains.withColumn("r", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("gain"), "chunk_id"))).filter(F.col("r") <= k)
-    best = order.groupBy("query_id").agg(F.sum(F.col("gain") / _log2(F.col("r") + 1)).alias("idcg"))
+    best = _ideal(gains, "query_id", k)
+    return _graded(hits.filter(F.col("rank") <= k).join(gains, ["query_id", "chunk_id"]), best)
+
+
+def _ideal(gains: DataFrame, by: str, k: int) -> DataFrame:
+    """(by, idcg): the gain of the best k."""
+    order = gains.withColumn("r", F.row_number().over(Window.partitionBy(by).orderBy(F.desc("gain"), "chunk_id"))).filter(F.col("r") <= k)
+    return order.groupBy(by).agg(F.sum(F.col("gain") / _log2(F.col("r") + 1)).alias("idcg"))
+
+
+def _graded(judged: DataFrame, best: DataFrame) -> DataFrame:
+    got = judged.groupBy("query_id").agg(F.sum(F.col("gain") / _log2(F.col("rank") + 1)).alias("dcg"))
     return best.join(got, "query_id", "left").select("query_id", F.when(F.col("idcg") <= 0, 1.0).otherwise(F.coalesce("dcg", F.lit(0.0)) / F.col("idcg")).alias("ndcg"))
 
 
+def graded_ndcg_by_group(hits: DataFrame, asked: DataFrame, gains: DataFrame, k: int = 10) -> DataFrame:
+    """As graded_ndcg, where a query (query_id, group; one a query) has the gains of its group (chunk_id, group, gain):
+    the ideal order is found once a group."""
+    best = asked.select("query_id", "group").join(_ideal(gains, "group", k), "group").select("query_id", "idcg")
+    return _graded(_of_group(hits.filter(F.col("rank") <= k), asked, gains), best)
+
+
 def text_relevance(fragments: DataFrame, truth: DataFrame) -> DataFrame:
     """fragments (query_id, rank, texto) with relevancia: the largest of the truth texts (query_id, texto, relevancia)
     that equal or hold the fragment or are held by it, all normalised; else 0."""

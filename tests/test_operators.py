@@ -436,3 +436,15 @@ def test_cell_search_multiplies_blocks(spark):
         near = sorted(unit, key=lambda c: (-round(float(np.dot(y, unit[c])), 9), -1 if c is None else c))[:2]
         order = sorted((-round(float(np.dot(y, z)), 9), k) for k, c, z in kept if c in near)[:3]
         assert [two[i, r] for r in (1, 2, 3)] == [k for _, k in order]
+
+
+def test_relevance_by_group(spark):
+    """One measure by pairs and by groups."""
+    hits = spark.createDataFrame([(q, c, r) for q in (0, 1, 2, 3) for r, c in enumerate("abcd"[q:] + "xyz"[:q], 1)], "query_id long, chunk_id string, rank int")
+    asked = spark.createDataFrame([(0, 7), (1, 8), (2, 9), (3, None)], "query_id long, group int")
+    members = spark.createDataFrame([("a", 7), ("c", 7), ("d", 8), ("b", 8), ("b", 8), ("x", None)], "chunk_id string, group int")
+    gains = members.distinct().withColumn("gain", F.when(F.col("chunk_id") == "c", 2.0).when(F.col("chunk_id") == "b", 1.0).otherwise(0.0))
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    for k in (1, 2, 10):
+        assert rows(evaluation.binary_by_group(hits, asked, members, k)) == rows(evaluation.binary(hits, asked.join(members, "group"), k))
+        assert rows(evaluation.graded_ndcg_by_group(hits, asked, gains, k)) == rows(evaluation.graded_ndcg(hits, asked.join(gains, "group"), k))
