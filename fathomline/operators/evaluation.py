@@ -96,10 +96,44 @@ def f1_at_3(documents: DataFrame, truth: DataFrame) -> DataFrame:
     return out.select("query_id", p.alias("precision"), r.alias("recall"), F.when(p + r == 0, 0.0).otherwise(2 * p * r / (p + r)).alias("f1"))
 
 
+#: Queries and chunks of one document that meet in one task: 2,000 times 5,000 pairs at most or so.
+QUERIES_MET, CHUNKS_MET = 2_000, 5_000
+
+
 def relevant_chunks(declared: DataFrame, relevant_docs: DataFrame, chunks: DataFrame) -> DataFrame:
-    """(query_id, chunk_id): declared chunks (query_id, chunk_id), and all chunks of relevant documents (query_id, doc_id)."""
-    of_docs = relevant_docs.select("query_id", "doc_id").distinct().join(chunks.select("doc_id", "chunk_id"), "doc_id").select("query_id", "chunk_id")
-    return declared.select("query_id", "chunk_id").unionByName(of_docs).distinct()
+    """(query_id, chunk_id): declared chunks (query_id, chunk_id), and all chunks of relevant documents (query_id, doc_id).
+
+    The pairs are the result, queries times chunks of each document.  They are made where blocks of queries meet blocks of
+    chunks, so a document of many of both is no one task's work, and they aren't shuffled: what could be twice is taken
+    out of the inputs before.
+    """
+    docs = relevant_docs.select("query_id", "doc_id").filter("doc_id is not null").distinct()
+    own = chunks.select("doc_id", "chunk_id").filter("doc_id is not null").distinct()
+    several = own.groupBy("chunk_id").agg(F.count("*").alias("n")).filter("n > 1").select("chunk_id")  # of several documents
+    same = F.col("chunk_id").eqNullSafe(F.col("_c"))
+    several = several.withColumnRenamed("chunk_id", "_c")
+    of_docs = _met(docs, own.join(several, same, "left_anti"))
+    of_several = docs.join(own.join(several, same, "left_semi"), "doc_id").select("query_id", "chunk_id").distinct()
+    pairs = declared.select("query_id", "chunk_id").distinct()
+    known = pairs.join(own, "chunk_id").join(docs, ["query_id", "doc_id"], "left_semi").select(F.col("query_id").alias("_q"), F.col("chunk_id").alias("_c"))
+    rest = pairs.join(known, (F.col("query_id") == F.col("_q")) & (F.col("chunk_id") == F.col("_c")), "left_anti")
+    return rest.unionByName(of_docs).unionByName(of_several)
+
+
+def _met(docs: DataFrame, own: DataFrame) -> DataFrame:
+    """(query_id, chunk_id) of docs (query_id, doc_id) and own (doc_id, chunk_id), by blocks of both."""
+
+    def blocks(df: DataFrame, most: int) -> DataFrame:
+        return df.groupBy("doc_id").agg(F.count("*").alias("n")).select("doc_id", F.ceil(F.col("n") / most).cast("int").alias("n"))
+
+    of_queries, of_chunks = blocks(docs, QUERIES_MET).withColumnRenamed("n", "nq"), blocks(own, CHUNKS_MET).withColumnRenamed("n", "nc")
+    counts = of_queries.join(of_chunks, "doc_id")
+    places = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    packed = own.join(counts, "doc_id").withColumn("c", F.pmod(F.xxhash64("chunk_id"), "nc").cast("int")).groupBy("doc_id", "nq", "c").agg(F.collect_list("chunk_id").alias("ids"))
+    right = packed.select("doc_id", places("nq").alias("q"), "c", "ids")
+    left = docs.join(counts, "doc_id").withColumn("q", F.pmod(F.xxhash64("query_id"), "nq").cast("int")).select("query_id", "doc_id", "q", places("nc").alias("c"))
+    # dealt by all three, so that neither side is gathered by document
+    return left.hint("shuffle_hash").join(right.hint("shuffle_hash"), ["doc_id", "q", "c"]).select("query_id", F.explode("ids").alias("chunk_id"))
 
 
 #: Words that say nothing about a query's topic.

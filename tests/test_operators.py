@@ -448,3 +448,19 @@ def test_relevance_by_group(spark):
     for k in (1, 2, 10):
         assert rows(evaluation.binary_by_group(hits, asked, members, k)) == rows(evaluation.binary(hits, asked.join(members, "group"), k))
         assert rows(evaluation.graded_ndcg_by_group(hits, asked, gains, k)) == rows(evaluation.graded_ndcg(hits, asked.join(gains, "group"), k))
+
+
+def test_relevant_chunks_are_dealt(spark, monkeypatch):
+    """Blocks of queries and chunks; what is in the result twice is taken out before pairs are made, not after."""
+    monkeypatch.setattr(evaluation, "QUERIES_MET", 3)
+    monkeypatch.setattr(evaluation, "CHUNKS_MET", 4)
+    docs = [(q, d) for q in range(20) for d in range(3) if (q + d) % 2] + [(1, 0), (30, 9), (31, None)]
+    own = [(c % 3, c) for c in range(40)] + [(0, 1), (2, 1), (5, 50), (None, 60)]
+    declared = [(q, q * 2) for q in range(20)] * 2 + [(40, 1), (41, 99), (None, 3)]
+    df = lambda rows, schema: spark.createDataFrame(rows, schema)
+    out = evaluation.relevant_chunks(df(declared, "query_id long, chunk_id long"), df(docs, "query_id long, doc_id long"), df(own, "doc_id long, chunk_id long"))
+    expected = set(declared) | {(q, c) for q, d in docs for e, c in own if d is not None and d == e}
+    found = [tuple(r) for r in out.collect()]
+    assert len(found) == len(expected) and set(found) == expected
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.startswith("Union") and "Aggregate" not in plan.split("Generate explode(ids")[0].split("Union")[1].split("Join LeftAnti")[0]
