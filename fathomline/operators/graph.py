@@ -9,6 +9,17 @@ from pyspark.sql.window import Window
 
 from fathomline.functions.text import entity_key
 
+#: Rows that one task gathers, sorts or adds up at a time; some 200 bytes each in memory.
+TASK_ROWS = 2_000_000
+
+
+def spread(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """df dealt by keys to as many tasks as rows ask for, whatever the session's number of partitions is; adaptive
+    execution doesn't join these again, as it does by the size of compressed rows.  A table of few rows stays."""
+    n = -(-rows // TASK_ROWS)
+    return df if n < 2 else df.repartition(n, *keys)
+
+
 def touches(triples: DataFrame) -> DataFrame:
     """(entity, doc_id, chunk_id, ...): a row for each end of each triple; a loop has two."""
     return triples.withColumn("entity", F.explode(F.array("sujeto", "objeto")))
@@ -60,17 +71,25 @@ def weights(triples: DataFrame, query_entities: DataFrame) -> DataFrame:
     return asked.select("query_id", "entity", F.lit(1.0).alias("w")).unionAll(pairs).groupBy("query_id", "entity").agg(F.sum("w").alias("w"))
 
 
+def scored_rows(triples: DataFrame, query_entities: DataFrame) -> int:
+    """How many rows the evidence of all queries adds up: the degrees of their entities and these' neighbours.  A triple
+    that touches a query's entity counts once for it, and its other end's degree once a query and neighbour."""
+    size = touches(triples).groupBy("entity").agg(F.count("*").alias("n"))
+    return weights(triples, query_entities).join(size, "entity").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
 def evidence(triples: DataFrame, query_entities: DataFrame, k: int | None = None) -> DataFrame:
     """(query_id, chunk_id, doc_id, score, rank): chunks by the graph evidence for a query's entities (query_id, entity).
 
     Each triple that touches a query entity counts 1; each that touches one of its direct neighbours counts 0.5.
     """
     weighted = weights(triples, query_entities)
+    n = scored_rows(triples, query_entities)
     scored = None
     for end in ("sujeto", "objeto"):
         part = triples.select(F.col(end).alias("entity"), "chunk_id", "doc_id").join(weighted, "entity").select("query_id", "chunk_id", "doc_id", "w")
         scored = part if scored is None else scored.unionAll(part)
-    scored = scored.groupBy("query_id", "chunk_id").agg(F.sum("w").alias("score"), F.max("doc_id").alias("doc_id"))
+    scored = spread(scored, n, "query_id", "chunk_id").groupBy("query_id", "chunk_id").agg(F.sum("w").alias("score"), F.max("doc_id").alias("doc_id"))
     out = scored.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "chunk_id")))
     return out if k is None else out.filter(F.col("rank") <= max(1, k))
 

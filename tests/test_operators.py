@@ -464,3 +464,15 @@ def test_relevant_chunks_are_dealt(spark, monkeypatch):
     assert len(found) == len(expected) and set(found) == expected
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.startswith("Union") and "Aggregate" not in plan.split("Generate explode(ids")[0].split("Union")[1].split("Join LeftAnti")[0]
+
+
+def test_evidence_is_dealt_by_its_rows(spark, monkeypatch):
+    """The number of tasks that add up evidence goes by the rows, not by the session; results stay."""
+    t = spark.createDataFrame([(f"p{i % 7}", "r", f"s{i % 3}", i % 5, i % 11, 0.5) for i in range(60)], "sujeto string, relacion string, objeto string, doc_id int, chunk_id int, confianza double")
+    q = spark.createDataFrame([("a", "p1"), ("a", "s0"), ("b", "s2"), ("c", "none")], "query_id string, entity string")
+    whole = sorted(map(tuple, graph.evidence(t, q, 3).collect()))
+    n = graph.scored_rows(t, q)
+    monkeypatch.setattr(graph, "TASK_ROWS", n // 5)
+    dealt = graph.evidence(t, q, 3)
+    assert "REPARTITION_BY_NUM" in dealt._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, dealt.collect())) == whole
