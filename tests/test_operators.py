@@ -476,3 +476,21 @@ def test_evidence_is_dealt_by_its_rows(spark, monkeypatch):
     dealt = graph.evidence(t, q, 3)
     assert "REPARTITION_BY_NUM" in dealt._jdf.queryExecution().executedPlan().toString()
     assert sorted(map(tuple, dealt.collect())) == whole
+
+
+def batch_rows(spark, *made):
+    """The session's limit on rows of an Arrow batch after each of some operators was called with Spark's own limit."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    was, out = spark.conf.get(key), []
+    try:
+        for make in made:
+            spark.conf.set(key, "10000")
+            make()
+            out.append(int(spark.conf.get(key)))
+    finally:
+        spark.conf.set(key, was)
+    return out
+
+
+def test_documents_reach_chunking_in_small_batches(spark):
+    assert batch_rows(spark, lambda: chunking.chunk(document(spark, ("uno. dos.", True)))) == [500]
