@@ -494,3 +494,10 @@ def batch_rows(spark, *made):
 
 def test_documents_reach_chunking_in_small_batches(spark):
     assert batch_rows(spark, lambda: chunking.chunk(document(spark, ("uno. dos.", True)))) == [500]
+
+
+def test_texts_reach_encoders_in_small_batches(spark):
+    t, e = spark.createDataFrame([("a b",)], "texto string"), encoding.ENCODERS.get("hashed-128")
+    assert batch_rows(spark, lambda: encoding.inputs(t, e), lambda: encoding.encoded(t, e)) == [500, 500]
+    made: list = []
+    assert segment.fitted("One two. Three four. " * 500, 3, lambda s: made.append(s) or len(s.split()), adds=True) == "One two." and len(made) == 3
