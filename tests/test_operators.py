@@ -501,3 +501,15 @@ def test_texts_reach_encoders_in_small_batches(spark):
     assert batch_rows(spark, lambda: encoding.inputs(t, e), lambda: encoding.encoded(t, e)) == [500, 500]
     made: list = []
     assert segment.fitted("One two. Three four. " * 500, 3, lambda s: made.append(s) or len(s.split()), adds=True) == "One two." and len(made) == 3
+
+
+def test_retrieval_reads_stored_chunks_and_hits(spark, sf):
+    """Chunks, vectors and hits are made once; means of cells are added up as vectors, not a row a dimension."""
+    from fathomline.plans.registered import QUERIES
+    import fathomline.plans.catalogue  # noqa: F401
+
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan(QUERIES["retrieve_end_to_end"](spark, sf))
+    v = spark.createDataFrame([(1, [3.0, 0.0]), (1, [0.0, 4.0]), (2, [0.0, 2.0]), (2, None)], "cell int, vector array<float>")
+    c = search.centroids(v, "cell")
+    assert "Generate" not in plan(c) and {r.cell: [round(x, 9) for x in r.centroid] for r in c.collect()} == {1: [0.6, 0.8], 2: [0.0, 1.0]}
