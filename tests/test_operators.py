@@ -513,3 +513,11 @@ def test_retrieval_reads_stored_chunks_and_hits(spark, sf):
     v = spark.createDataFrame([(1, [3.0, 0.0]), (1, [0.0, 4.0]), (2, [0.0, 2.0]), (2, None)], "cell int, vector array<float>")
     c = search.centroids(v, "cell")
     assert "Generate" not in plan(c) and {r.cell: [round(x, 9) for x in r.centroid] for r in c.collect()} == {1: [0.6, 0.8], 2: [0.0, 1.0]}
+
+
+def test_gazetteer_normalises_a_word_once(monkeypatch):
+    g = entities.Gazetteer((("of the", "OTRO", "of the"), ("the", "OTRO", "the"), ("1 2", "OTRO", "half")), False)
+    made, own = [], entities.key
+    monkeypatch.setattr(entities, "key", lambda name: made.append(name) or own(name))
+    assert [(at, form) for at, form, *_ in g.find("Of the the of. The x ½ a " * 200)][:5] == [(0, "of the"), (7, "the"), (15, "the"), (21, "half"), (25, "of the")]
+    assert len(made) <= 1
