@@ -47,13 +47,21 @@ def _each(stream: DataFrame, each, checkpoint: str) -> StreamingQuery:
 
 def encoding(chunks: DataFrame, path: str, encoders: list[str], checkpoint: str) -> StreamingQuery:
     """Keeps the embeddings at path up to date with a stream of chunks (chunk_id, doc_id, texto, hash_texto): a chunk is
-    encoded if the table lacks its id and hash for an encoder, and its new vector replaces the old one."""
+    encoded if the table lacks its id and hash for an encoder, and its new vector replaces the old one.  New vectors are
+    made once and put beside the table; it stays as it is where there are none."""
 
     def each(batch: DataFrame, _: int) -> None:
         table = Table(batch.sparkSession, path)
         rows = newest(batch, ["chunk_id"], *(c for c in batch.columns if c != "chunk_id"))
         cache = table.read() if table.exists() else batch.sparkSession.createDataFrame([], "chunk_id string, encoder_name string, hash_texto string")
-        table.upsert(encode_pending(rows, cache, encoders), ["chunk_id", "encoder_name"])
+        new = encode_pending(rows, cache, encoders)
+        if not table.exists():
+            return table.replace(new)
+        beside = Table(batch.sparkSession, f"{table.path}.new")
+        beside.replace(new)
+        if not beside.read().isEmpty():
+            table.upsert(beside.read(), ["chunk_id", "encoder_name"])
+        beside.remove()
 
     return _each(chunks, each, checkpoint)
 

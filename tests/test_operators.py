@@ -521,3 +521,19 @@ def test_gazetteer_normalises_a_word_once(monkeypatch):
     monkeypatch.setattr(entities, "key", lambda name: made.append(name) or own(name))
     assert [(at, form) for at, form, *_ in g.find("Of the the of. The x ½ a " * 200)][:5] == [(0, "of the"), (7, "the"), (15, "the"), (21, "half"), (25, "of the")]
     assert len(made) <= 1
+
+
+def test_a_stream_without_news_leaves_its_table(spark, tmp_path):
+    from fathomline.streaming import streams
+
+    def turn(n, *rows):
+        spark.createDataFrame([*rows], "chunk_id string, doc_id string, texto string, hash_texto string").write.mode("append").parquet(f"{tmp_path}/in")
+        stream = spark.readStream.schema("chunk_id string, doc_id string, texto string, hash_texto string").parquet(f"{tmp_path}/in")
+        streams.encoding(stream, f"{tmp_path}/table", ["hashed-128"], f"{tmp_path}/c{n}").awaitTermination()
+        t = store.Table(spark, f"{tmp_path}/table").read()
+        return sorted(t.inputFiles()), sorted((r.chunk_id, r.hash_texto) for r in t.collect())
+
+    first = turn(1, ("a", "d", "x y", "1"), ("b", "d", "z", "2"))
+    assert first[1] == [("a", "1"), ("b", "2")] and turn(2) == first
+    assert turn(3, ("c", "d", "w", "3"))[1] == [("a", "1"), ("b", "2"), ("c", "3")]
+    assert not (tmp_path / "table.new").exists()
