@@ -12,6 +12,12 @@ from fathomline.functions.text import entity_key
 #: Rows that one task gathers, sorts or adds up at a time; some 200 bytes each in memory.
 TASK_ROWS = 2_000_000
 
+#: Values that one start's list holds; where a start has more, all lists are dealt into parts by their values' hash.
+LIST_ROWS = 100_000
+
+#: Entities that are broadcast at most, to leave out the links of others.
+FEW = 100_000
+
 
 def spread(df: DataFrame, rows: int, *keys: str) -> DataFrame:
     """df dealt by keys to as many tasks as rows ask for, whatever the session's number of partitions is; adaptive
@@ -31,18 +37,53 @@ def edges(triples: DataFrame) -> DataFrame:
     return pairs.unionAll(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
 
 
+def links(triples: DataFrame) -> DataFrame:
+    """(entity, value): for each end of each triple the other end, without loops; triples are read once."""
+    ends = F.array(F.struct(F.col("sujeto").alias("entity"), F.col("objeto").alias("value")), F.struct(F.col("objeto").alias("entity"), F.col("sujeto").alias("value")))
+    return triples.filter("sujeto <> objeto").select(F.explode(ends).alias("x")).select("x.entity", "x.value")
+
+
 def near(triples: DataFrame, nodes: DataFrame, keys: list[str], entity: str = "entity") -> DataFrame:
     """(keys, b): the distinct neighbours of the nodes (keys, entity), without the node itself.
 
     Only triples with an end among the nodes are followed, so what is shuffled grows with the nodes' degrees and not
     with the graph; Spark broadcasts the nodes where their size allows.
     """
-    out = None
-    for own, other in (("sujeto", "objeto"), ("objeto", "sujeto")):
-        ends = triples.select(F.col(own).alias(entity), F.col(other).alias("b")).filter(F.col(entity) != F.col("b"))
-        part = ends.join(nodes.select(*dict.fromkeys([*keys, entity])), entity).select(*keys, "b")
-        out = part if out is None else out.unionAll(part)
-    return out.distinct()
+    ends = links(triples).select(F.col("entity").alias(entity), F.col("value").alias("b"))
+    return ends.join(nodes.select(*dict.fromkeys([*keys, entity])), entity).select(*keys, "b").distinct()
+
+
+def gathered(nodes: DataFrame, values: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """(start, value): for each start the distinct values (entity, value) of its nodes (start, entity), without what is
+    known (start, value) already.  The nodes are read by two jobs.
+
+    An entity's values go to each of its starts as one list, so a row is moved for each node and not for each value that
+    it brings, and values are made distinct within their start's lists.  No list is longer than LIST_ROWS by much: the
+    values are counted before, and where a start has more, each part of the values has lists of its own.
+    """
+    size = values.groupBy("entity").agg(F.count("*").alias("n"))
+    brought = size.join(nodes, "entity", "left").groupBy("start").agg(F.sum("n").alias("n"), F.max("n").alias("longest"), F.count("start").alias("nodes"))
+    own = F.when(F.col("start").isNotNull(), F.col("n"))
+    most, rows, n_nodes, longest = brought.agg(*(F.coalesce(x, F.lit(0)) for x in (F.max(own), F.sum(own), F.sum("nodes"), F.max("longest")))).first()
+    # lists of entities that no start asks for are made too, unless the asked ones are few
+    parts = max(1, -(-(most if n_nodes <= FEW else max(most, longest)) // LIST_ROWS))
+    part = F.pmod(F.xxhash64("value"), F.lit(parts)).cast("int").alias("part")
+    if n_nodes <= FEW:
+        values = values.join(F.broadcast(nodes.select("entity").distinct()), "entity", "left_semi")
+    # collect_set leaves nulls out
+    null = F.array(F.lit(None).cast(values.schema["value"].dataType))
+    lists = values.groupBy("entity", part).agg(F.collect_set("value").alias("values"), F.max(F.col("value").isNull()).alias("has_null"))
+    lists = lists.withColumn("values", F.when(F.col("has_null"), F.concat("values", null)).otherwise(F.col("values"))).drop("has_null")
+    asked = nodes.select("start", "entity", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
+    found = asked.join(lists, ["entity", "part"]).select("start", "part", "values")
+    if known is None:
+        own = spread(found, rows, "start", "part").groupBy("start", "part").agg(F.array_distinct(F.flatten(F.collect_list("values"))).alias("values"))
+    else:
+        kind = lists.schema["values"].dataType
+        old = known.select("start", part, F.lit(None).cast(kind).alias("values"), F.col("value").alias("old"))
+        both = found.withColumn("old", F.lit(None).cast(kind.elementType)).unionByName(old)
+        own = spread(both, rows, "start", "part").groupBy("start", "part").agg(F.array_except(F.flatten(F.collect_list("values")), F.collect_list("old")).alias("values"))
+    return own.select("start", F.explode("values").alias("value"))
 
 
 def degree(triples: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from functools import partial
 from pyspark.sql import functions as F
 
 from fathomline.operators import entities, fusion, graph
-from fathomline.plans.registered import query
+from fathomline.plans.registered import query, stored
 
 TRIPLES = "t AS (SELECT 'p' || l_partkey AS s, 's' || l_suppkey AS o, l_orderkey AS chunk_id, l_orderkey % 97 AS doc_id, l_quantity / 50.0 AS conf FROM lineitem)"
 EDGES = f"{TRIPLES}, e AS (SELECT DISTINCT * FROM (SELECT s AS a, o AS b FROM t UNION ALL SELECT o, s FROM t))"
@@ -142,8 +142,8 @@ def neighbourhood_chunks(table, spark):
     """Chunks of an entity and of its direct neighbours."""
     t = triples_of(table)
     starts = starts_of(table)
-    near = graph.neighbours(t, starts, 1).select("start", "entity").unionAll(starts.select("start", F.col("start").alias("entity")))
-    return near.join(graph.touches(t).select("entity", "chunk_id"), "entity").select("start", "chunk_id").distinct()
+    near = stored(graph.neighbours(t, starts, 1).select("start", "entity").unionAll(starts.select("start", F.col("start").alias("entity"))), "near")
+    return graph.gathered(near, graph.touches(t).select("entity", F.col("chunk_id").alias("value"))).select("start", F.col("value").alias("chunk_id"))
 
 
 @query("SELECT 'o' || o_custkey AS id, arg_min(o_totalprice, o_orderkey)::DOUBLE AS nombre, count(DISTINCT o_totalprice) AS variantes FROM orders GROUP BY o_custkey")

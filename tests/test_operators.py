@@ -478,6 +478,58 @@ def test_evidence_is_dealt_by_its_rows(spark, monkeypatch):
     assert sorted(map(tuple, dealt.collect())) == whole
 
 
+def moved(df):
+    """Rows that the shuffles of df wrote when it was collected."""
+
+    def walk(node):
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan())
+        if name.endswith("QueryStageExec"):
+            return walk(node.plan())
+        own = node.metrics().apply("shuffleRecordsWritten").value() if name == "ShuffleExchangeExec" else 0
+        return own + sum(walk(node.children().apply(i)) for i in range(node.children().size()))
+
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def star_of(spark):
+    """(triples, starts, names of starts, ends by entity, chunks by entity): 40 starts around 2 nodes of 300 chunks and 300
+    further ends each, every triple of those twice; loops, nulls and a start that isn't there."""
+    rows = [(f"a{i}", f"h{i % 2}", f"c{i % 5}") for i in range(40)] + [(f"h{j}", f"z{i}", f"c{i * 2 + j}") for i in range(300) for j in range(2)] * 2
+    rows += [("a1", "a1", "own"), ("a1", None, "c9"), (None, "a2", "c9"), ("z3", "y", None), ("h0", "y", None), ("y", "x", "c1")]
+    names = [f"a{i}" for i in range(40)] + ["a0", "x", "nobody"]
+    links, chunks = {}, {}
+    for s, o, c in rows:
+        for x, y in ((s, o), (o, s)):
+            chunks.setdefault(x, set()).add(c)
+            if s != o and None not in (s, o):
+                links.setdefault(x, set()).add(y)
+    t = spark.createDataFrame([(s, "r", o, c) for s, o, c in rows], "sujeto string, relacion string, objeto string, chunk_id string")
+    return t, spark.createDataFrame([(x,) for x in names], "start string"), names, links, chunks
+
+
+def with_small_lists(monkeypatch):
+    """Once with the limits as they are, once with lists in many parts."""
+    yield
+    for k, v in {"LIST_ROWS": 7, "TASK_ROWS": 500, "FEW": 0}.items():
+        monkeypatch.setattr(graph, k, v)
+    yield
+    monkeypatch.undo()
+
+
+def test_chunks_around_are_moved_as_lists(spark, monkeypatch):
+    """A node's chunks go to its starts as one list, not as 40 * 300 rows; they are those of a search in Python."""
+    t, starts, names, links, chunks = star_of(spark)
+    near = starts.select("start", F.col("start").alias("entity")).unionAll(graph.neighbours(t, starts, 1).select("start", "entity"))
+    values = graph.touches(t).select("entity", F.col("chunk_id").alias("value"))
+    for _ in with_small_lists(monkeypatch):
+        got = [tuple(r) for r in graph.gathered(near, values).collect()]
+        assert len(got) == len(set(got)) and set(got) == {(x, c) for x in names for y in [x, *links.get(x, ())] for c in chunks.get(y, ())}
+    df = graph.gathered(near, values)
+    assert len(df.collect()) > 40 * 300 > 2 * moved(df)
+
+
 def batch_rows(spark, *made):
     """The session's limit on rows of an Arrow batch after each of some operators was called with Spark's own limit."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
