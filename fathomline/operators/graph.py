@@ -3,6 +3,8 @@ chunk_id, evidencia, confianza).  Triples are a multigraph: they are never made
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -92,15 +94,22 @@ def degree(triples: DataFrame) -> DataFrame:
     return touches(triples).groupBy("entity").agg(F.count("*").alias("n_triples")).join(near, "entity", "left").withColumn("n_neighbours", F.coalesce("n_neighbours", F.lit(0)))
 
 
-def neighbours(triples: DataFrame, starts: DataFrame, depth: int = 1) -> DataFrame:
+def neighbours(triples: DataFrame, starts: DataFrame, depth: int = 1, stored: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """(start, entity, distance) of all entities within depth steps of starts(start), without the start; breadth first,
-    one join a step, each entity at its smallest distance."""
-    seen = starts.select("start", F.col("start").alias("entity"), F.lit(0).alias("distance")).distinct()
-    front = seen
+    one join a step, each entity at its smallest distance.  The first step goes by rows, as each start is one node of its
+    own; later ones go by lists.  stored keeps a table that several jobs read; without it each job makes its own."""
+    own = starts.select("start", F.col("start").alias("entity"), F.lit(0).alias("distance")).distinct()
+    seen, front = own, own
     for d in range(1, depth + 1):
-        reached = near(triples, front, ["start"]).select("start", F.col("b").alias("entity"), F.lit(d).alias("distance"))
-        front = reached.join(seen.select("start", "entity"), ["start", "entity"], "left_anti")
-        seen = seen.unionAll(front)
+        if d > 1 and stored:
+            front = stored(front)
+            seen = before.unionAll(front)
+        if d == 1:
+            reached = near(triples, front, ["start"]).select("start", F.col("b").alias("value"))
+        else:
+            reached = gathered(front.select("start", "entity"), links(triples), seen.select("start", F.col("entity").alias("value")))
+        front = reached.select("start", F.col("value").alias("entity"), F.lit(d).alias("distance"))
+        before, seen = seen, seen.unionAll(front)
     return seen.filter("distance > 0")
 
 

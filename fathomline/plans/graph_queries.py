@@ -40,7 +40,7 @@ def graph_degree(table, spark):
 
 
 def _near(table, spark, depth):
-    return graph.neighbours(triples_of(table), starts_of(table), depth).select("start", "entity", F.col("distance").cast("long").alias("distance"))
+    return graph.neighbours(triples_of(table), starts_of(table), depth, partial(stored, name="front")).select("start", "entity", F.col("distance").cast("long").alias("distance"))
 
 
 query(f"WITH {EDGES}, {STARTS} SELECT start, b AS entity, 1::BIGINT AS distance FROM st JOIN e ON a = start", "graph_neighbors_1")(partial(_near, depth=1))

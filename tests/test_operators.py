@@ -530,6 +530,24 @@ def test_chunks_around_are_moved_as_lists(spark, monkeypatch):
     assert len(df.collect()) > 40 * 300 > 2 * moved(df)
 
 
+def test_further_neighbours_are_moved_as_lists(spark, monkeypatch):
+    """From the second step on, a node's neighbours go to its starts as one list; each entity is at its smallest distance."""
+    t, starts, names, links, _ = star_of(spark)
+    found = {}
+    for x in names:
+        front, seen = {x}, {x}
+        for d in (1, 2, 3):
+            front = {z for y in front for z in links.get(y, ())} - seen
+            seen |= front
+            found |= {(x, y, d): d for y in front}
+    for _ in with_small_lists(monkeypatch):
+        for depth in (1, 2, 3):
+            got = [tuple(r) for r in graph.neighbours(t, starts, depth, lambda df: df.localCheckpoint()).select("start", "entity", "distance").collect()]
+            assert len(got) == len(set(got)) and set(got) == {k for k, d in found.items() if d <= depth}
+    df = graph.neighbours(t, starts, 2)
+    assert len(df.collect()) > 40 * 300 > 2 * moved(df)
+
+
 def batch_rows(spark, *made):
     """The session's limit on rows of an Arrow batch after each of some operators was called with Spark's own limit."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
